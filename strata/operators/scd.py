@@ -155,7 +155,7 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
     vt_type = target.schema[valid_to].dataType.typeName()
     like = {"timestamp_ntz": "timestamp_ntz", "date": "date"}.get(vt_type, "timestamp")
     payload = [c for c in target.columns if c not in (valid_from, valid_to)]
-    latest = latest_per_key(batch.select(*payload, op_col, ts_col), [key], [ts_col])
+    latest = latest_per_key(batch.select(*payload, op_col, ts_col), [key], [ts_col, op_col])
     open_rows = target.filter(is_current(target, valid_to)).select(
         F.col(key).alias("_t_key"), F.col(valid_from).alias("_t_from"),
         *[F.col(c).alias(f"_t_{c}") for c in tracked])

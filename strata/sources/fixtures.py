@@ -168,3 +168,7 @@ class Fixtures:
         if name.startswith("fx_"):
             return self[name]
         raise AttributeError(name)
+
+# Distinct ``ts_ms`` values of ``fx_orders_cdc`` in time order (one landing
+# file per wave in the streaming SCD2 check).
+CDC_WAVES = (1000, 2000, 2500, 3000, 4000, 5000)

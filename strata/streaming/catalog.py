@@ -1,7 +1,161 @@
-"""Streaming named queries (filled in below)."""
+"""Streaming named queries: real bounded streams over landed test data.
+
+Each query lands data derived from the test tables as files in a fresh
+folder under the session's checkpoint root, runs the streaming job(s) with
+``availableNow`` and returns the published result read back.  The oracle is
+the batch result of the same operator.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from ..functions.predicates import open_end_as_null
+from ..operators import incremental
+from ..plans import catalog as batch_catalog
+from ..plans import maintenance, marts
+from ..plans.oracle_sql import _RAW as BATCH_SQL
+from ..plans.oracle_sql import ITEM_PRED
+from ..session import local_fallback_root, scratch_dir
+from ..sources.fixtures import CDC_WAVES, Fixtures, with_fixtures
+from . import jobs
+from .publish import VersionedTable
 
 STREAM_QUERIES: dict = {}
 
 
+def _q(fn):
+    STREAM_QUERIES[fn.__name__] = fn
+    return fn
+
+
+def _work(spark: SparkSession, name: str) -> str:
+    return scratch_dir(spark, name, local_fallback_root())
+
+
+PRODUCT_CSV_SCHEMA = StructType([
+    StructField("product_id", LongType()), StructField("product_name", StringType()),
+    StructField("brand", StringType()), StructField("category_id", StringType()),
+    StructField("retail_cents", LongType())])
+ORDER_ROW_SCHEMA = StructType([
+    StructField("order_id", LongType()), StructField("order_status", StringType()),
+    StructField("customer_id", LongType())])
+
+
+@_q
+def stream_ingest_csv(spark, sf_dir):
+    """Products landed as CSV files, ingested to Bronze in two batches."""
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "ingest-csv")
+    fx.fx_products.repartition(4).write.option("header", True).csv(f"{work}/landing")
+    jobs.ingest_files(spark, "csv", PRODUCT_CSV_SCHEMA, f"{work}/landing", f"{work}/bronze",
+                      f"{work}/_checkpoints/bronze", max_files_per_trigger=2)
+    return spark.read.parquet(f"{work}/bronze").drop(*jobs.LINEAGE_COLS)
+
+
+def _land_envelopes(fx: Fixtures, path: str, by_wave: bool) -> None:
+    env = batch_catalog.orders_cdc_envelope(fx)
+    if not by_wave:
+        env.repartition(4).write.json(path)
+        return
+    # one file per wave, written oldest first (the file source reads in
+    # modification-time order, one file per trigger below)
+    for wave in CDC_WAVES:
+        env.filter(F.col("ts_ms") == wave).coalesce(1).write.mode("append").json(path)
+
+
+@_q
+def stream_ingest_cdc_json(spark, sf_dir):
+    """Orders CDC envelopes landed as JSON, ingested, then flattened."""
+    from ..operators.cdc import flatten_cdc
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "ingest-cdc")
+    _land_envelopes(fx, f"{work}/landing", by_wave=False)
+    jobs.ingest_cdc(spark, ORDER_ROW_SCHEMA, f"{work}/landing", f"{work}/bronze",
+                    f"{work}/_checkpoints/bronze", max_files_per_trigger=2)
+    bronze = spark.read.parquet(f"{work}/bronze")
+    return batch_catalog._flat_out(flatten_cdc(bronze, "order_id"))
+
+
+def _land_parquet(df: DataFrame, path: str, files: int) -> StructType:
+    df.repartition(files).write.parquet(path)
+    return df.schema
+
+
+@_q
+def stream_dq_split(spark, sf_dir):
+    """Order items streamed through the valid / quarantine split."""
+    from .drivers import file_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "dq-split")
+    schema = _land_parquet(fx.fx_order_items, f"{work}/landing", 4)
+    src = file_stream(spark, "parquet", schema, f"{work}/landing", max_files_per_trigger=1)
+    jobs.dq_split(src, batch_catalog.ITEM_RULES, f"{work}/valid", f"{work}/quarantine",
+                  f"{work}/_checkpoints/dq")
+    drop = [*jobs.LINEAGE_COLS, "_batch_id"]
+    valid = spark.read.parquet(f"{work}/valid").drop(*drop).withColumn("is_valid", F.lit(True))
+    bad = spark.read.parquet(f"{work}/quarantine").drop(*drop).withColumn("is_valid", F.lit(False))
+    return valid.unionByName(bad)
+
+
+@_q
+def stream_scd1(spark, sf_dir):
+    """C4: the order-item update feed streamed into an SCD1 table."""
+    from .drivers import file_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "scd1")
+    schema = _land_parquet(fx.fx_order_items, f"{work}/landing", 5)
+    src = file_stream(spark, "parquet", schema, f"{work}/landing", max_files_per_trigger=1)
+    table = VersionedTable(spark, f"{work}/silver_order_items")
+    jobs.scd1_stream(src, table, batch_catalog.ITEM_KEYS, batch_catalog.ITEM_ORDER,
+                     f"{work}/_checkpoints/scd1", tag="scd1")
+    return table.read().drop(*jobs.LINEAGE_COLS)
+
+
+@_q
+def stream_scd2(spark, sf_dir):
+    """The orders CDC log, one wave per micro-batch, kept as SCD2 history."""
+    from ..operators.cdc import flatten_cdc
+    from .drivers import cdc_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "scd2")
+    _land_envelopes(fx, f"{work}/landing", by_wave=True)
+    src = flatten_cdc(cdc_stream(spark, ORDER_ROW_SCHEMA, f"{work}/landing",
+                                 max_files_per_trigger=1), "order_id")
+    table = VersionedTable(spark, f"{work}/silver_orders_scd2")
+    jobs.scd2_stream(src, table, "order_id", ["order_status", "customer_id"],
+                     f"{work}/_checkpoints/scd2", tag="scd2")
+    out = open_end_as_null(table.read())
+    return out.select(F.col("order_id").alias("pk"), F.col("order_status").alias("st"),
+                      F.col("customer_id").alias("cust"),
+                      F.col("valid_from").cast("timestamp_ntz").alias("valid_from"),
+                      F.col("valid_to").cast("timestamp_ntz").alias("valid_to"))
+
+
+@_q
+def stream_mart(spark, sf_dir):
+    """C14: fulfillment health maintained from a stream of order change images."""
+    from .drivers import file_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "mart")
+    mart = VersionedTable(spark, f"{work}/gold_fulfillment_health")
+    mart.initialize(marts.fulfillment_health(fx.fx_orders_scd2, batch_catalog.SLA_DAYS))
+    old, new = incremental.changed_images(fx.fx_orders_scd2, fx.fx_orders_scd2_after)
+    schema = _land_parquet(old.unionByName(new), f"{work}/changes", 2)
+    changes = file_stream(spark, "parquet", schema, f"{work}/changes",
+                          max_files_per_trigger=1, lineage=False)
+    orders_now = fx.fx_orders_scd2_after
+
+    def maintain(prev: DataFrame, images: DataFrame) -> DataFrame:
+        return maintenance.maintain_fulfillment_health(prev, orders_now, [images],
+                                                       batch_catalog.SLA_DAYS)
+    jobs.mart_stream(changes, mart, maintain, f"{work}/_checkpoints/mart", tag="mart")
+    return mart.read()
+
+
 def stream_oracle_sql() -> dict[str, str]:
-    return {}
+    raw = {
+        "stream_ingest_csv": "select * from fx_products",
+        "stream_ingest_cdc_json": BATCH_SQL["cdc_flatten"],
+        "stream_dq_split": f"select *, {ITEM_PRED} as is_valid from fx_order_items",
+        "stream_scd1": BATCH_SQL["latest_order_item"],
+        "stream_scd2": BATCH_SQL["scd2_from_changelog"],
+        "stream_mart": BATCH_SQL["incr_fulfillment_health"],
+    }
+    return {k: with_fixtures(v) for k, v in raw.items()}
