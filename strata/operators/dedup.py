@@ -38,12 +38,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
                 .filter(F.col("_rn") == 1).drop("_rn"))
     if method != "agg":
         raise ValueError(f"unknown method {method!r}")
-    payload = [c for c in df.columns if c not in keys]
     # Struct comparison is lexicographic with NULL lowest, which matches
-    # "desc nulls last" picking.  Order fields are copied under private names
-    # so a NULL order value never compares against payload fields.
-    best = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                          F.struct(*payload).alias("_row")))
+    # "desc nulls last" picking.  With the tie-break the struct holds every
+    # non-key column once, so the winner's row is read back from it; without
+    # it the remaining columns ride along after the order fields.
+    payload = order + [c for c in df.columns if c not in keys and c not in order]
+    best = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(payload)]))
     return (df.groupBy(*keys).agg(best.alias("_best"))
-            .select(*keys, *[F.col(f"_best._row.{c}").alias(c) for c in payload])
+            .select(*keys, *[F.col(f"_best._o{i}").alias(c) for i, c in enumerate(payload)])
             .select(*df.columns))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import is_current, open_end
 from .cdc import OP_DELETE
 from .dedup import latest_per_key
+from .sequence import segment, with_next, with_previous
 
 
 def _keys_equal(keys: Sequence[str], left: str, right: str):
@@ -190,27 +191,30 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
 def scd2_from_changelog(events: DataFrame, key: str, tracked: Sequence[str],
                         ts_col: str = "event_ts", op_col: str = "op",
                         valid_from: str = "valid_from", valid_to: str = "valid_to",
-                        end_like: str = "timestamp") -> DataFrame:
+                        end_like: str = "timestamp", segments: int | None = None) -> DataFrame:
     """Full validity history from a complete change log (all versions).
 
     Events tied on (key, ts) keep one winner (same total order as
-    ``latest_per_key``).  A create/update opens a version when its tracked
-    values differ from the previous event or the previous event was a
-    delete; no-op updates are dropped; a version ends at the next kept
-    event (change or delete) of the key, else stays open.  Deletes open
-    nothing.
+    ``scd2_apply``: op, then tracked columns, greatest wins).  A create or
+    update opens a version when its tracked values differ from the previous
+    event or the previous event was a delete; no-op updates are dropped; a
+    version ends at the next kept event (change or delete) of the key, else
+    stays open.  Deletes open nothing.
+
+    Previous/next lookups are skew-safe (``strata.operators.sequence``): a
+    key's history is split over range segments, never sorted in one task.
     """
     ev = latest_per_key(events.select(key, op_col, ts_col, *tracked), [key, ts_col],
                         [op_col, *tracked])
-    w = Window.partitionBy(key).orderBy(ts_col)
+    seg = segment(ev, [key], [ts_col], segments)
+    p = with_previous(seg, [key], [ts_col], [op_col, *tracked])
     differs = F.lit(False)
     for c in tracked:
-        differs = differs | ~F.col(c).eqNullSafe(F.lag(c).over(w))
-    prev_op = F.lag(op_col).over(w)
-    opens = (F.col(op_col) != OP_DELETE) & (prev_op.isNull() | (prev_op == OP_DELETE) | differs)
-    kept = ev.withColumn("_opens", opens).filter(F.col("_opens") | (F.col(op_col) == OP_DELETE))
-    return (kept
-            .withColumn("_next", F.lead(ts_col).over(w))
-            .filter(F.col("_opens"))
+        differs = differs | ~F.col(c).eqNullSafe(F.col(f"_prev_{c}"))
+    opens = (F.col(op_col) != OP_DELETE) & (
+        ~F.col("_has_prev") | (F.col(f"_prev_{op_col}") == OP_DELETE) | differs)
+    kept = p.withColumn("_opens", opens).filter(F.col("_opens") | (F.col(op_col) == OP_DELETE))
+    nxt = with_next(kept, [key], [ts_col], ts_col, "_next")
+    return (nxt.filter(F.col("_opens"))
             .select(key, *tracked, F.col(ts_col).alias(valid_from),
                     F.coalesce(F.col("_next"), open_end(end_like)).alias(valid_to)))

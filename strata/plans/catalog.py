@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.conform import conform
 from ..functions.predicates import current_rows, open_end_as_null
 from ..operators import cdc, dedup, incremental, quality, scd
+from ..session import checkpoint_root, local_fallback_root
 from ..sources.fixtures import Fixtures
 from . import maintenance, marts
 
@@ -47,6 +48,9 @@ def query(fn: Query) -> Query:
 
 
 def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
+    # operators that cut lineage need a checkpoint dir; only when the session
+    # names none (local runs) is a local fallback installed
+    checkpoint_root(spark, local_fallback_root())
     return Fixtures(spark, sf_dir)
 
 
