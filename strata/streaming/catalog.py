@@ -104,7 +104,8 @@ def stream_scd1(spark, sf_dir):
     fx, work = Fixtures(spark, sf_dir), _work(spark, "scd1")
     schema = _land_parquet(fx.fx_order_items, f"{work}/landing", 5)
     src = file_stream(spark, "parquet", schema, f"{work}/landing", max_files_per_trigger=1)
-    table = VersionedTable(spark, f"{work}/silver_order_items")
+    table = VersionedTable(spark, f"{work}/silver_order_items",
+                           bucket_by=batch_catalog.ITEM_KEYS, buckets=16)
     jobs.scd1_stream(src, table, batch_catalog.ITEM_KEYS, batch_catalog.ITEM_ORDER,
                      f"{work}/_checkpoints/scd1", tag="scd1")
     return table.read().drop(*jobs.LINEAGE_COLS)
@@ -119,7 +120,8 @@ def stream_scd2(spark, sf_dir):
     _land_envelopes(fx, f"{work}/landing", by_wave=True)
     src = flatten_cdc(cdc_stream(spark, ORDER_ROW_SCHEMA, f"{work}/landing",
                                  max_files_per_trigger=1), "order_id")
-    table = VersionedTable(spark, f"{work}/silver_orders_scd2")
+    table = VersionedTable(spark, f"{work}/silver_orders_scd2", bucket_by=["order_id"],
+                           buckets=16)
     jobs.scd2_stream(src, table, "order_id", ["order_status", "customer_id"],
                      f"{work}/_checkpoints/scd2", tag="scd2")
     out = open_end_as_null(table.read())

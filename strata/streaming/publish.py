@@ -3,36 +3,49 @@
 ``foreachBatch`` is at-least-once: after a failure Spark re-runs the last
 micro-batch with the same batch id.  A mutable table written by such a batch
 must therefore compute its next state from the version that preceded the
-batch, not from whatever is current.  ``VersionedTable`` keeps each state
-in its own directory ``<root>/v=<version>`` and records commits as small
-JSON files ``<root>/_commits/c<seq>``; the head is the commit with the
-highest ``seq``.  A replayed batch finds its own version at the head, reuses
-that commit's parent, and overwrites its own directory -- so applying a batch
-twice equals applying it once.
+batch, not from whatever is current.  ``VersionedTable`` writes each state
+under ``<root>/v=<version>`` and records commits as small JSON files
+``<root>/_commits/c<seq>``; the head is the commit with the highest ``seq``.
+A replayed batch finds its own version at the head, reuses that commit's
+parent and overwrites its own directory -- applying a batch twice equals
+applying it once.
+
+Bucketed tables (``bucket_by``) rewrite only what a batch touches: rows are
+placed in ``pmod(xxhash64(keys), buckets)`` buckets, a version directory
+holds only the buckets rewritten by that batch, and each commit carries a
+manifest ``bucket -> version`` naming where every bucket's current data
+lives.  A batch reads and rewrites just the buckets its keys hash to
+(copy-on-write per bucket), so the cost of a micro-batch follows the batch,
+not the table.  The affected-bucket list is bounded by ``buckets``.
 
 All files are written and read through Spark, so the root can be any shared
 filesystem the cluster uses (never a machine-local folder on a cluster).
-The full-rewrite-per-version layout suits tables whose rewrite cost is
-acceptable per batch; a catalog with row-level MERGE support is the
-alternative for very large mutable tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-COMMIT_SCHEMA = "seq bigint, version string, parent string"
+COMMIT_SCHEMA = "seq bigint, version string, parent string, manifest string, schema string"
+BUCKET = "_bucket"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str,
+                 bucket_by: Sequence[str] | None = None, buckets: int = 256):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.bucket_by = list(bucket_by or [])
+        self.buckets = buckets
 
+    # ------------------------------------------------------------ commits --
     def _commits(self) -> DataFrame | None:
         try:
             return (self.spark.read.schema(COMMIT_SCHEMA)
@@ -41,28 +54,79 @@ class VersionedTable:
             return None
 
     def head(self):
-        """The latest commit row ``(seq, version, parent)`` or ``None``."""
+        """The latest commit row or ``None``."""
         commits = self._commits()
         if commits is None:
             return None
         rows = commits.orderBy(F.col("seq").desc()).limit(1).collect()
         return rows[0] if rows else None
 
+    def _commit_row(self, version: str):
+        rows = self._commits().filter(F.col("version") == version).limit(1).collect()
+        if not rows:
+            raise FileNotFoundError(f"version {version} not committed under {self.root}")
+        return rows[0]
+
     def path(self, version: str) -> str:
         return f"{self.root}/v={version}"
 
-    def read(self, version: str | None = None) -> DataFrame:
-        if version is None:
-            h = self.head()
-            if h is None:
-                raise FileNotFoundError(f"no committed version under {self.root}")
-            version = h.version
-        return self.spark.read.parquet(self.path(version))
+    def bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(c) for c in self.bucket_by]),
+                      F.lit(self.buckets)).cast("int")
 
-    def commit(self, df: DataFrame, version: str, parent: str | None, seq: int) -> None:
-        df.write.mode("overwrite").parquet(self.path(version))
-        (self.spark.createDataFrame([(seq, version, parent)], COMMIT_SCHEMA)
-         .coalesce(1).write.mode("overwrite").json(f"{self.root}/_commits/c{seq:012d}"))
+    # -------------------------------------------------------------- reads --
+    def read(self, version=None, only_buckets: Sequence[int] | None = None) -> DataFrame:
+        """Current state, or a given version (name or commit row)."""
+        c = version if not isinstance(version, (str, type(None))) else (
+            self.head() if version is None else self._commit_row(version))
+        if c is None:
+            raise FileNotFoundError(f"no committed version under {self.root}")
+        if not self.bucket_by:
+            return self.spark.read.parquet(self.path(c.version))
+        schema = StructType.fromJson(json.loads(c.schema))
+        manifest = json.loads(c.manifest)
+        wanted = None if only_buckets is None else {str(b) for b in only_buckets}
+        paths = [f"{self.path(v)}/{BUCKET}={b}" for b, v in sorted(manifest.items())
+                 if wanted is None or b in wanted]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    # ------------------------------------------------------------- writes --
+    def commit(self, df: DataFrame, version: str, parent: str | None, seq: int,
+               base_manifest: dict | None = None,
+               rewritten: Sequence[int] | None = None) -> None:
+        """Write ``df`` as ``version`` and record the commit.
+
+        Bucketed: ``df`` holds the rows of the ``rewritten`` buckets (all
+        buckets when ``None``); the manifest is ``base_manifest`` with those
+        buckets now pointing at ``version`` (or removed if they became empty).
+        """
+        manifest = None
+        if self.bucket_by:
+            (df.withColumn(BUCKET, self.bucket_of()).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").partitionBy(BUCKET)
+             .parquet(self.path(version)))
+            written = self._written_buckets(df.schema, version)
+            manifest = dict(base_manifest or {})
+            for b in (rewritten if rewritten is not None else list(manifest)):
+                manifest.pop(str(b), None)
+            for b in written:
+                manifest[str(b)] = version
+            manifest = json.dumps(manifest, sort_keys=True)
+        else:
+            df.write.mode("overwrite").parquet(self.path(version))
+        record = [(seq, version, parent, manifest, df.schema.json())]
+        (self.spark.createDataFrame(record, COMMIT_SCHEMA).coalesce(1)
+         .write.mode("overwrite").json(f"{self.root}/_commits/c{seq:012d}"))
+
+    def _written_buckets(self, schema: StructType, version: str) -> list[int]:
+        """Bucket directories present in a version (a driver-side file listing)."""
+        full = StructType(schema.fields + [StructField(BUCKET, IntegerType())])
+        files = self.spark.read.schema(full).parquet(self.path(version)).inputFiles()
+        found = {int(m.group(1)) for f in files
+                 for m in [re.search(rf"/{BUCKET}=(\d+)/", f)] if m}
+        return sorted(found)
 
     def initialize(self, df: DataFrame, version: str = "init") -> None:
         """Publish a first state (no parent) unless the table already has one."""
@@ -71,13 +135,26 @@ class VersionedTable:
 
     def apply(self, step: Callable[[DataFrame | None, DataFrame], DataFrame],
               batch: DataFrame, batch_id: int, tag: str) -> str:
-        """Publish ``step(previous_state, batch)`` as version ``<tag>-<batch_id>``."""
+        """Publish ``step(previous_state, batch)`` as version ``<tag>-<batch_id>``.
+
+        Bucketed tables hand ``step`` only the previous rows of the buckets
+        the batch's keys fall in, and rewrite only those buckets.
+        """
         version = f"{tag}-{batch_id:012d}"
         h = self.head()
         if h is not None and h.version == version:      # replay of a committed batch
-            parent, seq = h.parent, h.seq
+            seq = h.seq
+            parent = self._commit_row(h.parent) if h.parent is not None else None
         else:
-            parent, seq = (h.version, h.seq + 1) if h is not None else (None, 0)
-        prev = self.read(parent) if parent is not None else None
-        self.commit(step(prev, batch), version, parent, seq)
+            seq, parent = (h.seq + 1, h) if h is not None else (0, None)
+        parent_name = parent.version if parent is not None else None
+        if not self.bucket_by:
+            prev = self.read(parent) if parent is not None else None
+            self.commit(step(prev, batch), version, parent_name, seq)
+            return version
+        affected = sorted(r[0] for r in
+                          batch.select(self.bucket_of().alias("b")).distinct().collect())
+        base = json.loads(parent.manifest) if parent is not None else {}
+        prev = self.read(parent, only_buckets=affected) if parent is not None else None
+        self.commit(step(prev, batch), version, parent_name, seq, base, affected)
         return version
