@@ -381,3 +381,27 @@ def incr_product_performance(spark, sf_dir):
     old, new = incremental.changed_images(fx.fx_order_items, fx.fx_order_items_after)
     return maintenance.maintain_product_performance(prev, fx.fx_order_items_after,
                                                     fx.fx_inventory, fx.fx_products, [old, new])
+
+
+@query
+def incr_customer_360_profiles(spark, sf_dir):
+    """Customer 360 maintained from profile changes *and* order changes."""
+    fx = _fx(spark, sf_dir)
+    prev = marts.customer_360(fx.fx_customers_scd2, fx.fx_orders_scd2, AS_OF_DATE)
+    c_old, c_new = incremental.changed_images(fx.fx_customers_scd2, fx.fx_customers_scd2_after)
+    o_old, o_new = _order_changes(fx)
+    return maintenance.maintain_customer_360(prev, fx.fx_customers_scd2_after,
+                                             fx.fx_orders_scd2_after, [c_old, c_new],
+                                             [o_old, o_new], AS_OF_DATE)
+
+
+@query
+def incr_product_performance_inventory(spark, sf_dir):
+    """Product performance maintained from order-item and inventory changes."""
+    fx = _fx(spark, sf_dir)
+    prev = marts.product_performance(fx.fx_order_items, fx.fx_inventory, fx.fx_products)
+    i_old, i_new = incremental.changed_images(fx.fx_order_items, fx.fx_order_items_after)
+    v_old, v_new = incremental.changed_images(fx.fx_inventory, fx.fx_inventory_after)
+    return maintenance.maintain_product_performance(
+        prev, fx.fx_order_items_after, fx.fx_inventory_after, fx.fx_products,
+        [i_old, i_new], [v_old, v_new])

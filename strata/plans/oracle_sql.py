@@ -14,14 +14,14 @@ OPEN = "timestamp '9999-12-31 00:00:00'"
 CUR = f"valid_to >= {OPEN}"
 
 
-def _customer_360(orders: str) -> str:
+def _customer_360(orders: str, customers: str = "fx_customers_scd2") -> str:
     return f"""
 with o as (select customer_id, sum(total_cents) as c, count(order_id) as n, max(order_date) as last_d
            from {orders} where {CUR} group by customer_id)
 select c.customer_id, c.first_name, c.loyalty_tier, c.country,
   cast(o.c as double) / 100 as lifetime_value, o.n as order_count, o.last_d as last_order_date,
   cast(date_diff('day', o.last_d, date '2001-08-02') as bigint) as days_since_last_order
-from fx_customers_scd2 c left join o on c.customer_id = o.customer_id
+from {customers} c left join o on c.customer_id = o.customer_id
 where c.{CUR}"""
 
 
@@ -82,14 +82,14 @@ select referrer, total_sessions, converted_sessions,
 from r"""
 
 
-def _product_performance(items: str) -> str:
+def _product_performance(items: str, inventory: str = "fx_inventory") -> str:
     return f"""
 with sales as (select product_id, cast(sum(quantity) as bigint) as units_sold,
                  sum(line_cents) as rc from {items} group by product_id),
 inv as (select *, row_number() over (partition by product_id, warehouse_id
           order by snapshot_date desc nulls last, quantity_available desc nulls last,
                    l_orderkey desc nulls last, l_linenumber desc nulls last) as rn
-        from fx_inventory),
+        from {inventory}),
 stock as (select product_id, cast(sum(quantity_available) as bigint) as st
           from inv where rn = 1 group by product_id)
 select p.product_id, p.product_name, p.brand, s.units_sold,
@@ -313,6 +313,9 @@ from j""",
     "incr_fulfillment_health": _fulfillment("fx_orders_scd2_after"),
     "incr_funnel": _funnel("fx_clickstream_after"),
     "incr_product_performance": _product_performance("fx_order_items_after"),
+    "incr_customer_360_profiles": _customer_360("fx_orders_scd2_after", "fx_customers_scd2_after"),
+    "incr_product_performance_inventory": _product_performance("fx_order_items_after",
+                                                               "fx_inventory_after"),
 }
 
 

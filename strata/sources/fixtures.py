@@ -108,6 +108,23 @@ select event_id, session_id, customer_id,
   case when event_id % 100 = 8 then 'google' else referrer end as referrer
 from fx_clickstream"""
 
+# ... and 1 % of customers change loyalty tier: the open row closes and a new
+# open row starts (profile-only changes must reach customer 360 too).
+FIXTURE_SQL["fx_customers_scd2_after"] = """
+select customer_id, first_name, loyalty_tier, country, valid_from,
+  case when customer_id % 100 = 7 and valid_to >= {TS}'9999-12-31 00:00:00'
+       then {TS}'2001-01-01 00:00:00' else valid_to end as valid_to
+from fx_customers_scd2
+union all
+select customer_id, first_name, 'PLATINUM', country, {TS}'2001-01-01 00:00:00', valid_to
+from fx_customers_scd2 where customer_id % 100 = 7 and valid_to >= {TS}'9999-12-31 00:00:00'"""
+# ... and stock snapshots of 1 % of products get a newer, larger count.
+FIXTURE_SQL["fx_inventory_after"] = """
+select * from fx_inventory
+union all
+select product_id, warehouse_id, snapshot_date + 1, quantity_available + 7, l_orderkey, l_linenumber
+from fx_inventory where product_id % 100 = 7"""
+
 SPARK_TS = "timestamp_ntz"
 DUCKDB_TS = "timestamp"
 

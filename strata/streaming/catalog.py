@@ -151,6 +151,33 @@ def stream_mart(spark, sf_dir):
     return mart.read()
 
 
+@_q
+def stream_mart_two_sources(spark, sf_dir):
+    """One mart (product performance) maintained by two change streams --
+    order-item changes, then inventory changes -- run one after the other."""
+    from .drivers import file_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "mart2")
+    mart = VersionedTable(spark, f"{work}/gold_product_performance")
+    mart.initialize(marts.product_performance(fx.fx_order_items, fx.fx_inventory,
+                                              fx.fx_products))
+    items_now, inventory_now = fx.fx_order_items_after, fx.fx_inventory_after
+    feeds = {
+        "items": (incremental.changed_images(fx.fx_order_items, items_now),
+                  lambda prev, img: maintenance.maintain_product_performance(
+                      prev, items_now, inventory_now, fx.fx_products, [img])),
+        "inventory": (incremental.changed_images(fx.fx_inventory, inventory_now),
+                      lambda prev, img: maintenance.maintain_product_performance(
+                          prev, items_now, inventory_now, fx.fx_products, [],
+                          inventory_images=[img])),
+    }
+    for name, ((old, new), maintain) in feeds.items():
+        schema = _land_parquet(old.unionByName(new), f"{work}/changes_{name}", 2)
+        changes = file_stream(spark, "parquet", schema, f"{work}/changes_{name}",
+                              max_files_per_trigger=1, lineage=False)
+        jobs.mart_stream(changes, mart, maintain, f"{work}/_checkpoints/{name}", tag=name)
+    return mart.read()
+
+
 def stream_oracle_sql() -> dict[str, str]:
     raw = {
         "stream_ingest_csv": "select * from fx_products",
@@ -159,5 +186,6 @@ def stream_oracle_sql() -> dict[str, str]:
         "stream_scd1": BATCH_SQL["latest_order_item"],
         "stream_scd2": BATCH_SQL["scd2_from_changelog"],
         "stream_mart": BATCH_SQL["incr_fulfillment_health"],
+        "stream_mart_two_sources": BATCH_SQL["incr_product_performance_inventory"],
     }
     return {k: with_fixtures(v) for k, v in raw.items()}
