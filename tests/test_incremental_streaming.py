@@ -97,3 +97,22 @@ def test_bucketed_table_rewrites_only_touched_buckets(spark):
     gone = spark.createDataFrame([("k3", 0)], "k string, v int")
     t.apply(lambda prev, b: prev.join(b, "k", "left_anti"), gone, 1, "q")
     assert "k3" not in {r.k for r in t.read().collect()} and t.read().count() == 40
+
+
+def test_registered_cdc_source_ingest_and_delete_aware_dq(spark):
+    """Registry-driven Bronze ingest + DQ: a delete with a NULL row image and
+    a valid update pass, an unparsable line and a row without key do not."""
+    work = scratch_dir(spark, "registry")
+    lines = ['{"op":"u","ts_ms":1,"after":{"order_id":"O1","customer_id":"C1","total_amount":5.0}}',
+             '{"op":"d","ts_ms":2,"before":{"order_id":"O1"},"after":null}',
+             '{"op":"c","ts_ms":3,"after":{"customer_id":"C2"}}',
+             'not json']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
+        .write.text(f"{work}/landing")
+    jobs.ingest_source(spark, "orders", f"{work}/landing", f"{work}/bronze", f"{work}/ck1")
+    jobs.bronze_dq_source(spark, "orders", f"{work}/bronze", f"{work}/valid", f"{work}/bad",
+                          f"{work}/ck2")
+    ok = spark.read.parquet(f"{work}/valid")
+    bad = spark.read.parquet(f"{work}/bad")
+    assert sorted(r.op for r in ok.collect()) == ["d", "u"]
+    assert bad.count() == 2 and ok.count() + bad.count() == 4
