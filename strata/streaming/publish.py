@@ -11,7 +11,8 @@ parent and overwrites its own directory -- applying a batch twice equals
 applying it once.
 
 Bucketed tables (``bucket_by``) rewrite only what a batch touches: rows are
-placed in ``pmod(xxhash64(keys), buckets)`` buckets, a version directory
+placed in ``pmod(hash(keys), buckets)`` buckets (one write task and one
+file per rewritten bucket), a version directory
 holds only the buckets rewritten by that batch, and each commit carries a
 manifest ``bucket -> version`` naming where every bucket's current data
 lives.  A batch reads and rewrites just the buckets its keys hash to
@@ -71,7 +72,9 @@ class VersionedTable:
         return f"{self.root}/v={version}"
 
     def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(c) for c in self.bucket_by]),
+        """``pmod(hash(keys), buckets)``: the function Spark's hash partitioning
+        uses, so ``repartition(buckets, *keys)`` puts each bucket in one task."""
+        return F.pmod(F.hash(*[F.col(c) for c in self.bucket_by]),
                       F.lit(self.buckets)).cast("int")
 
     # -------------------------------------------------------------- reads --
@@ -104,7 +107,8 @@ class VersionedTable:
         """
         manifest = None
         if self.bucket_by:
-            (df.withColumn(BUCKET, self.bucket_of()).write.mode("overwrite")
+            (df.repartition(self.buckets, *self.bucket_by)
+             .withColumn(BUCKET, self.bucket_of()).write.mode("overwrite")
              .option("partitionOverwriteMode", "static").partitionBy(BUCKET)
              .parquet(self.path(version)))
             written = self._written_buckets(df.schema, version)
