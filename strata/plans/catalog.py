@@ -51,6 +51,8 @@ def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
     # operators that cut lineage need a checkpoint dir; only when the session
     # names none (local runs) is a local fallback installed
     checkpoint_root(spark, local_fallback_root())
+    # the queries' epoch-millis conversions are defined in UTC
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return Fixtures(spark, sf_dir)
 
 
@@ -405,3 +407,14 @@ def incr_product_performance_inventory(spark, sf_dir):
     return maintenance.maintain_product_performance(
         prev, fx.fx_order_items_after, fx.fx_inventory_after, fx.fx_products,
         [i_old, i_new], [v_old, v_new])
+
+
+@query
+def scd1_from_cdc(spark, sf_dir):
+    """Change-aware SCD1 from a CDC batch -- rows rewritten only when a
+    tracked column changed, deletes remove their key (H1)."""
+    b1, b2 = _cdc_batches(_fx(spark, sf_dir))
+    target = (dedup.latest_per_key(b1, ["pk"], ["ts_ms"])
+              .filter(F.col("op") != cdc.OP_DELETE).select("pk", "st", "cust", "ts_ms"))
+    source = dedup.latest_per_key(b2, ["pk"], ["ts_ms"])
+    return scd.upsert_changed_only(target, source, ["pk"], CDC_TRACKED, op_col="op")

@@ -313,6 +313,18 @@ from j""",
     "incr_fulfillment_health": _fulfillment("fx_orders_scd2_after"),
     "incr_funnel": _funnel("fx_clickstream_after"),
     "incr_product_performance": _product_performance("fx_order_items_after"),
+    "scd1_from_cdc": f"""
+with t as (select pk, st, cust, ts_ms from {_cdc_latest('ts_ms <= 2000')} x where op <> 'd'),
+s as (select * from {_cdc_latest('ts_ms > 2000')} y),
+j as (select t.pk as t_pk, t.st as t_st, t.cust as t_cust, t.ts_ms as t_ts, s.*,
+        s.pk is not null and s.op = 'd' as is_del,
+        s.pk is not null and s.op <> 'd' and (t.pk is null or s.st is distinct from t.st
+          or s.cust is distinct from t.cust) as take_s
+      from t full outer join s on t.pk = s.pk)
+select case when take_s then pk else t_pk end as pk, case when take_s then st else t_st end as st,
+  case when take_s then cust else t_cust end as cust,
+  case when take_s then ts_ms else t_ts end as ts_ms
+from j where not is_del""",
     "incr_customer_360_profiles": _customer_360("fx_orders_scd2_after", "fx_customers_scd2_after"),
     "incr_product_performance_inventory": _product_performance("fx_order_items_after",
                                                                "fx_inventory_after"),
