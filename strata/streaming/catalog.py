@@ -131,6 +131,26 @@ def stream_scd2(spark, sf_dir):
                       F.col("valid_to").cast("timestamp_ntz").alias("valid_to"))
 
 
+@_q
+def stream_scd1_cdc(spark, sf_dir):
+    """The orders CDC log, one wave per micro-batch, kept as a change-aware
+    SCD1 table (no-op updates keep the row, deletes remove the key)."""
+    from ..operators.cdc import flatten_cdc
+    from .drivers import cdc_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "scd1-cdc")
+    _land_envelopes(fx, f"{work}/landing", by_wave=True)
+    src = flatten_cdc(cdc_stream(spark, ORDER_ROW_SCHEMA, f"{work}/landing",
+                                 max_files_per_trigger=1), "order_id")
+    table = VersionedTable(spark, f"{work}/silver_orders_scd1", bucket_by=["order_id"],
+                           buckets=16)
+    cols = ["order_id", "order_status", "customer_id", "ts_ms"]
+    jobs.scd1_stream(src.select(*cols, "op"), table, ["order_id"], ["ts_ms", "op"],
+                     f"{work}/_checkpoints/scd1", tag="scd1", tracked=["order_status", "customer_id"],
+                     op_col="op", target_cols=cols)
+    return table.read().select(F.col("order_id").alias("pk"), F.col("order_status").alias("st"),
+                               F.col("customer_id").alias("cust"), "ts_ms")
+
+
 @_q
 def stream_mart(spark, sf_dir):
     """C14: fulfillment health maintained from a stream of order change images."""
@@ -185,6 +205,8 @@ def stream_oracle_sql() -> dict[str, str]:
         "stream_dq_split": f"select *, {ITEM_PRED} as is_valid from fx_order_items",
         "stream_scd1": BATCH_SQL["latest_order_item"],
         "stream_scd2": BATCH_SQL["scd2_from_changelog"],
+        "stream_scd1_cdc": f"""select pk, st, cust, epoch_ms(valid_from) as ts_ms
+            from ({BATCH_SQL['scd2_from_changelog']}) h where valid_to is null""",
         "stream_mart": BATCH_SQL["incr_fulfillment_health"],
         "stream_mart_two_sources": BATCH_SQL["incr_product_performance_inventory"],
     }
