@@ -45,12 +45,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                                 if c not in keys and c not in newer_than]
     t_ord = F.struct(*[F.col(f"t.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
     s_ord = F.struct(*[F.col(f"s.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
-    j = (target.select(*target.columns, F.lit(True).alias("_t")).alias("t")
-         .join(src.select(*src.columns, F.lit(True).alias("_s")).alias("s"),
-               _keys_equal(keys, "t", "s"), "full_outer"))
-    take_s = F.col("s._s").isNotNull() & (F.col("t._t").isNull() | (s_ord > t_ord))
-    return j.select(*[F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-                      for c in target.columns])
+    hit = _touched(target, src, keys).select(*target.columns, F.lit(True).alias("_t"))
+    j = src.alias("s").join(hit.alias("t"), _keys_equal(keys, "s", "t"), "left")
+    wins = (j.filter(F.col("t._t").isNull() | (s_ord > t_ord))
+            .select(*[F.col(f"s.{c}").alias(c) for c in target.columns]))
+    return target.join(wins.select(*keys), list(keys), "left_anti").unionByName(wins)
+
+
+def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key occurs in the source: a LEFT SEMI join, executed
+    map-side when the (small) source key set is broadcast, so the large
+    target is never shuffled to meet a small batch."""
+    return target.join(source.select(*keys), list(keys), "left_semi")
 
 
 def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -60,52 +66,52 @@ def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str
 
     Unchanged matches keep the target row untouched (including lineage such
     as ``_ingested_at``).  With ``op_col`` given, delete events remove their
-    key when ``apply_deletes`` is set and are ignored otherwise.  One full
-    outer join on the key.
+    key when ``apply_deletes`` is set and are ignored otherwise.  Plan: the
+    target is semi-joined to the batch keys (map-side), the decision is a
+    join of two batch-sized sets, and the rewrite is a LEFT ANTI + UNION.
     """
-    s_cols = [c for c in target.columns]
-    src = source.select(*s_cols, *([op_col] if op_col else []),
-                        F.lit(True).alias("_s_present"))
-    tgt = target.select(*target.columns, F.lit(True).alias("_t_present"))
-    j = tgt.alias("t").join(src.alias("s"), _keys_equal(keys, "t", "s"), "full_outer")
-    s_here = F.col("s._s_present").isNotNull()
+    src = source.select(*target.columns, *([op_col] if op_col else []))
+    hit = _touched(target, src, keys).select(*target.columns, F.lit(True).alias("_t_present"))
+    j = src.alias("s").join(hit.alias("t"), _keys_equal(keys, "s", "t"), "left")
     t_here = F.col("t._t_present").isNotNull()
-    is_delete = (F.col(f"s.{op_col}") == OP_DELETE) if op_col else F.lit(False)
+    is_delete = (F.coalesce(F.col(f"s.{op_col}") == OP_DELETE, F.lit(False))
+                 if op_col else F.lit(False))
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
-    take_source = s_here & ~F.coalesce(is_delete, F.lit(False)) & (~t_here | differs)
-    out = j.select(*[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-                     for c in target.columns],
-                   (s_here & F.coalesce(is_delete, F.lit(False))).alias("_del"),
-                   t_here.alias("_t_here"))
-    if apply_deletes:
-        out = out.filter(~F.col("_del"))
-    else:
-        # ignored deletes leave the target as it was; unknown keys stay absent
-        out = out.filter(~F.col("_del") | F.col("_t_here"))
-    return out.drop("_del", "_t_here")
+    take_source = ~is_delete & (~t_here | differs)
+    drop_target = t_here & (take_source | (is_delete & F.lit(apply_deletes)))
+    decided = j.select(*[F.col(f"s.{c}").alias(c) for c in target.columns],
+                       take_source.alias("_take"), drop_target.alias("_drop"))
+    new_rows = decided.filter("_take").select(*target.columns)
+    gone = decided.filter("_drop").select(*keys)
+    return target.join(gone, list(keys), "left_anti").unionByName(new_rows)
 
 
 def merge_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   tracked: Sequence[str], op_col: str | None = None) -> DataFrame:
     """What an upsert of ``source`` into ``target`` does: one row of counts
     ``rows_inserted, rows_updated, rows_unchanged, rows_deleted, rows_copied``."""
-    tk = target.select(*keys, *tracked).alias("t")
-    sk = source.select(*keys, *tracked, *([op_col] if op_col else [])).alias("s")
-    j = sk.join(tk, _keys_equal(keys, "s", "t"), "full_outer")
-    s_here = F.col(f"s.{keys[0]}").isNotNull()
-    t_here = F.col(f"t.{keys[0]}").isNotNull()
+    sk = source.select(*keys, *tracked, *([op_col] if op_col else []))
+    hit = _touched(target.select(*keys, *tracked), sk, keys).withColumn("_t", F.lit(True))
+    j = sk.alias("s").join(hit.alias("t"), _keys_equal(keys, "s", "t"), "left")
+    t_here = F.col("t._t").isNotNull()
     is_del = F.coalesce(F.col(f"s.{op_col}") == OP_DELETE, F.lit(False)) if op_col else F.lit(False)
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
-    return j.agg(
-        F.count_if(s_here & ~t_here & ~is_del).alias("rows_inserted"),
-        F.count_if(s_here & t_here & ~is_del & differs).alias("rows_updated"),
-        F.count_if(s_here & t_here & ~is_del & ~differs).alias("rows_unchanged"),
-        F.count_if(s_here & t_here & is_del).alias("rows_deleted"),
-        F.count_if(~s_here & t_here).alias("rows_copied"))
+    flags = j.select((~t_here & ~is_del).cast("long").alias("i"),
+                     (t_here & ~is_del & differs).cast("long").alias("u"),
+                     (t_here & ~is_del & ~differs).cast("long").alias("n"),
+                     (t_here & is_del).cast("long").alias("d"),
+                     t_here.cast("long").alias("m"), F.lit(0).cast("long").alias("t"))
+    target_rows = target.select(*[F.lit(0).cast("long").alias(c) for c in "iundm"],
+                                F.lit(1).cast("long").alias("t"))
+    # one partially aggregated pass over batch flags + target row count
+    return flags.unionByName(target_rows).agg(
+        F.sum("i").alias("rows_inserted"), F.sum("u").alias("rows_updated"),
+        F.sum("n").alias("rows_unchanged"), F.sum("d").alias("rows_deleted"),
+        (F.sum("t") - F.sum("m")).alias("rows_copied"))
 
 
 def change_metrics_by_batch(feed: DataFrame, keys: Sequence[str], tracked: Sequence[str],
@@ -157,7 +163,7 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
     like = {"timestamp_ntz": "timestamp_ntz", "date": "date"}.get(vt_type, "timestamp")
     payload = [c for c in target.columns if c not in (valid_from, valid_to)]
     latest = latest_per_key(batch.select(*payload, op_col, ts_col), [key], [ts_col, op_col])
-    open_rows = target.filter(is_current(target, valid_to)).select(
+    open_rows = _touched(target.filter(is_current(target, valid_to)), latest, [key]).select(
         F.col(key).alias("_t_key"), F.col(valid_from).alias("_t_from"),
         *[F.col(c).alias(f"_t_{c}") for c in tracked])
     j = latest.join(open_rows, F.col(key) == F.col("_t_key"), "left")
@@ -179,7 +185,8 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
         F.col(key).alias("_r_key"), F.col("_t_from").alias("_r_from"), ts.alias("_r_to"))
     inserts = acted.filter(F.col("_action").isin("new", "changed")).select(
         *payload, ts.alias(valid_from), open_end(like).alias(valid_to))
-    inserts = inserts.join(target.select(key, valid_from), [key, valid_from], "left_anti")
+    existing = _touched(target.select(key, valid_from), inserts, [key])
+    inserts = inserts.join(existing, [key, valid_from], "left_anti")
     retired = (target.join(retire, (F.col(key) == F.col("_r_key"))
                            & (F.col(valid_from) == F.col("_r_from"))
                            & is_current(target, valid_to), "left")

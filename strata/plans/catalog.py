@@ -269,10 +269,12 @@ def _empty_scd2(spark: SparkSession) -> DataFrame:
 
 def _scd2_after_two_batches(spark, sf_dir, replay: bool = False) -> DataFrame:
     b1, b2 = _cdc_batches(_fx(spark, sf_dir))
-    state = scd.scd2_apply(_empty_scd2(spark), _scd2_rows(b1), "pk", CDC_TRACKED)
+    # each applied batch is materialised (as a published version would be);
+    # checkpoint() cuts the lineage into the session's checkpoint dir
+    state = scd.scd2_apply(_empty_scd2(spark), _scd2_rows(b1), "pk", CDC_TRACKED).checkpoint()
     state = scd.scd2_apply(state, _scd2_rows(b2), "pk", CDC_TRACKED)
     if replay:
-        state = scd.scd2_apply(state, _scd2_rows(b2), "pk", CDC_TRACKED)
+        state = scd.scd2_apply(state.checkpoint(), _scd2_rows(b2), "pk", CDC_TRACKED)
     return open_end_as_null(state)
 
 
