@@ -198,6 +198,37 @@ def stream_mart_two_sources(spark, sf_dir):
     return mart.read()
 
 
+@_q
+def stream_silver_to_gold(spark, sf_dir):
+    """H5 end to end: a Silver orders table fed by an order stream logs the
+    old/new images of every batch to ``_changes``; the Gold fulfillment mart
+    is maintained by a second stream that reads only that change log."""
+    from .drivers import file_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "silver-gold")
+    orders, after = fx.fx_orders_scd2, fx.fx_orders_scd2_after
+    # landing: every order, then (a later file) the new image of changed orders
+    orders.coalesce(1).write.parquet(f"{work}/landing")
+    incremental.changed_images(orders, after)[1].coalesce(1) \
+        .write.mode("append").parquet(f"{work}/landing")
+    silver = VersionedTable(spark, f"{work}/silver_orders", bucket_by=["order_id"], buckets=16,
+                            changes=f"{work}/silver_orders_changes")
+    src = file_stream(spark, "parquet", orders.schema, f"{work}/landing",
+                      max_files_per_trigger=1, lineage=False)
+    jobs.scd1_stream(src, silver, ["order_id"], ["updated_at"], f"{work}/_checkpoints/silver",
+                     tag="silver", tracked=[c for c in orders.columns if c != "order_id"])
+    gold = VersionedTable(spark, f"{work}/gold_fulfillment_health")
+    gold.initialize(marts.fulfillment_health(orders.limit(0), batch_catalog.SLA_DAYS))
+    log_schema = StructType(orders.schema.fields + [StructField("_image", StringType())])
+    changes = file_stream(spark, "parquet", log_schema, f"{work}/silver_orders_changes",
+                          max_files_per_trigger=1, lineage=False).drop("_image")
+
+    def maintain(prev: DataFrame, images: DataFrame) -> DataFrame:
+        return maintenance.maintain_fulfillment_health(prev, silver.read(), [images],
+                                                       batch_catalog.SLA_DAYS)
+    jobs.mart_stream(changes, gold, maintain, f"{work}/_checkpoints/gold", tag="gold")
+    return gold.read()
+
+
 def stream_oracle_sql() -> dict[str, str]:
     raw = {
         "stream_ingest_csv": "select * from fx_products",
@@ -209,5 +240,6 @@ def stream_oracle_sql() -> dict[str, str]:
             from ({BATCH_SQL['scd2_from_changelog']}) h where valid_to is null""",
         "stream_mart": BATCH_SQL["incr_fulfillment_health"],
         "stream_mart_two_sources": BATCH_SQL["incr_product_performance_inventory"],
+        "stream_silver_to_gold": BATCH_SQL["incr_fulfillment_health"],
     }
     return {k: with_fixtures(v) for k, v in raw.items()}

@@ -19,6 +19,10 @@ lives.  A batch reads and rewrites just the buckets its keys hash to
 (copy-on-write per bucket), so the cost of a micro-batch follows the batch,
 not the table.  The affected-bucket list is bounded by ``buckets``.
 
+With ``changes`` set, every applied batch also writes the old and new images
+of the rows it changed to an append-only change log (one folder per
+version), which downstream streams read instead of the mutable table.
+
 All files are written and read through Spark, so the root can be any shared
 filesystem the cluster uses (never a machine-local folder on a cluster).
 """
@@ -40,11 +44,14 @@ BUCKET = "_bucket"
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str,
-                 bucket_by: Sequence[str] | None = None, buckets: int = 256):
+                 bucket_by: Sequence[str] | None = None, buckets: int = 256,
+                 changes: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.bucket_by = list(bucket_by or [])
         self.buckets = buckets
+        # append-only change log: old/new images of every rewritten row
+        self.changes = changes.rstrip("/") if changes else None
 
     # ------------------------------------------------------------ commits --
     def _commits(self) -> DataFrame | None:
@@ -155,10 +162,31 @@ class VersionedTable:
         if not self.bucket_by:
             prev = self.read(parent) if parent is not None else None
             self.commit(step(prev, batch), version, parent_name, seq)
+            self._log_changes(prev, version, None)
             return version
         affected = sorted(r[0] for r in
                           batch.select(self.bucket_of().alias("b")).distinct().collect())
         base = json.loads(parent.manifest) if parent is not None else {}
         prev = self.read(parent, only_buckets=affected) if parent is not None else None
         self.commit(step(prev, batch), version, parent_name, seq, base, affected)
+        self._log_changes(prev, version, affected)
         return version
+
+    def _log_changes(self, prev: DataFrame | None, version: str,
+                     affected: Sequence[int] | None) -> None:
+        """Write the rows that changed between the parent and ``version``
+        (``_image`` = old / new) to ``<changes>/_version=<version>``.
+
+        Both sides are read back from their files (the rewritten buckets
+        only), so the step is not recomputed; overwriting the version's folder
+        keeps a replayed batch from logging twice."""
+        if self.changes is None:
+            return
+        new = (self.read(version, only_buckets=affected) if self.bucket_by
+               else self.read(version))
+        old = prev if prev is not None else new.limit(0)
+        old = old.select(*new.columns)
+        images = (old.exceptAll(new).withColumn("_image", F.lit("old"))
+                  .unionByName(new.exceptAll(old).withColumn("_image", F.lit("new"))))
+        (images.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{self.changes}/_version={version}"))
