@@ -28,15 +28,44 @@ def _keys_equal(keys: Sequence[str], left: str, right: str):
     return cond
 
 
+def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str],
+             broadcast: bool = False) -> DataFrame:
+    """Target rows whose key occurs in the source: a LEFT SEMI join, executed
+    map-side when the (small) source key set is broadcast, so the large
+    target is never shuffled to meet a small batch."""
+    k = source.select(*keys)
+    return target.join(F.broadcast(k) if broadcast else k, list(keys), "left_semi")
+
+
+# A change batch with at most this many rows is joined by broadcasting its
+# keys (checked with a count, never assumed); larger batches use one shuffled
+# full outer join.
+SMALL_BATCH_ROWS = 1_000_000
+
+
+def _is_small(source: DataFrame, max_rows: int | None) -> bool:
+    if not max_rows:
+        return False
+    return source.limit(max_rows + 1).count() <= max_rows
+
+
+def _full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str]):
+    t = target.select(*target.columns, F.lit(True).alias("_t"))
+    s = source.select(*source.columns, F.lit(True).alias("_s"))
+    return t.alias("t").join(s.alias("s"), _keys_equal(keys, "t", "s"), "full_outer")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           newer_than: Sequence[str] | None = None) -> DataFrame:
+           newer_than: Sequence[str] | None = None,
+           small_batch_rows: int | None = SMALL_BATCH_ROWS) -> DataFrame:
     """Upsert: source rows replace target rows of the same key.
 
     ``source`` holds at most one row per key and (at least) the target's
     columns.  Unconditional plan: target LEFT ANTI source-keys, UNION ALL
     source.  With ``newer_than`` (order columns, newest = greatest, remaining
     columns break ties) a source row wins only if it is newer than the
-    target row, so the result does not depend on the order batches arrive in.
+    target row, so the result does not depend on the order batches arrive in;
+    the plan is chosen by batch size as in ``upsert_changed_only``.
     """
     src = source.select(*target.columns)
     if not newer_than:
@@ -45,47 +74,60 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                                 if c not in keys and c not in newer_than]
     t_ord = F.struct(*[F.col(f"t.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
     s_ord = F.struct(*[F.col(f"s.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
-    hit = _touched(target, src, keys).select(*target.columns, F.lit(True).alias("_t"))
+    pick = lambda take_s: [F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+                           .alias(c) for c in target.columns]
+    if not _is_small(src, small_batch_rows):
+        j = _full_outer(target, src, keys)
+        return j.select(*pick(F.col("s._s").isNotNull() & (F.col("t._t").isNull()
+                                                           | (s_ord > t_ord))))
+    hit = _touched(target, src, keys, True).select(*target.columns, F.lit(True).alias("_t"))
     j = src.alias("s").join(hit.alias("t"), _keys_equal(keys, "s", "t"), "left")
-    wins = (j.filter(F.col("t._t").isNull() | (s_ord > t_ord))
-            .select(*[F.col(f"s.{c}").alias(c) for c in target.columns]))
-    return target.join(wins.select(*keys), list(keys), "left_anti").unionByName(wins)
-
-
-def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key occurs in the source: a LEFT SEMI join, executed
-    map-side when the (small) source key set is broadcast, so the large
-    target is never shuffled to meet a small batch."""
-    return target.join(source.select(*keys), list(keys), "left_semi")
+    touched = j.select(*pick(F.col("t._t").isNull() | (s_ord > t_ord)))
+    untouched = target.join(F.broadcast(src.select(*keys)), list(keys), "left_anti")
+    return untouched.unionByName(touched)
 
 
 def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
                         tracked: Sequence[str], op_col: str | None = None,
-                        apply_deletes: bool = True) -> DataFrame:
+                        apply_deletes: bool = True,
+                        small_batch_rows: int | None = SMALL_BATCH_ROWS) -> DataFrame:
     """Upsert that rewrites a row only when a tracked column changed.
 
     Unchanged matches keep the target row untouched (including lineage such
     as ``_ingested_at``).  With ``op_col`` given, delete events remove their
-    key when ``apply_deletes`` is set and are ignored otherwise.  Plan: the
-    target is semi-joined to the batch keys (map-side), the decision is a
-    join of two batch-sized sets, and the rewrite is a LEFT ANTI + UNION.
+    key when ``apply_deletes`` is set and are ignored otherwise.
+
+    Plan, chosen by a size check of the batch: a batch of at most
+    ``small_batch_rows`` rows has its keys broadcast -- the target is
+    semi-joined to them map-side, the decision is one join of two
+    batch-sized sets, untouched rows pass through a broadcast LEFT ANTI --
+    so the target is never shuffled; a larger batch uses one shuffled full
+    outer join on the key.
     """
     src = source.select(*target.columns, *([op_col] if op_col else []))
-    hit = _touched(target, src, keys).select(*target.columns, F.lit(True).alias("_t_present"))
-    j = src.alias("s").join(hit.alias("t"), _keys_equal(keys, "s", "t"), "left")
-    t_here = F.col("t._t_present").isNotNull()
+    small = _is_small(src, small_batch_rows)
+    if small:
+        hit = _touched(target, src, keys, True).select(*target.columns, F.lit(True).alias("_t"))
+        j = src.select(*src.columns, F.lit(True).alias("_s")).alias("s").join(
+            hit.alias("t"), _keys_equal(keys, "s", "t"), "left")
+    else:
+        j = _full_outer(target, src, keys)
+    t_here = F.col("t._t").isNotNull()
+    s_here = F.col("s._s").isNotNull()
     is_delete = (F.coalesce(F.col(f"s.{op_col}") == OP_DELETE, F.lit(False))
                  if op_col else F.lit(False))
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
-    take_source = ~is_delete & (~t_here | differs)
-    drop_target = t_here & (take_source | (is_delete & F.lit(apply_deletes)))
-    decided = j.select(*[F.col(f"s.{c}").alias(c) for c in target.columns],
-                       take_source.alias("_take"), drop_target.alias("_drop"))
-    new_rows = decided.filter("_take").select(*target.columns)
-    gone = decided.filter("_drop").select(*keys)
-    return target.join(gone, list(keys), "left_anti").unionByName(new_rows)
+    take_source = s_here & ~is_delete & (~t_here | differs)
+    keep_target = t_here & ~take_source & ~(s_here & is_delete & F.lit(apply_deletes))
+    out = (j.filter(take_source | keep_target)
+           .select(*[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+                     .alias(c) for c in target.columns]))
+    if not small:
+        return out
+    untouched = target.join(F.broadcast(src.select(*keys)), list(keys), "left_anti")
+    return untouched.unionByName(out)
 
 
 def merge_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -143,7 +185,8 @@ def change_metrics_by_batch(feed: DataFrame, keys: Sequence[str], tracked: Seque
 
 def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[str],
                ts_col: str = "event_ts", op_col: str = "op", reject_late: bool = True,
-               valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+               valid_from: str = "valid_from", valid_to: str = "valid_to",
+               small_batch_rows: int | None = SMALL_BATCH_ROWS) -> DataFrame:
     """Next state of an SCD2 table after one change batch.
 
     * the batch is reduced to the newest event per key (total order);
@@ -163,7 +206,11 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
     like = {"timestamp_ntz": "timestamp_ntz", "date": "date"}.get(vt_type, "timestamp")
     payload = [c for c in target.columns if c not in (valid_from, valid_to)]
     latest = latest_per_key(batch.select(*payload, op_col, ts_col), [key], [ts_col, op_col])
-    open_rows = _touched(target.filter(is_current(target, valid_to)), latest, [key]).select(
+    # target lookups touch only the batch's keys (broadcast when the batch is
+    # proven small); the history rewrite joins a batch-sized retire set
+    small = _is_small(latest, small_batch_rows)
+    open_rows = _touched(target.filter(is_current(target, valid_to)), latest, [key],
+                         small).select(
         F.col(key).alias("_t_key"), F.col(valid_from).alias("_t_from"),
         *[F.col(c).alias(f"_t_{c}") for c in tracked])
     j = latest.join(open_rows, F.col(key) == F.col("_t_key"), "left")
@@ -185,7 +232,7 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
         F.col(key).alias("_r_key"), F.col("_t_from").alias("_r_from"), ts.alias("_r_to"))
     inserts = acted.filter(F.col("_action").isin("new", "changed")).select(
         *payload, ts.alias(valid_from), open_end(like).alias(valid_to))
-    existing = _touched(target.select(key, valid_from), inserts, [key])
+    existing = _touched(target.select(key, valid_from), inserts, [key], small)
     inserts = inserts.join(existing, [key, valid_from], "left_anti")
     retired = (target.join(retire, (F.col(key) == F.col("_r_key"))
                            & (F.col(valid_from) == F.col("_r_from"))

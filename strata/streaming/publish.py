@@ -34,7 +34,7 @@ import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -52,6 +52,9 @@ class VersionedTable:
         self.buckets = buckets
         # append-only change log: old/new images of every rewritten row
         self.changes = changes.rstrip("/") if changes else None
+        # a table has one writer: after the first read, the head it committed
+        # last is known without listing the commit log again
+        self._head = None
 
     # ------------------------------------------------------------ commits --
     def _commits(self) -> DataFrame | None:
@@ -63,13 +66,18 @@ class VersionedTable:
 
     def head(self):
         """The latest commit row or ``None``."""
+        if self._head is not None:
+            return self._head
         commits = self._commits()
         if commits is None:
             return None
         rows = commits.orderBy(F.col("seq").desc()).limit(1).collect()
-        return rows[0] if rows else None
+        self._head = rows[0] if rows else None
+        return self._head
 
     def _commit_row(self, version: str):
+        if self._head is not None and self._head.version == version:
+            return self._head
         rows = self._commits().filter(F.col("version") == version).limit(1).collect()
         if not rows:
             raise FileNotFoundError(f"version {version} not committed under {self.root}")
@@ -130,6 +138,8 @@ class VersionedTable:
         record = [(seq, version, parent, manifest, df.schema.json())]
         (self.spark.createDataFrame(record, COMMIT_SCHEMA).coalesce(1)
          .write.mode("overwrite").json(f"{self.root}/_commits/c{seq:012d}"))
+        self._head = Row(seq=seq, version=version, parent=parent, manifest=manifest,
+                         schema=df.schema.json())
 
     def _written_buckets(self, schema: StructType, version: str) -> list[int]:
         """Bucket directories present in a version (a driver-side file listing)."""

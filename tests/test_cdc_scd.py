@@ -181,3 +181,29 @@ def test_changelog_hot_key_split_across_segments(spark):
     assert segs.select(SEG).distinct().count() >= 5
     got = _state(scd.scd2_from_changelog(df, "pk", ["a", "b"], segments=7))
     assert got == _model(events)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcdef"), st.integers(0, 3),
+                          st.one_of(st.none(), st.sampled_from("xy"))), max_size=8),
+       st.lists(st.tuples(st.sampled_from("abcdefg"), st.integers(0, 3),
+                          st.one_of(st.none(), st.sampled_from("xy")),
+                          st.sampled_from("cud")), max_size=8))
+def test_upsert_plans_agree(spark, tgt_rows, src_rows):
+    """The broadcast (small batch) and full-outer (large batch) plans of every
+    upsert give identical tables."""
+    tgt_rows = list({r[0]: r for r in tgt_rows}.values())
+    src_rows = list({r[0]: r for r in src_rows}.values())
+    tgt = spark.createDataFrame(tgt_rows, "k string, ts int, v string")
+    src = spark.createDataFrame(src_rows, "k string, ts int, v string, op string")
+
+    def both(fn):
+        return [_sort(tuple(r) for r in fn(n).collect()) for n in (1000, 0)]
+    a, b = both(lambda n: scd.upsert(tgt, src, ["k"], small_batch_rows=n))
+    assert a == b
+    a, b = both(lambda n: scd.upsert(tgt, src, ["k"], newer_than=["ts"], small_batch_rows=n))
+    assert a == b
+    for deletes in (True, False):
+        a, b = both(lambda n: scd.upsert_changed_only(tgt, src, ["k"], ["v"], "op", deletes,
+                                                      small_batch_rows=n))
+        assert a == b
