@@ -83,6 +83,14 @@ class VersionedTable:
             raise FileNotFoundError(f"version {version} not committed under {self.root}")
         return rows[0]
 
+    def history(self, limit: int = 10) -> DataFrame:
+        """The newest ``limit`` commits ``(seq, version, parent)``, newest first."""
+        commits = self._commits()
+        if commits is None:
+            return self.spark.createDataFrame([], "seq bigint, version string, parent string")
+        return (commits.select("seq", "version", "parent")
+                .orderBy(F.col("seq").desc()).limit(limit))
+
     def path(self, version: str) -> str:
         return f"{self.root}/v={version}"
 
