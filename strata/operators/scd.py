@@ -44,6 +44,11 @@ SMALL_BATCH_ROWS = 1_000_000
 
 
 def _is_small(source: DataFrame, max_rows: int | None) -> bool:
+    """Whether ``source`` provably has at most ``max_rows`` rows.  The
+    session setting ``strata.merge.broadcastBatchRows`` overrides the bound."""
+    conf = source.sparkSession.conf.get("strata.merge.broadcastBatchRows", None)
+    if conf is not None and max_rows == SMALL_BATCH_ROWS:
+        max_rows = int(conf)
     if not max_rows:
         return False
     return source.limit(max_rows + 1).count() <= max_rows
@@ -232,7 +237,9 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
         F.col(key).alias("_r_key"), F.col("_t_from").alias("_r_from"), ts.alias("_r_to"))
     inserts = acted.filter(F.col("_action").isin("new", "changed")).select(
         *payload, ts.alias(valid_from), open_end(like).alias(valid_to))
-    existing = _touched(target.select(key, valid_from), inserts, [key], small)
+    # versions already present for the batch's keys (a superset of the
+    # inserted keys; independent of the decision join, so it is not re-run)
+    existing = _touched(target.select(key, valid_from), latest, [key], small)
     inserts = inserts.join(existing, [key, valid_from], "left_anti")
     retired = (target.join(retire, (F.col(key) == F.col("_r_key"))
                            & (F.col(valid_from) == F.col("_r_from"))

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import Row
 
 from strata.plans.marts import customer_360
 

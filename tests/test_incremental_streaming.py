@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from strata.operators import incremental
 from strata.plans import maintenance, marts
