@@ -156,7 +156,8 @@ def stream_mart(spark, sf_dir):
     """C14: fulfillment health maintained from a stream of order change images."""
     from .drivers import file_stream
     fx, work = Fixtures(spark, sf_dir), _work(spark, "mart")
-    mart = VersionedTable(spark, f"{work}/gold_fulfillment_health")
+    mart = VersionedTable(spark, f"{work}/gold_fulfillment_health", bucket_by=["order_date"],
+                          buckets=16)
     mart.initialize(marts.fulfillment_health(fx.fx_orders_scd2, batch_catalog.SLA_DAYS))
     old, new = incremental.changed_images(fx.fx_orders_scd2, fx.fx_orders_scd2_after)
     schema = _land_parquet(old.unionByName(new), f"{work}/changes", 2)
@@ -167,10 +168,16 @@ def stream_mart(spark, sf_dir):
     def maintain(prev: DataFrame, images: DataFrame) -> DataFrame:
         return maintenance.maintain_fulfillment_health(prev, orders_now, [images],
                                                        batch_catalog.SLA_DAYS)
-    jobs.mart_stream(changes, mart, maintain, f"{work}/_checkpoints/mart", tag="mart")
+    jobs.mart_stream(changes, mart, maintain, f"{work}/_checkpoints/mart", tag="mart",
+                     touched=_touched_dates)
     return mart.read()
 
 
+def _touched_dates(images: DataFrame) -> DataFrame:
+    """Mart keys (order dates) touched by a batch of order change images."""
+    return incremental.affected_keys([images], {"order_date": F.to_date("order_date")})
+
+
 @_q
 def stream_mart_two_sources(spark, sf_dir):
     """One mart (product performance) maintained by two change streams --
@@ -216,7 +223,8 @@ def stream_silver_to_gold(spark, sf_dir):
                       max_files_per_trigger=1, lineage=False)
     jobs.scd1_stream(src, silver, ["order_id"], ["updated_at"], f"{work}/_checkpoints/silver",
                      tag="silver", tracked=[c for c in orders.columns if c != "order_id"])
-    gold = VersionedTable(spark, f"{work}/gold_fulfillment_health")
+    gold = VersionedTable(spark, f"{work}/gold_fulfillment_health", bucket_by=["order_date"],
+                          buckets=16)
     gold.initialize(marts.fulfillment_health(orders.limit(0), batch_catalog.SLA_DAYS))
     log_schema = StructType(orders.schema.fields + [StructField("_image", StringType())])
     changes = file_stream(spark, "parquet", log_schema, f"{work}/silver_orders_changes",
@@ -225,7 +233,8 @@ def stream_silver_to_gold(spark, sf_dir):
     def maintain(prev: DataFrame, images: DataFrame) -> DataFrame:
         return maintenance.maintain_fulfillment_health(prev, silver.read(), [images],
                                                        batch_catalog.SLA_DAYS)
-    jobs.mart_stream(changes, gold, maintain, f"{work}/_checkpoints/gold", tag="gold")
+    jobs.mart_stream(changes, gold, maintain, f"{work}/_checkpoints/gold", tag="gold",
+                     touched=_touched_dates)
     return gold.read()
 
 

@@ -163,11 +163,14 @@ class VersionedTable:
             self.commit(df, version, None, 0)
 
     def apply(self, step: Callable[[DataFrame | None, DataFrame], DataFrame],
-              batch: DataFrame, batch_id: int, tag: str) -> str:
+              batch: DataFrame, batch_id: int, tag: str,
+              touched: DataFrame | None = None) -> str:
         """Publish ``step(previous_state, batch)`` as version ``<tag>-<batch_id>``.
 
         Bucketed tables hand ``step`` only the previous rows of the buckets
-        the batch's keys fall in, and rewrite only those buckets.
+        the batch's keys fall in -- or, when the table's key is not a batch
+        column (a mart keyed by date fed by order changes), the buckets of the
+        ``touched`` keys -- and rewrite only those buckets.
         """
         version = f"{tag}-{batch_id:012d}"
         h = self.head()
@@ -182,8 +185,9 @@ class VersionedTable:
             self.commit(step(prev, batch), version, parent_name, seq)
             self._log_changes(prev, version, None)
             return version
+        keys = batch if touched is None else touched
         affected = sorted(r[0] for r in
-                          batch.select(self.bucket_of().alias("b")).distinct().collect())
+                          keys.select(self.bucket_of().alias("b")).distinct().collect())
         base = json.loads(parent.manifest) if parent is not None else {}
         prev = self.read(parent, only_buckets=affected) if parent is not None else None
         self.commit(step(prev, batch), version, parent_name, seq, base, affected)

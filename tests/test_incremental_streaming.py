@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from strata.operators import incremental
 from strata.plans import maintenance, marts
@@ -200,3 +201,21 @@ def test_stream_replay_after_crash_is_exactly_once(spark):
     assert [r.seq for r in t.history(10).collect()] == [2, 1, 0]
     assert sorted((r[0], r[1], r[3].year == 9999) for r in first) == [
         ("A", "new", False), ("A", "paid", False), ("A", "sent", True), ("B", "new", False)]
+
+
+def test_bucketed_mart_rewrites_only_touched_keys(spark):
+    before = spark.createDataFrame([_o(x, "delivered", d) for x, d in
+                                    [("A", 1), ("B", 2), ("C", 3), ("D", 4), ("E", 5)]], ORD)
+    after = spark.createDataFrame([_o(x, "delivered", d) for x, d in
+                                   [("A", 1), ("B", 6), ("C", 3), ("D", 4), ("E", 5)]], ORD)
+    mart = VersionedTable(spark, scratch_dir(spark, "mart-b"), bucket_by=["order_date"],
+                          buckets=8)
+    mart.initialize(marts.fulfillment_health(before))
+    old, new = incremental.changed_images(before, after)
+    images = old.unionByName(new)
+    touched = incremental.affected_keys([images], {"order_date": F.to_date("order_date")})
+    v = mart.apply(lambda prev, b: maintenance.maintain_fulfillment_health(prev, after, [b]),
+                   images, 0, "m", touched=touched)
+    assert _rows(mart.read()) == _rows(marts.fulfillment_health(after))
+    expect = {r.b for r in touched.select(mart.bucket_of().alias("b")).collect()}
+    assert set(mart._written_buckets(mart.read().schema, v)) <= expect
