@@ -157,7 +157,7 @@ def stream_mart(spark, sf_dir):
     from .drivers import file_stream
     fx, work = Fixtures(spark, sf_dir), _work(spark, "mart")
     mart = VersionedTable(spark, f"{work}/gold_fulfillment_health", bucket_by=["order_date"],
-                          buckets=16)
+                          buckets=16, **FULFILLMENT_CONSTRAINTS)
     mart.initialize(marts.fulfillment_health(fx.fx_orders_scd2, batch_catalog.SLA_DAYS))
     old, new = incremental.changed_images(fx.fx_orders_scd2, fx.fx_orders_scd2_after)
     schema = _land_parquet(old.unionByName(new), f"{work}/changes", 2)
@@ -173,6 +173,11 @@ def stream_mart(spark, sf_dir):
     return mart.read()
 
 
+# Declared constraints of the fulfillment mart (NOT NULL key columns, PK).
+FULFILLMENT_CONSTRAINTS = {"not_null": ["order_date", "region"],
+                           "primary_key": ["order_date", "region"]}
+
+
 def _touched_dates(images: DataFrame) -> DataFrame:
     """Mart keys (order dates) touched by a batch of order change images."""
     return incremental.affected_keys([images], {"order_date": F.to_date("order_date")})
@@ -224,7 +229,7 @@ def stream_silver_to_gold(spark, sf_dir):
     jobs.scd1_stream(src, silver, ["order_id"], ["updated_at"], f"{work}/_checkpoints/silver",
                      tag="silver", tracked=[c for c in orders.columns if c != "order_id"])
     gold = VersionedTable(spark, f"{work}/gold_fulfillment_health", bucket_by=["order_date"],
-                          buckets=16)
+                          buckets=16, **FULFILLMENT_CONSTRAINTS)
     gold.initialize(marts.fulfillment_health(orders.limit(0), batch_catalog.SLA_DAYS))
     log_schema = StructType(orders.schema.fields + [StructField("_image", StringType())])
     changes = file_stream(spark, "parquet", log_schema, f"{work}/silver_orders_changes",

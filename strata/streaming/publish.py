@@ -38,6 +38,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..operators.quality import enforce_constraints
+
 COMMIT_SCHEMA = "seq bigint, version string, parent string, manifest string, schema string"
 BUCKET = "_bucket"
 
@@ -45,7 +47,8 @@ BUCKET = "_bucket"
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str,
                  bucket_by: Sequence[str] | None = None, buckets: int = 256,
-                 changes: str | None = None):
+                 changes: str | None = None, not_null: Sequence[str] = (),
+                 primary_key: Sequence[str] = ()):
         self.spark = spark
         self.root = root.rstrip("/")
         self.bucket_by = list(bucket_by or [])
@@ -55,6 +58,10 @@ class VersionedTable:
         # a table has one writer: after the first read, the head it committed
         # last is known without listing the commit log again
         self._head = None
+        # declared constraints, checked on each version before it is written
+        # (bucketed tables: only the rewritten buckets, where keys are local)
+        self.not_null = list(not_null)
+        self.primary_key = list(primary_key)
 
     # ------------------------------------------------------------ commits --
     def _commits(self) -> DataFrame | None:
@@ -128,6 +135,11 @@ class VersionedTable:
         buckets when ``None``); the manifest is ``base_manifest`` with those
         buckets now pointing at ``version`` (or removed if they became empty).
         """
+        if self.not_null or self.primary_key:
+            if self.primary_key and self.bucket_by and not set(self.bucket_by) <= set(
+                    self.primary_key):
+                raise ValueError("bucket_by must be part of the primary key to check it per bucket")
+            enforce_constraints(df, self.not_null, self.primary_key)
         manifest = None
         if self.bucket_by:
             (df.repartition(self.buckets, *self.bucket_by)
@@ -157,6 +169,10 @@ class VersionedTable:
                  for m in [re.search(rf"/{BUCKET}=(\d+)/", f)] if m}
         return sorted(found)
 
+    def ensure(self, schema: StructType) -> None:
+        """Create the table empty with ``schema`` unless it already exists."""
+        self.initialize(self.spark.createDataFrame([], schema))
+
     def initialize(self, df: DataFrame, version: str = "init") -> None:
         """Publish a first state (no parent) unless the table already has one."""
         if self.head() is None:
