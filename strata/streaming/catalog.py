@@ -151,6 +151,23 @@ def stream_scd1_cdc(spark, sf_dir):
                                F.col("customer_id").alias("cust"), "ts_ms")
 
 
+@_q
+def stream_append_conform(spark, sf_dir):
+    """Clickstream landed as JSON with every field a string (Bronze),
+    streamed through the Silver conform casts and appended."""
+    from .drivers import file_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "conform")
+    clicks = fx.fx_clickstream
+    clicks.select(*[F.col(c).cast("string").alias(c) for c in clicks.columns]) \
+        .repartition(3).write.json(f"{work}/landing")
+    bronze = StructType([StructField(c, StringType()) for c in clicks.columns])
+    src = file_stream(spark, "json", bronze, f"{work}/landing", max_files_per_trigger=1)
+    jobs.append_conform(src, {"event_id": "bigint", "customer_id": "bigint",
+                              "event_timestamp": "timestamp_ntz"},
+                        f"{work}/silver", f"{work}/_checkpoints/silver")
+    return spark.read.parquet(f"{work}/silver").drop(*jobs.LINEAGE_COLS)
+
+
 @_q
 def stream_mart(spark, sf_dir):
     """C14: fulfillment health maintained from a stream of order change images."""
@@ -253,6 +270,7 @@ def stream_oracle_sql() -> dict[str, str]:
         "stream_scd1_cdc": f"""select pk, st, cust, epoch_ms(valid_from) as ts_ms
             from ({BATCH_SQL['scd2_from_changelog']}) h where valid_to is null""",
         "stream_mart": BATCH_SQL["incr_fulfillment_health"],
+        "stream_append_conform": BATCH_SQL["append_conform_events"],
         "stream_mart_two_sources": BATCH_SQL["incr_product_performance_inventory"],
         "stream_silver_to_gold": BATCH_SQL["incr_fulfillment_health"],
     }
