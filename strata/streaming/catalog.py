@@ -54,15 +54,19 @@ def stream_ingest_csv(spark, sf_dir):
     return spark.read.parquet(f"{work}/bronze").drop(*jobs.LINEAGE_COLS)
 
 
-def _land_envelopes(fx: Fixtures, path: str, by_wave: bool) -> None:
+def _land_envelopes(fx: Fixtures, path: str) -> None:
+    batch_catalog.orders_cdc_envelope(fx).repartition(4).write.json(path)
+
+
+def _land_waves(fx: Fixtures, root: str) -> list[str]:
+    """Each CDC wave (one ``ts_ms`` value) lands in its own folder, written in
+    parallel; a bounded stream run per folder then sees exactly one wave."""
     env = batch_catalog.orders_cdc_envelope(fx)
-    if not by_wave:
-        env.repartition(4).write.json(path)
-        return
-    # one file per wave, written oldest first (the file source reads in
-    # modification-time order, one file per trigger below)
+    paths = []
     for wave in CDC_WAVES:
-        env.filter(F.col("ts_ms") == wave).coalesce(1).write.mode("append").json(path)
+        env.filter(F.col("ts_ms") == wave).write.json(f"{root}/wave={wave}")
+        paths.append(f"{root}/wave={wave}")
+    return paths
 
 
 @_q
@@ -70,7 +74,7 @@ def stream_ingest_cdc_json(spark, sf_dir):
     """Orders CDC envelopes landed as JSON, ingested, then flattened."""
     from ..operators.cdc import flatten_cdc
     fx, work = Fixtures(spark, sf_dir), _work(spark, "ingest-cdc")
-    _land_envelopes(fx, f"{work}/landing", by_wave=False)
+    _land_envelopes(fx, f"{work}/landing")
     jobs.ingest_cdc(spark, ORDER_ROW_SCHEMA, f"{work}/landing", f"{work}/bronze",
                     f"{work}/_checkpoints/bronze", max_files_per_trigger=2)
     bronze = spark.read.parquet(f"{work}/bronze")
@@ -117,13 +121,12 @@ def stream_scd2(spark, sf_dir):
     from ..operators.cdc import flatten_cdc
     from .drivers import cdc_stream
     fx, work = Fixtures(spark, sf_dir), _work(spark, "scd2")
-    _land_envelopes(fx, f"{work}/landing", by_wave=True)
-    src = flatten_cdc(cdc_stream(spark, ORDER_ROW_SCHEMA, f"{work}/landing",
-                                 max_files_per_trigger=1), "order_id")
     table = VersionedTable(spark, f"{work}/silver_orders_scd2", bucket_by=["order_id"],
                            buckets=16)
-    jobs.scd2_stream(src, table, "order_id", ["order_status", "customer_id"],
-                     f"{work}/_checkpoints/scd2", tag="scd2")
+    for i, path in enumerate(_land_waves(fx, f"{work}/landing")):
+        src = flatten_cdc(cdc_stream(spark, ORDER_ROW_SCHEMA, path), "order_id")
+        jobs.scd2_stream(src, table, "order_id", ["order_status", "customer_id"],
+                         f"{work}/_checkpoints/scd2-{i}", tag=f"wave{i}")
     out = open_end_as_null(table.read())
     return out.select(F.col("order_id").alias("pk"), F.col("order_status").alias("st"),
                       F.col("customer_id").alias("cust"),
@@ -138,15 +141,14 @@ def stream_scd1_cdc(spark, sf_dir):
     from ..operators.cdc import flatten_cdc
     from .drivers import cdc_stream
     fx, work = Fixtures(spark, sf_dir), _work(spark, "scd1-cdc")
-    _land_envelopes(fx, f"{work}/landing", by_wave=True)
-    src = flatten_cdc(cdc_stream(spark, ORDER_ROW_SCHEMA, f"{work}/landing",
-                                 max_files_per_trigger=1), "order_id")
     table = VersionedTable(spark, f"{work}/silver_orders_scd1", bucket_by=["order_id"],
                            buckets=16)
     cols = ["order_id", "order_status", "customer_id", "ts_ms"]
-    jobs.scd1_stream(src.select(*cols, "op"), table, ["order_id"], ["ts_ms", "op"],
-                     f"{work}/_checkpoints/scd1", tag="scd1", tracked=["order_status", "customer_id"],
-                     op_col="op", target_cols=cols)
+    for i, path in enumerate(_land_waves(fx, f"{work}/landing")):
+        src = flatten_cdc(cdc_stream(spark, ORDER_ROW_SCHEMA, path), "order_id")
+        jobs.scd1_stream(src.select(*cols, "op"), table, ["order_id"], ["ts_ms", "op"],
+                         f"{work}/_checkpoints/scd1-{i}", tag=f"wave{i}",
+                         tracked=["order_status", "customer_id"], op_col="op", target_cols=cols)
     return table.read().select(F.col("order_id").alias("pk"), F.col("order_status").alias("st"),
                                F.col("customer_id").alias("cust"), "ts_ms")
 
@@ -235,16 +237,18 @@ def stream_silver_to_gold(spark, sf_dir):
     from .drivers import file_stream
     fx, work = Fixtures(spark, sf_dir), _work(spark, "silver-gold")
     orders, after = fx.fx_orders_scd2, fx.fx_orders_scd2_after
-    # landing: every order, then (a later file) the new image of changed orders
-    orders.coalesce(1).write.parquet(f"{work}/landing")
-    incremental.changed_images(orders, after)[1].coalesce(1) \
-        .write.mode("append").parquet(f"{work}/landing")
+    # two landing drops, each written in parallel: every order, then the new
+    # image of the changed orders; one bounded Silver run per drop, in order
+    drops = [orders, incremental.changed_images(orders, after)[1]]
     silver = VersionedTable(spark, f"{work}/silver_orders", bucket_by=["order_id"], buckets=16,
                             changes=f"{work}/silver_orders_changes")
-    src = file_stream(spark, "parquet", orders.schema, f"{work}/landing",
-                      max_files_per_trigger=1, lineage=False)
-    jobs.scd1_stream(src, silver, ["order_id"], ["updated_at"], f"{work}/_checkpoints/silver",
-                     tag="silver", tracked=[c for c in orders.columns if c != "order_id"])
+    for i, drop in enumerate(drops):
+        drop.write.parquet(f"{work}/landing/drop={i}")
+        src = file_stream(spark, "parquet", orders.schema, f"{work}/landing/drop={i}",
+                          lineage=False)
+        jobs.scd1_stream(src, silver, ["order_id"], ["updated_at"],
+                         f"{work}/_checkpoints/silver-{i}", tag=f"drop{i}",
+                         tracked=[c for c in orders.columns if c != "order_id"])
     gold = VersionedTable(spark, f"{work}/gold_fulfillment_health", bucket_by=["order_date"],
                           buckets=16, **FULFILLMENT_CONSTRAINTS)
     gold.initialize(marts.fulfillment_health(orders.limit(0), batch_catalog.SLA_DAYS))
