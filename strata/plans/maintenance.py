@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ..functions.predicates import current_rows
 from ..operators.incremental import affected_keys, replace_keys, scope
@@ -34,6 +35,17 @@ def _order_dates(images: Sequence[DataFrame]) -> DataFrame:
     return affected_keys(images, {"order_date": F.to_date("order_date")})
 
 
+def _scope_dates(df: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows whose order date is affected.  A DATE column is matched as is, so
+    a table partitioned by ``order_date`` is pruned to the affected
+    partitions at runtime (dynamic partition pruning); timestamps are cut to
+    their date first."""
+    if isinstance(df.schema["order_date"].dataType, DateType):
+        return scope(df, dates, ["order_date"])
+    return scope(df.withColumn("_d", F.to_date("order_date")),
+                 dates.withColumnRenamed("order_date", "_d"), ["_d"]).drop("_d")
+
+
 def maintain_daily_revenue(prev: DataFrame, orders: DataFrame, items: DataFrame,
                            products: DataFrame, categories: DataFrame,
                            order_images: Sequence[DataFrame],
@@ -46,8 +58,7 @@ def maintain_daily_revenue(prev: DataFrame, orders: DataFrame, items: DataFrame,
     item_dates = (scope(cur, item_orders, ["order_id"])
                   .select(F.to_date("order_date").alias("order_date")))
     dates = _order_dates(order_images).unionByName(item_dates).distinct()
-    scoped_orders = scope(cur.withColumn("_d", F.to_date("order_date")),
-                          dates.withColumnRenamed("order_date", "_d"), ["_d"]).drop("_d")
+    scoped_orders = _scope_dates(cur, dates)
     scoped_items = scope(items, scoped_orders.select("order_id"), ["order_id"])
     result = marts.daily_revenue(scoped_orders, scoped_items, products, categories, **kw)
     return replace_keys(prev, result, dates, ["order_date"])
@@ -58,8 +69,7 @@ def maintain_fulfillment_health(prev: DataFrame, orders: DataFrame,
                                 **kw) -> DataFrame:
     """Affected dates from both images of changed orders."""
     dates = _order_dates(order_images)
-    scoped = scope(orders.withColumn("_d", F.to_date("order_date")),
-                   dates.withColumnRenamed("order_date", "_d"), ["_d"]).drop("_d")
+    scoped = _scope_dates(orders, dates)
     result = marts.fulfillment_health(scoped, sla_days, **kw)
     return replace_keys(prev, result, dates, ["order_date"])
 

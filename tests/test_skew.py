@@ -56,3 +56,23 @@ def test_customer_360_hot_customer(spark, capsys):
     row = r.collect()[0]
     assert (row.order_count, row.lifetime_value) == (1000, 1000.0)
     assert _partial_before_exchange(r, capsys)
+
+
+def test_daily_revenue_hot_order(spark):
+    """One order holding a third of all items: allocation and totals stay exact."""
+    items = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string"))
+        .alias("order_id"), F.lit("P1").alias("product_id"),
+        F.lit(1).cast("bigint").alias("quantity"), F.lit(100).cast("bigint").alias("line_cents"))
+    orders = items.select("order_id").distinct().select(
+        "order_id", F.lit(dt.datetime(2024, 1, 1)).alias("order_date"),
+        F.when(F.col("order_id") == "HOT", F.lit(1000)).otherwise(F.lit(0)).cast("bigint")
+        .alias("discount_cents"), F.lit("UK").alias("shipping_country"),
+        F.lit("Kent").alias("shipping_state"), F.lit(OPEN).alias("valid_to"))
+    prods = spark.createDataFrame([("P1", "shoe")], "product_id string, category_id string")
+    cats = spark.createDataFrame([("shoe", "Shoes")], "category_id string, category_name string")
+    r = marts.daily_revenue(orders, items, prods, cats).collect()
+    assert len(r) == 1
+    # 1000 lines of the hot order share 1000 cents: exactly 1 cent each
+    assert (r[0].gross_revenue, r[0].total_discount, r[0].order_count,
+            r[0].total_units_sold) == (3000.0, 10.0, 2001, 3000)
