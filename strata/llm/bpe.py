@@ -39,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import slices
+from .tables import share, slices
 
 NONE = np.int32(2**31 - 1)
 LONG_PIECE = 1024
@@ -303,7 +303,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text") ->
     """``docs`` with ``ids`` (array<int>), ``n_tokens`` (long), and the digests
     ``ids_sha256`` (decimal ids joined by one space) and ``decoded_sha256``
     (the bytes that the ids decode to), in place of any columns so named."""
-    raw = docs.sparkSession.sparkContext.broadcast(rank_bytes(rank_path))
+    raw = share(docs.sparkSession, rank_bytes(rank_path))
 
     @F.arrow_udf("ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -332,7 +332,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text") ->
 def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded`` (binary): the bytes of ``ids``; NULL ids decode
     to no bytes, an id outside the vocabulary is an error."""
-    raw = df.sparkSession.sparkContext.broadcast(rank_bytes(rank_path))
+    raw = share(df.sparkSession, rank_bytes(rank_path))
 
     @F.arrow_udf("binary")
     def join(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

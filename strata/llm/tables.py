@@ -3,11 +3,17 @@ folders, and numpy access to the bytes of an Arrow string array."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +43,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, value: Any) -> Broadcast:
+    """``value`` broadcast to the tasks of an Arrow function.  Callers state
+    its bound.  The first call also sends this package to the executors, so
+    that they need no installation of it."""
+    context = spark.sparkContext
+    if getattr(share, "sent_to", None) != context.applicationId:
+        package = Path(__file__).resolve().parent.parent
+        folder = tempfile.mkdtemp(prefix="strata-package-")     # served by the driver
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/strata", "zip", package.parent, package.name))
+        share.sent_to = context.applicationId
+    return context.broadcast(value)
+
+
 def flat(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all strings and their ``len + 1`` offsets (NULL: empty)."""
     if isinstance(strings, pa.ChunkedArray):
