@@ -312,7 +312,9 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text") ->
             parts = []
             for part in slices(batch, SLICE):
                 ids, upto, decimals = bpe.encode(["" if t is None else t for t in part.to_pylist()])
-                decoded = [bpe.decode(ids[a:b]) for a, b in zip(upto[:-1], upto[1:], strict=True)]
+                text_bytes, size = bpe.decode(ids)
+                at = np.concatenate([[0], np.cumsum(size)])[upto].tolist()
+                decoded = [text_bytes[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
                 parts.append(pa.StructArray.from_arrays([
                     pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids, pa.int32())),
                     pa.array(np.diff(upto), pa.int64()),

@@ -1,6 +1,6 @@
 """Operator 1: language identification by compression.
 
-Method: every language owns a raw-content zstandard dictionary made of
+Method: texts are folded to lower case without punctuation; every language owns a raw-content zstandard dictionary made of
 labelled texts.  A text is encoded with each dictionary in independent
 blocks of ``BLOCK`` bytes (so that the dictionary, not the text's own past,
 explains each block of a long text), the sizes are added up, and the
@@ -35,7 +35,10 @@ from pyspark.sql import functions as F
 from .tables import share, slices
 
 BLOCK = 1024            # bytes that are encoded on their own
-LEVEL = 3
+LEVEL = 6
+SHORT = 512             # bytes; texts up to here are repeated and encoded with more search
+SHORT_LEVEL = 16
+_LETTERS = bytes(32 if i < 128 and not chr(i).isalpha() else i for i in range(256))
 SCALE = 40.0            # of the score: exponent of a size difference a byte of text
 UNKNOWN = "und"
 MADE = ["lang_pred", "score", "margin", "rejected"]
@@ -47,7 +50,7 @@ def has_letter(text: str = "text") -> Column:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = 256,
-        dict_bytes: int = 96 << 10, max_languages: int = 256) -> dict[str, bytes]:
+        dict_bytes: int = 64 << 10, max_languages: int = 256) -> dict[str, bytes]:
     """Raw-content dictionaries by language, from rows with text and lang.
 
     At most ``max_languages`` languages, those with most rows; of each, about
@@ -73,37 +76,40 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
                                                1, 2 * sample_docs).alias("parts")))
     out = {}
     for r in best.collect():
-        joined = "\n".join(p["part"] for p in r["parts"]).encode()
+        joined = folded("\n".join(p["part"] for p in r["parts"]))
         out[r["lang"]] = joined[:dict_bytes]
     return dict(sorted(out.items()))
 
 
-def block_sizes(texts: pa.Array, dictionaries: list[zstandard.ZstdCompressor]
-                ) -> tuple[np.ndarray, np.ndarray]:
-    """Encoded bytes of each text under each dictionary, and its plain bytes."""
-    data, at = flat(texts)
-    length = np.diff(at)
-    blocks = np.maximum(-(-length // BLOCK), 1)
-    owner = np.repeat(np.arange(len(length)), blocks)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-    # blocks of a text are of equal length, so that no short rest is left over
-    low = at[owner] + number * length[owner] // blocks[owner]
-    high = at[owner] + (number + 1) * length[owner] // blocks[owner]
-    segments = np.stack([low, high - low], axis=1).astype(np.uint64)
-    real = segments[:, 1] > 0
-    segments, owner = segments[real], owner[real]
-    out = np.zeros((len(length), len(dictionaries)), np.int64)
-    if len(segments):
-        raw = zstandard.BufferWithSegments(data.tobytes(), segments.tobytes())
-        for k, compressor in enumerate(dictionaries):
-            made = compressor.multi_compress_to_buffer(raw, threads=1)
-            size = np.fromiter((len(made[i]) for i in range(len(made))), np.int64, len(made))
-            out[:, k] = np.bincount(owner, size, len(length)).astype(np.int64)
-    return out, length
+def folded(text: str | None) -> bytes:
+    """The bytes that are encoded: lower case, a space for every ASCII
+    character that is no letter."""
+    return (text or "").lower().encode().translate(_LETTERS)
+
+
+def compressor(raw: bytes, level: int, min_match: int) -> zstandard.ZstdCompressor:
+    """An encoder that begins with the raw content ``raw``."""
+    settings = zstandard.ZstdCompressionParameters.from_level(
+        level, dict_size=len(raw), source_size=BLOCK, min_match=min_match,
+        write_content_size=False, write_checksum=False, write_dict_id=False)
+    return zstandard.ZstdCompressor(compression_params=settings, dict_data=zstandard.ZstdCompressionDict(
+        raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+
+
+def encoded_sizes(text: bytes, encoders: list[zstandard.ZstdCompressor]) -> list[int]:
+    """Encoded bytes of a text under each dictionary, over blocks of equal
+    length, so that no short rest is left over.  A short text is repeated
+    first: zstandard stores a block plainly that it can't shorten, and with
+    its own copies behind it every byte that a dictionary saves counts."""
+    if 0 < len(text) <= SHORT:
+        text = (text + b" ") * (2 * SHORT // len(text))
+    n = max(1, -(-len(text) // BLOCK))
+    blocks = [text[i * len(text) // n:(i + 1) * len(text) // n] for i in range(n)]
+    return [sum([len(e.compress(b)) for b in blocks]) for e in encoders]
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
-             min_margin: float = 0.002) -> DataFrame:
+             min_margin: float = 0.0005) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1), ``margin`` (second
     smallest less smallest size, a byte of text) and ``rejected``."""
     names = sorted(dictionaries)
@@ -112,26 +118,21 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
     @F.arrow_udf("best int, margin double, score double")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        compressors = []
-        for raw in sent.value:
-            d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            compressors.append(zstandard.ZstdCompressor(
-                dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
+        encoders = [compressor(raw, LEVEL, 0) for raw in sent.value]
+        careful = [compressor(raw, SHORT_LEVEL, 3) for raw in sent.value]
         for batch in batches:
             best, margin, score = [], [], []
             for part in slices(batch):
-                sizes, plain = block_sizes(part, compressors)
+                texts = [folded(t) for t in part.to_pylist()]
+                sizes = np.array([encoded_sizes(t, careful if len(t) <= SHORT else encoders)
+                                  for t in texts], np.int64)
+                plain = np.maximum([len(t) for t in texts], 1)
                 first = sizes.argmin(axis=1)
-                each = np.arange(len(first))
                 ordered = np.sort(sizes, axis=1)
                 second = ordered[:, 1] if sizes.shape[1] > 1 else 2 * ordered[:, 0]
-                gap = (second - ordered[:, 0]) / np.maximum(plain, 1)
-                odds = np.exp(-SCALE * (sizes - sizes[each, first][:, None])
-                              / np.maximum(plain, 1)[:, None])
                 best.append(first)
-                margin.append(gap)
-                score.append(1 / odds.sum(axis=1))
+                margin.append((second - ordered[:, 0]) / plain)
+                score.append(1 / np.exp(-SCALE * (sizes - ordered[:, :1]) / plain[:, None]).sum(axis=1))
             yield pa.StructArray.from_arrays(
                 [pa.array(np.concatenate(best or [np.zeros(0)]), pa.int32()),
                  pa.array(np.concatenate(margin or [np.zeros(0)]), pa.float64()),

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
-from .tables import table
+from . import bpe, langid
+from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -23,6 +23,15 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every text; fitted without the held-out rows."""
+    docs = table(spark, sf_dir, "documents")
+    fitted = langid.fit(docs.where(~held_out()))
+    made = langid.identify(docs.select("doc_id", held_out().alias("held_out"), "text"), fitted)
+    return made.drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op9_byte_bpe": op9_byte_bpe,
 }

@@ -3,9 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, langid
 from .queries import RANK_FILE
+from .tables import held_out
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told, with their columns as they were."""
+    fitted = langid.fit(docs.where(~held_out()))
+    kept = langid.identify(docs, fitted).where(~F.col("rejected"))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
