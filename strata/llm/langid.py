@@ -36,8 +36,9 @@ from .tables import share, slices
 
 BLOCK = 1024            # bytes that are encoded on their own
 LEVEL = 6
-SHORT = 512             # bytes; texts up to here are repeated and encoded with more search
-SHORT_LEVEL = 16
+SHORT = 512             # bytes; texts up to here are encoded behind a page of their language
+SHORT_LEVEL = 12
+PAGE = 8 << 10
 _LETTERS = bytes(32 if i < 128 and not chr(i).isalpha() else i for i in range(256))
 SCALE = 40.0            # of the score: exponent of a size difference a byte of text
 UNKNOWN = "und"
@@ -96,16 +97,26 @@ def compressor(raw: bytes, level: int, min_match: int) -> zstandard.ZstdCompress
         raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
 
-def encoded_sizes(text: bytes, encoders: list[zstandard.ZstdCompressor]) -> list[int]:
-    """Encoded bytes of a text under each dictionary, over blocks of equal
-    length, so that no short rest is left over.  A short text is repeated
-    first: zstandard stores a block plainly that it can't shorten, and with
-    its own copies behind it every byte that a dictionary saves counts."""
-    if 0 < len(text) <= SHORT:
-        text = (text + b" ") * (2 * SHORT // len(text))
-    n = max(1, -(-len(text) // BLOCK))
-    blocks = [text[i * len(text) // n:(i + 1) * len(text) // n] for i in range(n)]
-    return [sum([len(e.compress(b)) for b in blocks]) for e in encoders]
+class Encoder:
+    """Sizes of texts under one dictionary."""
+
+    def __init__(self, raw: bytes):
+        self.long = compressor(raw, LEVEL, 0)
+        # A short text is encoded behind a page of the language that the
+        # dictionary lacks: on its own it would be stored plainly, as zstandard
+        # does with blocks that it can't shorten by some bytes.
+        cut = len(raw) - min(PAGE, len(raw) // 2)
+        self.page, self.short = raw[cut:] + b" ", compressor(raw[:cut], SHORT_LEVEL, 3)
+        self.empty = len(self.short.compress(self.page))
+
+    def size(self, text: bytes) -> int:
+        """Encoded bytes of a text, over blocks of equal length, so that no
+        short rest is left over."""
+        if len(text) <= SHORT:
+            return len(self.short.compress(self.page + text)) - self.empty
+        n = -(-len(text) // BLOCK)
+        return sum([len(self.long.compress(text[i * len(text) // n:(i + 1) * len(text) // n]))
+                    for i in range(n)])
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
@@ -118,14 +129,12 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
     @F.arrow_udf("best int, margin double, score double")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoders = [compressor(raw, LEVEL, 0) for raw in sent.value]
-        careful = [compressor(raw, SHORT_LEVEL, 3) for raw in sent.value]
+        encoders = [Encoder(raw) for raw in sent.value]
         for batch in batches:
             best, margin, score = [], [], []
             for part in slices(batch):
                 texts = [folded(t) for t in part.to_pylist()]
-                sizes = np.array([encoded_sizes(t, careful if len(t) <= SHORT else encoders)
-                                  for t in texts], np.int64)
+                sizes = np.array([[e.size(t) for e in encoders] for t in texts], np.int64)
                 plain = np.maximum([len(t) for t in texts], 1)
                 first = sizes.argmin(axis=1)
                 ordered = np.sort(sizes, axis=1)
