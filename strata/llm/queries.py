@@ -8,13 +8,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid
+from . import bpe, langid, secrets
 from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of the secrets of every text."""
+    docs = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"].isin(secrets.BASE))
+    kinds = F.transform("secrets", lambda s: s["kind"])
+    counts = [(F.size("secrets") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}")
+              for k in secrets.BASE]
+    return docs.select("doc_id", *counts, F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+                       secrets.joined(F.col("secrets")).alias("spans"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the bytes that they decode to, as digests."""
     import public_tokenizers
@@ -33,5 +44,6 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op7_secrets": op7_secrets,
     "op9_byte_bpe": op9_byte_bpe,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid
+from . import bpe, langid, secrets
 from .queries import RANK_FILE
 from .tables import held_out
 
@@ -17,6 +17,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by a mark."""
+    found = secrets.scan(docs)
+    text = secrets.redacted(F.col("text"), F.col("secrets"))
+    n_chars = F.when(F.size("secrets") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    new = {"text": text, "n_chars": n_chars}
+    return found.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every kept document, with the digests of op9."""
     import public_tokenizers
