@@ -3,6 +3,32 @@
 from __future__ import annotations
 
 
+#: Words of the decontamination contract, A-Z lower-cased.
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP8 = f"""
+with d as (select doc_id, coalesce({_WORDS}, []) as w from documents),
+b as (select item_id, {_WORDS} as w from benchmark),
+win as (select distinct item_id, array_to_string(w[s:s + least(13, len(w)) - 1], ' ') as win, least(13, len(w)) as n
+        from (select item_id, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) as s from b where len(w) > 0)),
+sizes as (select distinct n from win),
+runs as (select doc_id, n, unnest(range(1, len(w) - n + 2)) as s, w from d, sizes where len(w) >= n),
+hit as (select r.doc_id, r.s, r.n, win.item_id
+        from (select doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') as win from runs) r
+        join win on r.win = win.win and r.n = win.n),
+words as (select doc_id, count(distinct p) as n_hit
+          from (select doc_id, unnest(range(s, s + n)) as p from hit) group by doc_id),
+items as (select doc_id, count(distinct item_id) as n_items,
+                 string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids
+          from hit group by doc_id)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(d.w) as contaminated
+from d left join words using (doc_id) left join items using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query name."""
-    return {}
+    return {"op8_decontaminate": OP8}

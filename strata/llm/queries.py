@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, secrets
+from . import bpe, decontaminate, langid, secrets
 from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
@@ -26,6 +26,13 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                        secrets.joined(F.col("secrets")).alias("spans"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows inside every document."""
+    made = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return made.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the bytes that they decode to, as digests."""
     import public_tokenizers
@@ -45,5 +52,6 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op7_secrets": op7_secrets,
+    "op8_decontaminate": op8_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
 }

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, secrets
+from . import bpe, decontaminate, langid, secrets
 from .queries import RANK_FILE
-from .tables import held_out
+from .tables import held_out, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +17,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark doesn't contaminate."""
+    judged = decontaminate.judge(docs, table(spark, sf_dir, "benchmark"))
+    bad = judged.where("contaminated").select(
+        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_text"))
+    return docs.join(bad, same, "left_anti")
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark."""
     found = secrets.scan(docs)
