@@ -29,6 +29,22 @@ from d left join words using (doc_id) left join items using (doc_id)
 """
 
 
+OP6 = """
+with t as (select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
+n as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as pos,
+             count(*) over (partition by conv_id) as size,
+             '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as line from t),
+p as (select *, string_agg(line, '') over (partition by conv_id order by pos) as upto from n),
+whole as (select conv_id, size, upto from p where pos = size - 1),
+inner_ as (select distinct pos + 1 as size, upto from p where pos < size - 1),
+best as (select min(conv_id) as conv_id, count(*) as copies from whole anti join inner_ using (size, upto)
+         group by size, upto)
+select conv_id, pos // 32 as part, max(size) as n_turns, max(copies) as copies,
+       string_agg(line, '' order by pos) as rendered
+from n join best using (conv_id) group by conv_id, pos // 32
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query name."""
-    return {"op8_decontaminate": OP8}
+    return {"op6_chat": OP6, "op8_decontaminate": OP8}

@@ -8,13 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, secrets
+from . import bpe, chat, decontaminate, langid, secrets, urls
 from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and spans of the secrets of every text."""
     docs = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -49,9 +54,16 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.drop("text")
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op6_chat": op6_chat,
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_urls": op10_urls,
 }
