@@ -9,6 +9,10 @@ from strata.llm import stages
 from strata.llm.tables import table, written
 
 STAGES = [
+    ("language_id", stages.language),
+    ("near_duplicates", stages.near_duplicates),
+    ("decontamination", stages.decontamination),
+    ("secret_scan", stages.secret_scan),
     ("byte_bpe", stages.byte_bpe),
 ]
 

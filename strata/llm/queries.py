@@ -8,13 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, secrets, urls
+from . import bpe, chat, decontaminate, jaccard, langid, secrets, urls
 from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by shared 3-word shingles, nine tenths or more."""
+    made = jaccard.groups(table(spark, sf_dir, "documents"), width=3, num=9, den=10)
+    return made.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations, rendered."""
     return chat.render(table(spark, sf_dir, "conversations"))
@@ -61,6 +67,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_jaccard": op2_jaccard,
     "op6_chat": op6_chat,
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, secrets
+from . import bpe, decontaminate, jaccard, langid, secrets
 from .queries import RANK_FILE
 from .tables import held_out, table
 
@@ -17,6 +17,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five words, 0.8 or more."""
+    return jaccard.first_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark doesn't contaminate."""
     judged = decontaminate.judge(docs, table(spark, sf_dir, "benchmark"))

@@ -82,11 +82,12 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int
         take = runs[long]
         pos = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take)
         out[np.repeat(begin[long], take) + pos] = mix(h[np.repeat(first[long], take) + pos])
-    for i in np.flatnonzero((count > 0) & (count < width)):
-        one = np.uint64(count[i])
-        for w in words[first[i]:first[i + 1]]:
-            one = one * np.uint64(0xD1342543DE82EF95) + w
-        out[begin[i]] = mix(np.array([one ^ np.uint64(0xA5A5A5A5)]))[0]
+    short = np.flatnonzero((count > 0) & (count < width))
+    one = count[short].astype(np.uint64)
+    for j in range(width - 1):
+        more = count[short] > j
+        one[more] = one[more] * np.uint64(0xD1342543DE82EF95) + words[first[short[more]] + j]
+    out[begin[short]] = mix(one ^ np.uint64(0xA5A5A5A5))
     return out, begin
 
 
