@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, jaccard, langid, secrets, urls
+from . import bpe, chat, decontaminate, jaccard, langid, secrets, toxicity, urls
 from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
@@ -21,6 +21,14 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text; trained without the held-out rows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    made = toxicity.judge(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
+    return made.drop("text")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations, rendered."""
     return chat.render(table(spark, sf_dir, "conversations"))
@@ -68,6 +76,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_jaccard": op2_jaccard,
+    "op3_toxicity": op3_toxicity,
     "op6_chat": op6_chat,
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
