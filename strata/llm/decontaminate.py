@@ -33,6 +33,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import written
+
 #: Characters between words; A-Z are word characters until they are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,18 +58,21 @@ def _lowered(words: Column) -> Column:
 
 
 def windows(benchmark: DataFrame, width: int, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, start, words): the windows of all items, repeated ones once."""
+    """(item_id, size, window): the windows of all items, repeated ones once,
+    their words joined by one space."""
     words = F.filter(_lowered(_split(F.col(text))), lambda w: w != "")
     rows = benchmark.select(F.col(item).alias("item_id"), words.alias("all")).where(F.size("all") > 0)
     start = F.sequence(F.lit(0), F.greatest(F.size("all") - width, F.lit(0)))
     return (rows.distinct().select("item_id", "all", F.explode(start).alias("start"))
-            .select("item_id", "start", F.slice("all", F.col("start") + 1, F.lit(width)).alias("window")))
+            .select("item_id", F.slice("all", F.col("start") + 1, F.lit(width)).alias("window"))
+            .select("item_id", F.size("window").alias("size"), F.array_join("window", " ").alias("window"))
+            .distinct())
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = 13, text: str = "text") -> DataFrame:
     """(doc_id, text_hash, begin, end, item_id): every occurrence of a window;
     ``begin`` and ``end`` (exclusive) number the document's words."""
-    made = windows(benchmark, width).select("item_id", "window").distinct().cache()
+    made = written(windows(benchmark, width), "windows")
     n = made.count()
     if n == 0:
         return docs.sparkSession.createDataFrame(
@@ -78,21 +83,23 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 13, text: str = "te
     found = []
     for k in range(blocks):
         part = made.where(block == k)
-        vocabulary = part.select(F.explode("window").alias("w")).select(F.lower("w").alias("key")).distinct()
-        spread = (texts.select(F.explode("words").alias("w")).select(F.lower("w").alias("key"))
+        vocabulary = part.select(F.explode(F.split("window", " ")).alias("w")).select(F.lower("w").alias("key")).distinct()
+        spread = (texts.select(F.explode_outer("words").alias("w")).select(F.lower("w").alias("key"))
                   .join(F.broadcast(vocabulary), "key").groupBy("key").agg(F.count("*").alias("n")))
         rarity = vocabulary.join(spread, "key", "left").select("key", F.coalesce("n", F.lit(0)).alias("n"))
-        tokens = part.select("item_id", "window", F.posexplode("window").alias("offset", "w"))
+        tokens = part.select("item_id", "size", "window", F.posexplode(F.split("window", " ")).alias("offset", "w"))
         rarest = (tokens.join(F.broadcast(rarity), F.lower("w") == F.col("key"))
-                  .groupBy("item_id", "window")
+                  .groupBy("item_id", "size", "window")
                   .agg(F.min(F.struct("n", "offset", "key")).alias("least"))
-                  .select("item_id", "window", "least.offset", "least.key"))
-        begin = F.col("pos") - F.col("offset")
-        size = F.size("window")
+                  .select("item_id", "size", "window", "least.offset", "least.key"))
+        begin, size = F.col("pos") - F.col("offset"), F.col("size")
         fits = (begin >= 0) & (begin + size <= F.size("words"))
-        same = _lowered(F.slice("words", F.greatest(begin, F.lit(0)) + 1, size)) == F.col("window")
+        # no function with a lambda here: the array stays inside generated code,
+        # where a row a word would otherwise carry a copy of it
+        same = F.translate(F.array_join(F.slice("words", F.greatest(begin, F.lit(0)) + 1, size), " "),
+                           UPPER, LOWER) == F.col("window")
         found.append(
-            texts.select("doc_id", "text_hash", "words", F.posexplode("words").alias("pos", "w"))
+            texts.select("doc_id", "text_hash", "words", F.posexplode_outer("words").alias("pos", "w"))
             .join(F.broadcast(rarest), F.lower("w") == F.col("key"))
             .where(fits & same)
             .select("doc_id", "text_hash", begin.alias("begin"), (begin + size).alias("end"),
