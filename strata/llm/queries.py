@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, jaccard, langid, secrets, simhash, toxicity, urls
+from . import bpe, chat, decontaminate, jaccard, langid, secrets, simhash, token_counts, toxicity, urls
 from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
@@ -29,6 +29,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.drop("text")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every text."""
+    import public_tokenizers
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE),
+                                     public_tokenizers.PATTERN)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text, and how near they are."""
     return simhash.with_near(simhash.compare(table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -82,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_jaccard": op2_jaccard,
     "op3_toxicity": op3_toxicity,
+    "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_chat": op6_chat,
     "op7_secrets": op7_secrets,
