@@ -52,21 +52,3 @@ def open_end_as_null(df: DataFrame, valid_to: str = "valid_to") -> DataFrame:
     stored table keeps the sentinel, reports show NULL = open.
     """
     return df.withColumn(valid_to, F.when(~is_current(df, valid_to), F.col(valid_to)))
-
-
-def null_safe_equal(left: str, right: str, cols: Sequence[str]) -> Column:
-    """All ``cols`` equal between two aliased sides, NULL equal to NULL."""
-    if not cols:
-        return F.lit(True)
-    return reduce(lambda a, b: a & b,
-                  [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
-
-
-def changed(left: str, right: str, cols: Sequence[str]) -> Column:
-    """Any tracked column differs (null-safe): ``NOT (l.c <=> r.c)`` OR-ed."""
-    return ~null_safe_equal(left, right, cols)
-
-
-def all_of(preds: Sequence[Column]) -> Column:
-    """Conjunction of predicates; ``TRUE`` for an empty list."""
-    return reduce(lambda a, b: a & b, preds, F.lit(True))

@@ -15,9 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast a key set only below this many rows (checked, not assumed).
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
 
 def affected_keys(images: Sequence[DataFrame], key_exprs: dict[str, Column | str]) -> DataFrame:
     """Distinct keys touched by any of the change images (old and new)."""
@@ -29,20 +26,19 @@ def affected_keys(images: Sequence[DataFrame], key_exprs: dict[str, Column | str
     return out.distinct()
 
 
-def bounded_broadcast(keys: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(keys)`` if it provably has at most ``max_rows`` rows, else
-    ``keys`` unchanged (a shuffle join; AQE may still broadcast it).
-
-    The check runs one small job (``limit(max_rows + 1).count()``); call it
-    in drivers, once per batch.
-    """
-    n = keys.limit(max_rows + 1).count()
-    return F.broadcast(keys) if n <= max_rows else keys
+def _same_key(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``keys`` under other names and the NULL-safe equality with ``df``: a key
+    that is NULL (a failed cast) is affected like any other."""
+    other = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & df[c].eqNullSafe(other[f"_key_{c}"])
+    return other, cond
 
 
 def scope(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is affected (LEFT SEMI; NULL keys never match)."""
-    return df.join(keys, list(on), "left_semi")
+    """Rows of ``df`` whose key is affected (LEFT SEMI, NULL keys included)."""
+    return df.join(*_same_key(df, keys, on), "left_semi")
 
 
 def replace_keys(target: DataFrame, result: DataFrame, affected: DataFrame,
@@ -51,7 +47,7 @@ def replace_keys(target: DataFrame, result: DataFrame, affected: DataFrame,
 
     Keys affected but absent from ``result`` disappear from the target.
     """
-    kept = target.join(affected, list(on), "left_anti")
+    kept = target.join(*_same_key(target, affected, on), "left_anti")
     return kept.unionByName(result.select(*target.columns))
 
 

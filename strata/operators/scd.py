@@ -28,30 +28,10 @@ def _keys_equal(keys: Sequence[str], left: str, right: str):
     return cond
 
 
-def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str],
-             broadcast: bool = False) -> DataFrame:
-    """Target rows whose key occurs in the source: a LEFT SEMI join, executed
-    map-side when the (small) source key set is broadcast, so the large
-    target is never shuffled to meet a small batch."""
-    k = source.select(*keys)
-    return target.join(F.broadcast(k) if broadcast else k, list(keys), "left_semi")
-
-
-# A change batch with at most this many rows is joined by broadcasting its
-# keys (checked with a count, never assumed); larger batches use one shuffled
-# full outer join.
-SMALL_BATCH_ROWS = 1_000_000
-
-
-def _is_small(source: DataFrame, max_rows: int | None) -> bool:
-    """Whether ``source`` provably has at most ``max_rows`` rows.  The
-    session setting ``strata.merge.broadcastBatchRows`` overrides the bound."""
-    conf = source.sparkSession.conf.get("strata.merge.broadcastBatchRows", None)
-    if conf is not None and max_rows == SMALL_BATCH_ROWS:
-        max_rows = int(conf)
-    if not max_rows:
-        return False
-    return source.limit(max_rows + 1).count() <= max_rows
+def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key occurs in the source (LEFT SEMI; AQE broadcasts
+    the key set when it measures small)."""
+    return target.join(source.select(*keys), list(keys), "left_semi")
 
 
 def _full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str]):
@@ -61,16 +41,15 @@ def _full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str]):
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           newer_than: Sequence[str] | None = None,
-           small_batch_rows: int | None = SMALL_BATCH_ROWS) -> DataFrame:
+           newer_than: Sequence[str] | None = None) -> DataFrame:
     """Upsert: source rows replace target rows of the same key.
 
     ``source`` holds at most one row per key and (at least) the target's
     columns.  Unconditional plan: target LEFT ANTI source-keys, UNION ALL
     source.  With ``newer_than`` (order columns, newest = greatest, remaining
     columns break ties) a source row wins only if it is newer than the
-    target row, so the result does not depend on the order batches arrive in;
-    the plan is chosen by batch size as in ``upsert_changed_only``.
+    target row, so the result does not depend on the order batches arrive in:
+    one full outer join on the key.
     """
     src = source.select(*target.columns)
     if not newer_than:
@@ -81,44 +60,31 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     s_ord = F.struct(*[F.col(f"s.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
     pick = lambda take_s: [F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
                            .alias(c) for c in target.columns]
-    if not _is_small(src, small_batch_rows):
-        j = _full_outer(target, src, keys)
-        return j.select(*pick(F.col("s._s").isNotNull() & (F.col("t._t").isNull()
-                                                           | (s_ord > t_ord))))
-    hit = _touched(target, src, keys, True).select(*target.columns, F.lit(True).alias("_t"))
-    j = src.alias("s").join(hit.alias("t"), _keys_equal(keys, "s", "t"), "left")
-    touched = j.select(*pick(F.col("t._t").isNull() | (s_ord > t_ord)))
-    untouched = target.join(F.broadcast(src.select(*keys)), list(keys), "left_anti")
-    return untouched.unionByName(touched)
+    j = _full_outer(target, src, keys)
+    return j.select(*pick(F.col("s._s").isNotNull() & (F.col("t._t").isNull() | (s_ord > t_ord))))
 
 
 def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
                         tracked: Sequence[str], op_col: str | None = None,
                         apply_deletes: bool = True,
-                        small_batch_rows: int | None = SMALL_BATCH_ROWS) -> DataFrame:
+                        newer_than: Sequence[str] | None = None) -> DataFrame:
     """Upsert that rewrites a row only when a tracked column changed.
 
     Unchanged matches keep the target row untouched (including lineage such
     as ``_ingested_at``).  With ``op_col`` given, delete events remove their
-    key when ``apply_deletes`` is set and are ignored otherwise.
+    key when ``apply_deletes`` is set and are ignored otherwise.  With
+    ``newer_than`` (order columns) an event that is older than the target row
+    is ignored, deletes included, so a late batch never undoes a newer one.
 
-    Plan, chosen by a size check of the batch: a batch of at most
-    ``small_batch_rows`` rows has its keys broadcast -- the target is
-    semi-joined to them map-side, the decision is one join of two
-    batch-sized sets, untouched rows pass through a broadcast LEFT ANTI --
-    so the target is never shuffled; a larger batch uses one shuffled full
-    outer join on the key.
+    One full outer join on the key.
     """
     src = source.select(*target.columns, *([op_col] if op_col else []))
-    small = _is_small(src, small_batch_rows)
-    if small:
-        hit = _touched(target, src, keys, True).select(*target.columns, F.lit(True).alias("_t"))
-        j = src.select(*src.columns, F.lit(True).alias("_s")).alias("s").join(
-            hit.alias("t"), _keys_equal(keys, "s", "t"), "left")
-    else:
-        j = _full_outer(target, src, keys)
+    j = _full_outer(target, src, keys)
     t_here = F.col("t._t").isNotNull()
     s_here = F.col("s._s").isNotNull()
+    if newer_than:
+        s_ord, t_ord = (F.struct(*[F.col(f"{side}.{c}").alias(c) for c in newer_than]) for side in "st")
+        s_here = s_here & (~t_here | (s_ord >= t_ord))
     is_delete = (F.coalesce(F.col(f"s.{op_col}") == OP_DELETE, F.lit(False))
                  if op_col else F.lit(False))
     differs = F.lit(False)
@@ -126,13 +92,9 @@ def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str
         differs = differs | ~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
     take_source = s_here & ~is_delete & (~t_here | differs)
     keep_target = t_here & ~take_source & ~(s_here & is_delete & F.lit(apply_deletes))
-    out = (j.filter(take_source | keep_target)
-           .select(*[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-                     .alias(c) for c in target.columns]))
-    if not small:
-        return out
-    untouched = target.join(F.broadcast(src.select(*keys)), list(keys), "left_anti")
-    return untouched.unionByName(out)
+    return (j.filter(take_source | keep_target)
+            .select(*[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+                      .alias(c) for c in target.columns]))
 
 
 def merge_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -190,8 +152,7 @@ def change_metrics_by_batch(feed: DataFrame, keys: Sequence[str], tracked: Seque
 
 def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[str],
                ts_col: str = "event_ts", op_col: str = "op", reject_late: bool = True,
-               valid_from: str = "valid_from", valid_to: str = "valid_to",
-               small_batch_rows: int | None = SMALL_BATCH_ROWS) -> DataFrame:
+               valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
     """Next state of an SCD2 table after one change batch.
 
     * the batch is reduced to the newest event per key (total order);
@@ -199,8 +160,10 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
     * new key (no open row): opens a version;
     * changed tracked columns: closes the open row and opens a new one;
     * no change: nothing;
-    * ``reject_late``: an event not newer than the open row's ``valid_from``
-      is ignored (no inverted interval; a replayed batch is a no-op);
+    * ``reject_late``: an event not newer than the open row's ``valid_from``,
+      or older than the end of the key's newest closed row (a late event after
+      a delete), is ignored (no inverted or overlapping interval; a replayed
+      batch is a no-op);
     * replay guard: a version whose (key, valid_from) already exists is not
       inserted again.
 
@@ -211,17 +174,20 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
     like = {"timestamp_ntz": "timestamp_ntz", "date": "date"}.get(vt_type, "timestamp")
     payload = [c for c in target.columns if c not in (valid_from, valid_to)]
     latest = latest_per_key(batch.select(*payload, op_col, ts_col), [key], [ts_col, op_col])
-    # target lookups touch only the batch's keys (broadcast when the batch is
-    # proven small); the history rewrite joins a batch-sized retire set
-    small = _is_small(latest, small_batch_rows)
-    open_rows = _touched(target.filter(is_current(target, valid_to)), latest, [key],
-                         small).select(
-        F.col(key).alias("_t_key"), F.col(valid_from).alias("_t_from"),
-        *[F.col(c).alias(f"_t_{c}") for c in tracked])
+    # one row a key: its open row, and the end of its newest closed one
+    here = _touched(target, latest, [key])
+    is_open = is_current(target, valid_to)
+    known = here.groupBy(F.col(key).alias("_t_key")).agg(
+        F.max(F.when(is_open, F.struct(F.col(valid_from).alias("_from"), *tracked))).alias("_open"),
+        F.max(F.when(~is_open, F.col(valid_to))).alias("_ended"))
+    open_rows = known.select("_t_key", "_ended", F.col("_open").isNotNull().alias("_has_open"),
+                             F.col("_open._from").alias("_t_from"),
+                             *[F.col(f"_open.{c}").alias(f"_t_{c}") for c in tracked])
     j = latest.join(open_rows, F.col(key) == F.col("_t_key"), "left")
     ts = F.col(ts_col).cast(target.schema[valid_from].dataType)
-    has_open = F.col("_t_key").isNotNull()
-    late = has_open & (ts <= F.col("_t_from")) if reject_late else F.lit(False)
+    has_open = F.coalesce("_has_open", F.lit(False))
+    late = (F.coalesce(F.when(has_open, ts <= F.col("_t_from")).otherwise(ts < F.col("_ended")), F.lit(False))
+            if reject_late else F.lit(False))
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_t_{c}"))
@@ -239,7 +205,7 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
         *payload, ts.alias(valid_from), open_end(like).alias(valid_to))
     # versions already present for the batch's keys (a superset of the
     # inserted keys; independent of the decision join, so it is not re-run)
-    existing = _touched(target.select(key, valid_from), latest, [key], small)
+    existing = _touched(target.select(key, valid_from), latest, [key])
     inserts = inserts.join(existing, [key, valid_from], "left_anti")
     retired = (target.join(retire, (F.col(key) == F.col("_r_key"))
                            & (F.col(valid_from) == F.col("_r_from"))

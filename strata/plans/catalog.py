@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.conform import conform
 from ..functions.predicates import current_rows, open_end_as_null
 from ..operators import cdc, dedup, incremental, quality, scd
-from ..session import checkpoint_root, local_fallback_root
 from ..sources.fixtures import Fixtures
 from . import maintenance, marts
 
@@ -35,7 +34,7 @@ CDC_TRACKED = ["st", "cust"]
 # and the Bronze order-item quantity rule on the flattened row.
 ITEM_RULES = {
     "return_has_reason": quality.SILVER_ORDER_ITEM_RULES["return_has_reason"],
-    "quantity_positive": "quantity IS NULL OR quantity > 0",
+    "valid_quantity": quality.RULES["order_items"]["valid_quantity"].replace("after.", ""),
 }
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,9 +47,6 @@ def query(fn: Query) -> Query:
 
 
 def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
-    # operators that cut lineage need a checkpoint dir; only when the session
-    # names none (local runs) is a local fallback installed
-    checkpoint_root(spark, local_fallback_root())
     # the queries' epoch-millis conversions are defined in UTC
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return Fixtures(spark, sf_dir)

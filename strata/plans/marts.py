@@ -21,7 +21,7 @@ from ..functions.money import allocate_pro_rata, cents_to_double, ratio_half_up
 from ..functions.predicates import current_rows
 from ..operators.dedup import latest_per_key
 
-# Profile columns carried into customer_360 (those present in the input).
+# Profile columns carried into customer_360; an input without one is an error.
 CUSTOMER_PROFILE = ("first_name", "last_name", "email", "loyalty_tier", "city", "state",
                     "country", "registration_date")
 
@@ -34,7 +34,7 @@ def customer_360(customers: DataFrame, orders: DataFrame, as_of_date: _dt.date,
     Both inputs are SCD2 tables and are cut to their open version.  Customers
     without current orders are kept with NULL aggregates.
     """
-    profile = [c for c in (profile_cols or CUSTOMER_PROFILE) if c in customers.columns]
+    profile = list(CUSTOMER_PROFILE if profile_cols is None else profile_cols)
     per_customer = (
         current_rows(orders)
         .groupBy("customer_id")
@@ -83,11 +83,10 @@ def daily_revenue(orders: DataFrame, items: DataFrame, products: DataFrame,
     is joined after the order join; ``count(distinct order_id)`` per group.
     """
     alloc = discount_allocation(orders, items, line_cents, discount_cents)
-    city = F.col(city_col) if city_col in alloc.columns else F.col("shipping_state")
     lines = (
         alloc.select(F.to_date("order_date").alias("order_date"), "order_id", "product_id",
                      "quantity", F.col(line_cents).alias("_line"), "allocated_cents",
-                     "shipping_country", "shipping_state", city.alias("shipping_city"))
+                     "shipping_country", "shipping_state", F.col(city_col).alias("shipping_city"))
         .join(products.select("product_id", "category_id"), "product_id")
         .join(categories.select("category_id", "category_name"), "category_id"))
     return (

@@ -18,7 +18,8 @@ def _customer_360(orders: str, customers: str = "fx_customers_scd2") -> str:
     return f"""
 with o as (select customer_id, sum(total_cents) as c, count(order_id) as n, max(order_date) as last_d
            from {orders} where {CUR} group by customer_id)
-select c.customer_id, c.first_name, c.loyalty_tier, c.country,
+select c.customer_id, c.first_name, c.last_name, c.email, c.loyalty_tier, c.city, c.state, c.country,
+  c.registration_date,
   cast(o.c as double) / 100 as lifetime_value, o.n as order_count, o.last_d as last_order_date,
   cast(date_diff('day', o.last_d, date '2001-08-02') as bigint) as days_since_last_order
 from {customers} c left join o on c.customer_id = o.customer_id
@@ -36,7 +37,7 @@ alloc as (
          then (2 * i.line_cents * coalesce(o.discount_cents, 0) + s.subtotal_cents)
               // (2 * s.subtotal_cents)
          else 0 end as allocated_cents,
-    o.shipping_country, o.shipping_state, o.shipping_state as shipping_city
+    o.shipping_country, o.shipping_state, o.shipping_city
   from {items} i join sub s on i.order_id = s.order_id join cur o on i.order_id = o.order_id)
 select a.order_date, p.category_id, c.category_name, a.shipping_country, a.shipping_state,
   a.shipping_city,
@@ -221,7 +222,7 @@ select 'return_has_reason' as rule, count(*) filter (where not coalesce(
     not (return_requested = true and return_reason is null), false)) as violations
 from fx_order_items
 union all
-select 'quantity_positive', count(*) filter (where not coalesce(quantity is null or quantity > 0, false))
+select 'valid_quantity', count(*) filter (where not coalesce(quantity is null or quantity > 0, false))
 from fx_order_items""",
     "dq_null_violations": """
 select 'order_id' as column_name, count(*) filter (where order_id is null) as null_count from fx_orders_scd2

@@ -8,7 +8,6 @@ keeps the UI off.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -53,33 +52,27 @@ def get_session(
     return spark
 
 
-def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
+def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The setting is read from the session.  Only when it is unset (tests, the
-    local bench) is ``fallback`` installed as the checkpoint dir; on a cluster
-    without the setting and without a fallback this raises rather than
-    silently using a machine-local folder.
+    The setting is read from the session.  A session without it is an error:
+    tests, the bench and local runs name a folder of their own first.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if fallback is None:
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; configure a shared folder")
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        spark.sparkContext.setCheckpointDir(fallback)
-        root = fallback
+        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
-def scratch_dir(spark: SparkSession, name: str, fallback: str | None = None) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
-    root = checkpoint_root(spark, fallback)
-    return f"{root}/strata-work/{name}-{uuid.uuid4().hex[:12]}"
+def use_scratch(spark: SparkSession, folder: str) -> None:
+    """Names ``folder`` as the checkpoint folder of a local session that has none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)
 
 
-def local_fallback_root() -> str:
-    """Fallback used only by tests / local bench when nothing is configured."""
-    return os.environ.get("STRATA_LOCAL_CHECKPOINT", "/tmp/strata-checkpoints")
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder below the shared checkpoint root."""
+    return f"{checkpoint_root(spark)}/strata-work/{name}-{uuid.uuid4().hex[:12]}"

@@ -22,11 +22,17 @@ from .tables import register_tables
 FIXTURE_SQL: dict[str, str] = {
     # open versions for every customer + a closed history row for every 5th
     "fx_customers_scd2": """
-select c_custkey as customer_id, c_name as first_name, c_mktsegment as loyalty_tier,
-  n_name as country, {TS}'1995-01-01 00:00:00' as valid_from, {TS}'9999-12-31 00:00:00' as valid_to
+select c_custkey as customer_id, c_name as first_name, 'L' || cast(c_custkey % 97 as string) as last_name,
+  lower(c_name) || '@example.com' as email, c_mktsegment as loyalty_tier,
+  n_name || '-' || cast(c_custkey % 13 as string) as city, 'S' || cast(c_custkey % 7 as string) as state,
+  n_name as country, cast({TS}'1994-01-01 00:00:00' as date) + cast(c_custkey % 365 as int) as registration_date,
+  {TS}'1995-01-01 00:00:00' as valid_from, {TS}'9999-12-31 00:00:00' as valid_to
 from customer join nation on c_nationkey = n_nationkey
 union all
-select c_custkey, c_name, 'OLD', n_name, {TS}'1990-01-01 00:00:00', {TS}'1995-01-01 00:00:00'
+select c_custkey, c_name, 'L' || cast(c_custkey % 97 as string), lower(c_name) || '@example.com', 'OLD',
+  n_name || '-' || cast(c_custkey % 13 as string), 'S' || cast(c_custkey % 7 as string), n_name,
+  cast({TS}'1994-01-01 00:00:00' as date) + cast(c_custkey % 365 as int),
+  {TS}'1990-01-01 00:00:00', {TS}'1995-01-01 00:00:00'
 from customer join nation on c_nationkey = n_nationkey where c_custkey % 5 = 0""",
     # every order; orders of customers with key % 10 = 3 are closed history
     # (so those customers have no current order); NULL discount for key % 7 = 0
@@ -39,6 +45,7 @@ select o_orderkey as order_id, o_custkey as customer_id,
   case when o_orderkey % 7 = 0 then null
        else cast(round(o_totalprice, 0) as bigint) * (o_orderkey % 5) end as discount_cents,
   r_name as shipping_country, n_name as shipping_state,
+  n_name || '-' || cast(o_custkey % 13 as string) as shipping_city,
   case when o_custkey % 10 = 3 then {TS}'2002-01-01 00:00:00'
        else {TS}'9999-12-31 00:00:00' end as valid_to
 from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
@@ -52,13 +59,15 @@ select l_orderkey as order_id, l_partkey as product_id, l_suppkey as warehouse_i
   case when l_returnflag = 'R' and l_linenumber % 2 = 0 then 'damaged' else null end as return_reason,
   l_shipdate as ts
 from lineitem""",
+    # every 11th product has a category that no category row has, so the
+    # category inner join drops its lines
     "fx_products": """
-select p_partkey as product_id, p_name as product_name, p_brand as brand, p_type as category_id,
+select p_partkey as product_id, p_name as product_name, p_brand as brand,
+  case when p_partkey % 11 = 0 then 'NONE-' || p_type else p_type end as category_id,
   cast(round(p_retailprice * 100, 0) as bigint) as retail_cents
 from part""",
-    # PROMO left out, so the category inner join drops rows
     "fx_categories": """
-select distinct p_type as category_id, lower(p_type) as category_name from part where p_type <> 'PROMO'""",
+select distinct p_type as category_id, lower(p_type) as category_name from part""",
     # stock rows of every 9th product carry an id no product has, so those
     # products have no stock (current_stock defaults to 0)
     "fx_inventory": """
@@ -92,7 +101,7 @@ FIXTURE_SQL["fx_orders_scd2_after"] = """
 select order_id, customer_id,
   case when order_id % 100 = 7 then 'delivered' else order_status end as order_status,
   case when order_id % 100 = 7 then order_date + 1 else order_date end as order_date,
-  updated_at, total_cents, discount_cents, shipping_country, shipping_state, valid_to
+  updated_at, total_cents, discount_cents, shipping_country, shipping_state, shipping_city, valid_to
 from fx_orders_scd2"""
 # ... and 1 % of order items change quantity and amount.
 FIXTURE_SQL["fx_order_items_after"] = """
@@ -111,12 +120,12 @@ from fx_clickstream"""
 # ... and 1 % of customers change loyalty tier: the open row closes and a new
 # open row starts (profile-only changes must reach customer 360 too).
 FIXTURE_SQL["fx_customers_scd2_after"] = """
-select customer_id, first_name, loyalty_tier, country, valid_from,
+select customer_id, first_name, last_name, email, loyalty_tier, city, state, country, registration_date, valid_from,
   case when customer_id % 100 = 7 and valid_to >= {TS}'9999-12-31 00:00:00'
        then {TS}'2001-01-01 00:00:00' else valid_to end as valid_to
 from fx_customers_scd2
 union all
-select customer_id, first_name, 'PLATINUM', country, {TS}'2001-01-01 00:00:00', valid_to
+select customer_id, first_name, last_name, email, 'PLATINUM', city, state, country, registration_date, {TS}'2001-01-01 00:00:00', valid_to
 from fx_customers_scd2 where customer_id % 100 = 7 and valid_to >= {TS}'9999-12-31 00:00:00'"""
 # ... and stock snapshots of 1 % of products get a newer, larger count.
 FIXTURE_SQL["fx_inventory_after"] = """

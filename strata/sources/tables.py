@@ -1,14 +1,11 @@
-"""Static table scans and file reads (batch)."""
+"""Static table scans (batch)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-               "events", "documents", "embeddings", "pages", "benchmark", "labels",
-               "conversations")
+STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +13,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TEST_TABLES[:8]) -> None:
+def register_tables(spark: SparkSession, sf_dir: str, names=STAR_TABLES) -> None:
     """Expose the driver tables as temp views under their plain names."""
     for n in names:
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
@@ -28,13 +25,3 @@ def with_lineage(df: DataFrame) -> DataFrame:
         "_ingested_at": F.current_timestamp(),
         "_source_file": F.col("_metadata.file_path"),
     })
-
-
-def read_files(spark: SparkSession, fmt: str, schema: StructType, path: str,
-               lineage: bool = True) -> DataFrame:
-    """Batch read of landed CSV/JSON files with an explicit schema."""
-    reader = spark.read.format(fmt).schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    df = reader.load(path)
-    return with_lineage(df) if lineage else df

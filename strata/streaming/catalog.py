@@ -18,7 +18,7 @@ from ..plans import catalog as batch_catalog
 from ..plans import maintenance, marts
 from ..plans.oracle_sql import _RAW as BATCH_SQL
 from ..plans.oracle_sql import ITEM_PRED
-from ..session import local_fallback_root, scratch_dir
+from ..session import scratch_dir
 from ..sources.fixtures import CDC_WAVES, Fixtures, with_fixtures
 from . import jobs
 from .publish import VersionedTable
@@ -32,7 +32,7 @@ def _q(fn):
 
 
 def _work(spark: SparkSession, name: str) -> str:
-    return scratch_dir(spark, name, local_fallback_root())
+    return scratch_dir(spark, name)
 
 
 PRODUCT_CSV_SCHEMA = StructType([
@@ -95,7 +95,7 @@ def stream_dq_split(spark, sf_dir):
     src = file_stream(spark, "parquet", schema, f"{work}/landing", max_files_per_trigger=1)
     jobs.dq_split(src, batch_catalog.ITEM_RULES, f"{work}/valid", f"{work}/quarantine",
                   f"{work}/_checkpoints/dq")
-    drop = [*jobs.LINEAGE_COLS, "_batch_id"]
+    drop = [*jobs.LINEAGE_COLS, "_query_id", "_batch_id"]
     valid = spark.read.parquet(f"{work}/valid").drop(*drop).withColumn("is_valid", F.lit(True))
     bad = spark.read.parquet(f"{work}/quarantine").drop(*drop).withColumn("is_valid", F.lit(False))
     return valid.unionByName(bad)

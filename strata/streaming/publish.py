@@ -4,11 +4,13 @@
 micro-batch with the same batch id.  A mutable table written by such a batch
 must therefore compute its next state from the version that preceded the
 batch, not from whatever is current.  ``VersionedTable`` writes each state
-under ``<root>/v=<version>`` and records commits as small JSON files
-``<root>/_commits/c<seq>``; the head is the commit with the highest ``seq``.
-A replayed batch finds its own version at the head, reuses that commit's
-parent and overwrites its own directory -- applying a batch twice equals
-applying it once.
+under ``<root>/v=<version>`` and records commits as small JSON files in
+``<root>/_commits/c<seq>~<version>``; the head is the commit with the highest
+``seq``.  Jobs name a version by streaming query id and batch id, so a
+recreated checkpoint never meets an old name.  A batch whose version is
+committed is not applied again, whoever committed since; a folder that a
+commit names is never written again.  The head is read anew for every batch,
+and a sequence number that another writer took is refused.
 
 Bucketed tables (``bucket_by``) rewrite only what a batch touches: rows are
 placed in ``pmod(hash(keys), buckets)`` buckets (one write task and one
@@ -32,9 +34,10 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -55,11 +58,8 @@ class VersionedTable:
         self.buckets = buckets
         # append-only change log: old/new images of every rewritten row
         self.changes = changes.rstrip("/") if changes else None
-        # a table has one writer: after the first read, the head it committed
-        # last is known without listing the commit log again
-        self._head = None
-        # declared constraints, checked on each version before it is written
-        # (bucketed tables: only the rewritten buckets, where keys are local)
+        # declared constraints, checked on each version's files before they are
+        # committed (bucketed tables: only the rewritten buckets, where keys are local)
         self.not_null = list(not_null)
         self.primary_key = list(primary_key)
 
@@ -71,24 +71,34 @@ class VersionedTable:
         except AnalysisException:
             return None
 
+    def _committed(self) -> dict[int, str]:
+        """Version by sequence number, from a listing of the commit folders."""
+        try:
+            files = (self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true")
+                     .json(f"{self.root}/_commits").inputFiles())
+        except AnalysisException:
+            return {}
+        found = {}
+        for f in files:
+            seq, version = re.search(r"/_commits/c(\d+)~([^/]+)/", unquote(f)).groups()
+            if found.setdefault(int(seq), version) != version:
+                raise RuntimeError(f"two writers committed number {int(seq)} under {self.root}")
+        return found
+
+    def _at(self, seq: int, version: str):
+        return (self.spark.read.schema(COMMIT_SCHEMA)
+                .json(f"{self.root}/_commits/c{seq:012d}~{version}").first())
+
     def head(self):
         """The latest commit row or ``None``."""
-        if self._head is not None:
-            return self._head
-        commits = self._commits()
-        if commits is None:
-            return None
-        rows = commits.orderBy(F.col("seq").desc()).limit(1).collect()
-        self._head = rows[0] if rows else None
-        return self._head
+        found = self._committed()
+        return self._at(max(found), found[max(found)]) if found else None
 
     def _commit_row(self, version: str):
-        if self._head is not None and self._head.version == version:
-            return self._head
-        rows = self._commits().filter(F.col("version") == version).limit(1).collect()
-        if not rows:
-            raise FileNotFoundError(f"version {version} not committed under {self.root}")
-        return rows[0]
+        for seq, name in self._committed().items():
+            if name == version:
+                return self._at(seq, version)
+        raise FileNotFoundError(f"version {version} not committed under {self.root}")
 
     def history(self, limit: int = 10) -> DataFrame:
         """The newest ``limit`` commits ``(seq, version, parent)``, newest first."""
@@ -135,11 +145,11 @@ class VersionedTable:
         buckets when ``None``); the manifest is ``base_manifest`` with those
         buckets now pointing at ``version`` (or removed if they became empty).
         """
-        if self.not_null or self.primary_key:
-            if self.primary_key and self.bucket_by and not set(self.bucket_by) <= set(
-                    self.primary_key):
-                raise ValueError("bucket_by must be part of the primary key to check it per bucket")
-            enforce_constraints(df, self.not_null, self.primary_key)
+        if self.primary_key and self.bucket_by and not set(self.bucket_by) <= set(self.primary_key):
+            raise ValueError("bucket_by must be part of the primary key to check it per bucket")
+        taken = self._committed()
+        if seq in taken or version in taken.values():
+            raise RuntimeError(f"commit {seq} ({version}) exists under {self.root}: another writer")
         manifest = None
         if self.bucket_by:
             (df.repartition(self.buckets, *self.bucket_by)
@@ -155,11 +165,13 @@ class VersionedTable:
             manifest = json.dumps(manifest, sort_keys=True)
         else:
             df.write.mode("overwrite").parquet(self.path(version))
+        if self.not_null or self.primary_key:
+            full = StructType(df.schema.fields + [StructField(BUCKET, IntegerType())] * bool(self.bucket_by))
+            enforce_constraints(self.spark.read.schema(full).parquet(self.path(version)),
+                                self.not_null, self.primary_key)
         record = [(seq, version, parent, manifest, df.schema.json())]
         (self.spark.createDataFrame(record, COMMIT_SCHEMA).coalesce(1)
-         .write.mode("overwrite").json(f"{self.root}/_commits/c{seq:012d}"))
-        self._head = Row(seq=seq, version=version, parent=parent, manifest=manifest,
-                         schema=df.schema.json())
+         .write.mode("error").json(f"{self.root}/_commits/c{seq:012d}~{version}"))
 
     def _written_buckets(self, schema: StructType, version: str) -> list[int]:
         """Bucket directories present in a version (a driver-side file listing)."""
@@ -189,13 +201,16 @@ class VersionedTable:
         ``touched`` keys -- and rewrite only those buckets.
         """
         version = f"{tag}-{batch_id:012d}"
-        h = self.head()
-        if h is not None and h.version == version:      # replay of a committed batch
-            seq = h.seq
-            parent = self._commit_row(h.parent) if h.parent is not None else None
-        else:
-            seq, parent = (h.seq + 1, h) if h is not None else (0, None)
-        parent_name = parent.version if parent is not None else None
+        committed = self._committed()
+        last = max(committed) if committed else -1
+        if version in committed.values():               # replay of a committed batch
+            if committed[last] == version and self.changes is not None:
+                h = self._at(last, version)             # its change log may be missing
+                prev = self.read(self._commit_row(h.parent)) if h.parent is not None else None
+                self._log_changes(prev, version, None)
+            return version
+        parent = self._at(last, committed[last]) if committed else None
+        seq, parent_name = last + 1, parent.version if parent is not None else None
         if not self.bucket_by:
             prev = self.read(parent) if parent is not None else None
             self.commit(step(prev, batch), version, parent_name, seq)
@@ -220,8 +235,7 @@ class VersionedTable:
         keeps a replayed batch from logging twice."""
         if self.changes is None:
             return
-        new = (self.read(version, only_buckets=affected) if self.bucket_by
-               else self.read(version))
+        new = self.read(version, only_buckets=affected) if self.bucket_by else self.read(version)
         old = prev if prev is not None else new.limit(0)
         old = old.select(*new.columns)
         images = (old.exceptAll(new).withColumn("_image", F.lit("old"))

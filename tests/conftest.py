@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from strata.session import checkpoint_root, get_session  # noqa: E402
+from strata.session import get_session, use_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,7 +15,7 @@ def spark():
                     extra_conf={"spark.ui.showConsoleProgress": "false"})
     s.sparkContext.setLogLevel("ERROR")
     # tests own their checkpoint root only because none is configured here
-    checkpoint_root(s, tempfile.mkdtemp(prefix="strata-ckpt-"))
+    use_scratch(s, tempfile.mkdtemp(prefix="strata-ckpt-"))
     yield s
 
 

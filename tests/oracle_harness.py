@@ -85,14 +85,15 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
 
 
 def main(argv: list[str]) -> int:
-    from strata.session import get_session, local_fallback_root, checkpoint_root
+    import tempfile
+    from strata.session import get_session, use_scratch
     from __spark_entry__ import queries
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(queries())
     spark = get_session("local[8]", shuffle_partitions=8,
                         extra_conf={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark, local_fallback_root())
+    use_scratch(spark, tempfile.mkdtemp(prefix="strata-oracle-"))
     con = duck(sf_dir)
     bad = 0
     for n in names:

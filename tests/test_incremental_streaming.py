@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import incremental
@@ -43,14 +44,6 @@ def test_replace_keys_removes_absent_keys(spark):
     assert _rows(incremental.replace_keys(tgt, res, keys, ["k"])) == [("a", 1), ("b", 20)]
 
 
-def test_bounded_broadcast_checks_size(spark):
-    keys = spark.range(10).withColumnRenamed("id", "k")
-    small = incremental.bounded_broadcast(keys, max_rows=100)
-    big = incremental.bounded_broadcast(keys, max_rows=5)
-    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
-
-
 def test_versioned_table_replay_is_idempotent(spark):
     t = VersionedTable(spark, scratch_dir(spark, "replay"))
     t.initialize(spark.createDataFrame([("a", 1)], "k string, v int"))
@@ -219,3 +212,49 @@ def test_bucketed_mart_rewrites_only_touched_keys(spark):
     assert _rows(mart.read()) == _rows(marts.fulfillment_health(after))
     expect = {r.b for r in touched.select(mart.bucket_of().alias("b")).collect()}
     assert set(mart._written_buckets(mart.read().schema, v)) <= expect
+
+
+def _drop(spark, path, rows):
+    spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("bucketed", [True, False])
+def test_recreated_checkpoint_loses_no_row(spark, bucketed):
+    """Batch ids start at 0 again with a new checkpoint; versions are named by
+    query id too, so no committed folder is written again."""
+    work = scratch_dir(spark, "recreated")
+    kw = {"bucket_by": ["k"], "buckets": 4} if bucketed else {}
+    table = VersionedTable(spark, f"{work}/t", **kw)
+    schema = "k string, v int"
+    for i, rows in enumerate(([(f"k{j}", 1) for j in range(40)], [("k0", 2)], [("k1", 3)])):
+        _drop(spark, f"{work}/in{i}", rows)
+        src = spark.readStream.schema(schema).parquet(f"{work}/in{i}")
+        jobs.scd1_stream(src, table, ["k"], ["v"], f"{work}/checkpoint{i}", tag="t")
+    got = {r.k: r.v for r in VersionedTable(spark, f"{work}/t", **kw).read().collect()}
+    assert got == {f"k{j}": {0: 2, 1: 3}.get(j, 1) for j in range(40)}
+
+
+def test_recreated_checkpoint_keeps_split_rows(spark):
+    work = scratch_dir(spark, "resplit")
+    for i, n in enumerate((10, 3)):
+        _drop(spark, f"{work}/in{i}", [(f"k{j}", j - 1) for j in range(n)])
+        src = spark.readStream.schema("k string, v int").parquet(f"{work}/in{i}")
+        jobs.dq_split(src, {"positive": "v >= 0"}, f"{work}/ok", f"{work}/bad", f"{work}/checkpoint{i}")
+    assert spark.read.parquet(f"{work}/ok").count() == 11 and spark.read.parquet(f"{work}/bad").count() == 2
+
+
+def test_two_writers_and_late_replay(spark):
+    """Each writer reads the head anew; a batch that is committed is not
+    applied again, also after another writer's commit."""
+    root = scratch_dir(spark, "writers")
+    one, two = VersionedTable(spark, root), VersionedTable(spark, root)
+    step = lambda prev, b: b if prev is None else prev.unionByName(b)
+    batches = [spark.createDataFrame([(f"k{i}", i)], "k string, v int") for i in range(3)]
+    one.apply(step, batches[0], 0, "a")
+    two.apply(step, batches[1], 0, "b")
+    one.apply(step, batches[2], 1, "a")
+    one.apply(step, batches[0], 0, "a")
+    two.apply(step, batches[1], 0, "b")
+    assert sorted(r.k for r in two.read().collect()) == ["k0", "k1", "k2"]
+    with pytest.raises(RuntimeError):
+        one.commit(batches[0], "c-0", None, 1)

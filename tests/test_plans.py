@@ -34,7 +34,8 @@ def test_customer_360_pushes_and_prunes(spark, tmp_path, capsys):
     spark.createDataFrame([("C1", "O1", 100, dt.date(2024, 1, 1), "note", OPEN)],
                           "customer_id string, order_id string, total_cents bigint, "
                           "order_date date, note string, valid_to timestamp").write.parquet(o)
-    df = marts.customer_360(spark.read.parquet(c), spark.read.parquet(o), dt.date(2024, 2, 1))
+    df = marts.customer_360(spark.read.parquet(c), spark.read.parquet(o), dt.date(2024, 2, 1),
+                            profile_cols=["first_name", "email"])
     plan = _plan(df, capsys)
     assert plan.count("GreaterThanOrEqual(valid_to,") == 2
     assert "note" not in plan.split("ReadSchema")[1] and "note" not in plan.split("ReadSchema")[2]

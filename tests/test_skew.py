@@ -52,7 +52,7 @@ def test_customer_360_hot_customer(spark, capsys):
         F.lit(dt.date(2024, 1, 1)).alias("order_date"), F.lit(OPEN).alias("valid_to"))
     customers = spark.createDataFrame([("HOT", "x", OPEN)],
                                       "customer_id string, first_name string, valid_to timestamp")
-    r = marts.customer_360(customers, orders, dt.date(2024, 1, 2))
+    r = marts.customer_360(customers, orders, dt.date(2024, 1, 2), profile_cols=[])
     row = r.collect()[0]
     assert (row.order_count, row.lifetime_value) == (1000, 1000.0)
     assert _partial_before_exchange(r, capsys)
@@ -68,7 +68,8 @@ def test_daily_revenue_hot_order(spark):
         "order_id", F.lit(dt.datetime(2024, 1, 1)).alias("order_date"),
         F.when(F.col("order_id") == "HOT", F.lit(1000)).otherwise(F.lit(0)).cast("bigint")
         .alias("discount_cents"), F.lit("UK").alias("shipping_country"),
-        F.lit("Kent").alias("shipping_state"), F.lit(OPEN).alias("valid_to"))
+        F.lit("Kent").alias("shipping_state"),
+        F.lit("Ashford").alias("shipping_city"), F.lit(OPEN).alias("valid_to"))
     prods = spark.createDataFrame([("P1", "shoe")], "product_id string, category_id string")
     cats = spark.createDataFrame([("shoe", "Shoes")], "category_id string, category_name string")
     r = marts.daily_revenue(orders, items, prods, cats).collect()
