@@ -134,6 +134,12 @@ union all
 select product_id, warehouse_id, snapshot_date + 1, quantity_available + 7, l_orderkey, l_linenumber
 from fx_inventory where product_id % 100 = 7"""
 
+# order items with a unit price and a line total; every fifth order's third
+# line is off by one
+PRICED = """cast(line_cents as double) / 100 / quantity as unit_price,
+  cast(line_cents as double) / 100 + case when line_no = 3 and order_id % 5 = 0 then 1 else 0 end as line_total"""
+FIXTURE_SQL["fx_order_items_priced"] = f"select *, {PRICED} from fx_order_items"
+
 SPARK_TS = "timestamp_ntz"
 DUCKDB_TS = "timestamp"
 

@@ -19,7 +19,7 @@ from ..plans import maintenance, marts
 from ..plans.oracle_sql import _RAW as BATCH_SQL
 from ..plans.oracle_sql import ITEM_PRED
 from ..session import scratch_dir
-from ..sources.fixtures import CDC_WAVES, Fixtures, with_fixtures
+from ..sources.fixtures import CDC_WAVES, PRICED, Fixtures, with_fixtures
 from . import jobs
 from .publish import VersionedTable
 
@@ -115,6 +115,24 @@ def stream_scd1(spark, sf_dir):
     return table.read().drop(*jobs.LINEAGE_COLS)
 
 
+@_q
+def stream_silver_quarantine(spark, sf_dir):
+    """The SCD1 order items split by the Silver rules into a clean and a
+    quarantined table."""
+    from ..operators.quality import SILVER_ORDER_ITEM_RULES
+    from .drivers import file_stream
+    fx, work = Fixtures(spark, sf_dir), _work(spark, "silver-dq")
+    fx["fx_order_items_priced"].write.parquet(f"{work}/landing")
+    src = file_stream(spark, "parquet", fx["fx_order_items_priced"].schema, f"{work}/landing", lineage=False)
+    silver = VersionedTable(spark, f"{work}/silver", bucket_by=batch_catalog.ITEM_KEYS, buckets=16)
+    jobs.scd1_stream(src, silver, batch_catalog.ITEM_KEYS, batch_catalog.ITEM_ORDER,
+                     f"{work}/_checkpoints/scd1", tag="scd1")
+    clean, bad = (VersionedTable(spark, f"{work}/{name}") for name in ("clean", "quarantined"))
+    jobs.silver_quarantine(silver, SILVER_ORDER_ITEM_RULES, clean, bad)
+    return (clean.read().withColumn("is_valid", F.lit(True))
+            .unionByName(bad.read().withColumn("is_valid", F.lit(False))))
+
+
 @_q
 def stream_scd2(spark, sf_dir):
     """The orders CDC log, one wave per micro-batch, kept as SCD2 history."""
@@ -272,6 +290,9 @@ def stream_oracle_sql() -> dict[str, str]:
         "stream_ingest_cdc_json": BATCH_SQL["cdc_flatten"],
         "stream_dq_split": f"select *, {ITEM_PRED} as is_valid from fx_order_items",
         "stream_scd1": BATCH_SQL["latest_order_item"],
+        "stream_silver_quarantine": f"""select *, coalesce(not (return_requested = true and return_reason is null)
+            and abs(line_total - quantity * unit_price) < 0.01, false) as is_valid
+            from (select *, {PRICED} from ({BATCH_SQL['latest_order_item']}) l) p""",
         "stream_scd2": BATCH_SQL["scd2_from_changelog"],
         "stream_scd1_cdc": f"""select pk, st, cust, epoch_ms(valid_from) as ts_ms
             from ({BATCH_SQL['scd2_from_changelog']}) h where valid_to is null""",
