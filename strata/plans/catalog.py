@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.conform import conform
 from ..functions.predicates import current_rows, open_end_as_null
 from ..operators import cdc, dedup, incremental, quality, scd
+from ..session import checkpoint_root
 from ..sources.fixtures import Fixtures
 from . import maintenance, marts
 
@@ -263,7 +264,8 @@ def _empty_scd2(spark: SparkSession) -> DataFrame:
         [], "pk bigint, st string, cust bigint, valid_from timestamp_ntz, valid_to timestamp_ntz")
 
 
-def _scd2_after_two_batches(spark, sf_dir, replay: bool = False) -> DataFrame:
+def _scd2_after_two_batches(spark, sf_dir, replay: bool = False, late: bool = False) -> DataFrame:
+    checkpoint_root(spark)
     b1, b2 = _cdc_batches(_fx(spark, sf_dir))
     # each applied batch is materialised (as a published version would be);
     # checkpoint() cuts the lineage into the session's checkpoint dir
@@ -271,6 +273,14 @@ def _scd2_after_two_batches(spark, sf_dir, replay: bool = False) -> DataFrame:
     state = scd.scd2_apply(state, _scd2_rows(b2), "pk", CDC_TRACKED)
     if replay:
         state = scd.scd2_apply(state.checkpoint(), _scd2_rows(b2), "pk", CDC_TRACKED)
+    if late:        # an update of every deleted key, older than its delete
+        state = state.checkpoint()
+        ended = state.groupBy("pk").agg(F.max("valid_to").alias("ended")).where(
+            F.col("ended") < F.lit("9999-12-31").cast("timestamp_ntz"))
+        old = ended.select("pk", F.lit("late").alias("st"), F.lit(0).cast("bigint").alias("cust"),
+                           F.lit("u").alias("op"),
+                           (F.col("ended") - F.expr("interval 500 milliseconds")).alias("event_ts"))
+        state = scd.scd2_apply(state, old, "pk", CDC_TRACKED)
     return open_end_as_null(state)
 
 
@@ -285,6 +295,12 @@ def scd2_replay(spark, sf_dir):
     return _scd2_after_two_batches(spark, sf_dir, replay=True)
 
 
+@query
+def scd2_late_after_delete(spark, sf_dir):
+    """A late event after a delete opens nothing."""
+    return _scd2_after_two_batches(spark, sf_dir, late=True)
+
+
 @query
 def scd2_from_changelog(spark, sf_dir):
     ev = _scd2_rows(orders_cdc_events(_fx(spark, sf_dir)))

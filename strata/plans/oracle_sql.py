@@ -296,13 +296,15 @@ from j""",
     "scd1_batch_metrics": BATCH_METRICS,
     "topk_batches": f"select * from ({BATCH_METRICS}) m order by batch_id desc limit 10",
     "scd2_apply": f"""select pk, st, cust, valid_from,
+  case when valid_to < {OPEN} then valid_to end as valid_to from {SCD2_TWO_BATCHES} s""",
+    "scd2_late_after_delete": f"""select pk, st, cust, valid_from,
   case when valid_to < {OPEN} then valid_to end as valid_to from {SCD2_TWO_BATCHES} s""",
     "scd2_replay": f"""select pk, st, cust, valid_from,
   case when valid_to < {OPEN} then valid_to end as valid_to from {SCD2_TWO_BATCHES} s""",
     "scd2_from_changelog": f"""select pk, st, cust, valid_from,
   case when valid_to < {OPEN} then valid_to end as valid_to from {CHANGELOG} c""",
-    "current_customers": f"""select customer_id, first_name, loyalty_tier, country, valid_from,
-  cast(null as timestamp) as valid_to from fx_customers_scd2 where {CUR}""",
+    "current_customers": f"""select * replace (cast(null as timestamp) as valid_to)
+  from fx_customers_scd2 where {CUR}""",
     "append_conform_events": """select event_id, session_id, customer_id, event_type,
   event_timestamp, referrer from fx_clickstream""",
     "affected_keys": f"select distinct cast(order_date as date) as order_date from {ORDER_CHANGES} c",
