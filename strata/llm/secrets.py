@@ -172,36 +172,38 @@ class Scanner:
         return bool((a.step[state, :-1] == state).all())
 
 
-def scan(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
-    """``docs`` with ``secrets``: array of (kind, start, end)."""
+def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+    """``text`` with every span, or union of overlapping spans, replaced by ``mark``."""
+    out, at = [], 0
+    for _, begin, end in spans:
+        if begin >= at:
+            out += [text[at:begin], mark]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def scan(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with ``secrets``, an array of (kind, start, end), and ``clean``,
+    the text with ``mark`` in their place (NULL where there are none)."""
     scanner = share(docs.sparkSession, Scanner(rules))     # transition arrays, under 1 MB
 
-    @F.arrow_udf(SPANS)
+    @F.arrow_udf(f"secrets {SPANS}, clean string")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             rows = [found for part in slices(batch) for found in scanner.value.spans(part)]
-            yield pa.array([[{"kind": n, "start": b, "end": e} for n, b, e in r] for r in rows], kind)
+            clean = [redacted(batch[i].as_py(), r, mark) if r else None for i, r in enumerate(rows)]
+            yield pa.StructArray.from_arrays(
+                [pa.array([[{"kind": n, "start": b, "end": e} for n, b, e in r] for r in rows], kind),
+                 pa.array(clean, pa.string())], ["secrets", "clean"])
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "secrets"]
-    return docs.select(*kept, find(F.col(text)).alias("secrets"))
+    made = ["secrets", "clean"]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made and c != "_scanned"]
+    return (docs.withColumn("_scanned", find(F.col(text)))
+            .select(*kept, *[F.col(f"_scanned.{c}").alias(c) for c in made]))
 
 
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of all spans, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every span, or union of overlapping spans, replaced by ``mark``."""
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def add(done: Column, span: Column) -> Column:
-        fresh = F.concat(done["out"], F.substring(text, done["at"] + 1, span["start"] - done["at"]), F.lit(mark))
-        return F.struct(F.when(span["start"] >= done["at"], fresh).otherwise(done["out"]).alias("out"),
-                        F.greatest(done["at"], span["end"]).alias("at"))
-
-    whole = F.aggregate(spans, begin, add, lambda done: F.concat(
-        done["out"], F.substring(text, done["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)

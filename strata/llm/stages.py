@@ -33,11 +33,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark."""
-    found = secrets.scan(docs)
-    text = secrets.redacted(F.col("text"), F.col("secrets"))
-    n_chars = F.when(F.size("secrets") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    new = {"text": text, "n_chars": n_chars}
-    return found.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    found = secrets.scan(docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns}), "_own_text")
+    new = {"text": F.coalesce("clean", "_own_text"),
+           "n_chars": F.coalesce(F.length("clean").cast("long"), "_own_n_chars")}
+    return found.select(*[new.get(c, F.col(f"`_own_{c}`")).alias(c) for c in docs.columns])
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
