@@ -18,7 +18,15 @@ distinct word shingles.  Method: set-relation skipping over a prefix index.
   skipped whole.  This yields every group exactly, without the pairs within
   a group of near copies.
 * Candidates pass an exact bound on the symmetric difference (bits in which
-  512-bit parities of the sets differ) before whole sets are compared.
+  256-bit parities of the sets differ) inside the join that finds them.
+  Sets of more than ``LONG`` shingles, which fill the parities, enter
+  ``n // 50`` further lists, and two of them must meet in more than
+  ``min(n, m) // 50`` lists (the same prefix theorem for that many shared
+  shingles), so that long texts don't meet by a few common shingles.
+  What is left is decided from differences: candidates that hang together
+  share a base set, each is reduced once to its symmetric difference from
+  that base, and since x ^ y = (x ^ base) ^ (y ^ base), a pair of similar
+  sets is compared by two short differences instead of two whole sets.
 
 Ordering estimates are merged from counts within Arrow batches and change
 the cost only: any total order of the shingles gives the same links.  What
@@ -55,7 +63,8 @@ FREQUENT = 1 << 18      # shingles whose order follows their counts, a few MB
 LIST_SIZE = 4096        # of a list; those of more frequent shingles are salted
 MAP_BITS = 24
 LEADERS = 4             # leader orders
-PARITY = 512            # bits
+PARITY = 256            # bits
+LONG = 1000             # shingles from which lists are counted instead
 SKETCH = [f"s{i}" for i in range(PARITY // 64)]
 
 
@@ -150,7 +159,7 @@ def _index(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.n
                         continue
                     seen.add(x)
                     n = high - low
-                    take = n - -(-n * num // den) + 1
+                    take = n - -(-n * num // den) + 1 + (n // 50 if n > LONG else 0)
                     mine = c[low:high]
                     if mine.any():
                         order = np.argsort(mine, kind="stable")[:take]
@@ -177,7 +186,8 @@ def _index(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.n
 
 
 def _sets_of(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
-    """(k, n, members) of the classes in ``needed`` (k), one row each."""
+    """(k, n, members) of the classes in ``needed`` (k), and of some others;
+    one row each."""
     place = F.pmod(F.col("k"), F.lit(1 << MAP_BITS))
     words = (needed.select((place / 64).cast("int").alias("w"), F.expr(
                  f"shiftleft(1L, cast(pmod(k, {1 << MAP_BITS}) % 64 as int))").alias("b"))
@@ -222,29 +232,40 @@ class Join:
         return F.ceil(F.lit(self.num) * (n + m) / F.lit(self.num + self.den))
 
     def _within(self, n: Column, m: Column, pos: Column, other: Column) -> Column:
-        """Whether sizes, and positions of a first shared shingle, allow a link."""
+        """Whether sizes, and positions of a first shared shingle, allow a link;
+        of two long sets the sizes only."""
         rest = 1 + F.least(n - 1 - pos, m - 1 - other)
         return ((F.least(n, m) * self.den >= F.greatest(n, m) * self.num)
-                & (rest * (self.num + self.den) >= self.num * (n + m)))
+                & ((F.least(n, m) > LONG) | (rest * (self.num + self.den) >= self.num * (n + m))))
 
-    def _verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    def _met(self, n: Column, m: Column, lists: Column, share: int) -> Column:
+        """Whether two sets meet in enough lists: any if one is short, more than
+        ``min(n, m) // share`` if both are long."""
+        return (F.least(n, m) <= LONG) | (lists > F.floor(F.least(n, m) / share))
+
+    def _apart(self, n: Column, m: Column, one: str, two: str) -> Column:
+        """Whether the parities of the sets ``one`` and ``two`` rule a link out:
+        they differ in no more bits than the sets do in members."""
+        bits = sum((F.bit_count(F.col(f"{one}.{s}").bitwiseXOR(F.col(f"{two}.{s}"))) for s in SKETCH), F.lit(0))
+        return bits > n + m - 2 * self._least(n, m)
+
+    def _verified(self, near: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes, structs of (k, n), that link."""
-        bits = classes.select(F.struct("k", "n").alias("c"), *SKETCH)
-        one, two = bits.alias("one"), bits.alias("two")
-        differ = sum((F.bit_count(F.col(f"one.{s}").bitwiseXOR(F.col(f"two.{s}"))) for s in SKETCH), F.lit(0))
-        n, m = F.col("a.n"), F.col("b.n")
-        near = (pairs.join(one, F.col("a") == F.col("one.c")).join(two, F.col("b") == F.col("two.c"))
-                .where(differ <= n + m - 2 * self._least(n, m)).select("a", "b"))
-        near = written(near, "near")
         if near.isEmpty():
             return near
-        needed = near.select(F.explode(F.array("a", "b")).alias("c")).select("c.k").distinct()
-        sets = _sets_of(self.docs, self.width, needed).select(F.struct("k", "n").alias("c"), "members")
-        sets = written(sets, "sets")
-        one, two = sets.alias("one"), sets.alias("two")
-        shared = F.size(F.array_intersect("one.members", "two.members"))
+        roots = components(near.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        home = roots.unionAll(roots.select("root", "root").distinct()).select("node.k", "node.n", "root")
+        sets = _sets_of(self.docs, self.width, home.select("k").distinct()).join(home, ["k", "n"])
+        sets = sets.select(F.struct("k", "n").alias("c"), "root", "members")     # one exchange for both uses
+        base = sets.where(F.col("c") == F.col("root")).select("root", F.col("members").alias("base"))
+        short = written(sets.join(base, "root").select("c", F.concat(
+            F.array_except("members", "base"), F.array_except("base", "members")).alias("delta")), "differences")
+        one, two = short.alias("one"), short.alias("two")
+        n, m = F.col("a.n"), F.col("b.n")
+        differ = (F.size(F.array_except("one.delta", "two.delta"))
+                  + F.size(F.array_except("two.delta", "one.delta")))
         linked = (near.join(one, F.col("a") == F.col("one.c")).join(two, F.col("b") == F.col("two.c"))
-                  .where(shared >= self._least(n, m)).select("a", "b"))
+                  .where(differ <= n + m - 2 * self._least(n, m)).select("a", "b"))
         return written(linked, "links")
 
     def groups(self) -> DataFrame:
@@ -279,9 +300,15 @@ class Join:
         asked = (entries.join(leaders, ["tok", "block"])
                  .where((F.col("c") != F.col("lead.c"))
                         & self._within(F.col("n"), F.col("lead.c.n"), F.col("pos"), F.col("lead.pos")))
-                 .select(F.least("c", "lead.c").alias("a"), F.greatest("c", "lead.c").alias("b")).distinct())
+                 .groupBy(F.least("c", "lead.c").alias("a"), F.greatest("c", "lead.c").alias("b"))
+                 .agg(F.count("*").alias("lists"))
+                 .where(self._met(F.col("a.n"), F.col("b.n"), F.col("lists"), 200)).select("a", "b"))
         asked = written(asked, "asked")
-        links = self._verified(asked, classes)
+        bits = classes.select(F.struct("k", "n").alias("c"), F.struct(*SKETCH).alias("bits"))
+        one = bits.select(F.col("c").alias("a"), F.col("bits").alias("one"))
+        two = bits.select(F.col("c").alias("b"), F.col("bits").alias("two"))
+        near = asked.join(one, "a").join(two, "b").where(~self._apart(F.col("a.n"), F.col("b.n"), "one", "two"))
+        links = self._verified(written(near.select("a", "b"), "near"))
         roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
         grouped = entries.join(roots, entries["c"] == roots["node"], "left").select(
@@ -289,15 +316,18 @@ class Join:
         parts = grouped.groupBy("tok", "g").agg(F.count("*").alias("m"))
         split = (parts.groupBy("tok").agg(F.max(F.struct("m", "g")).alias("main"), F.count("*").alias("parts"))
                  .where("parts > 1").select("tok", F.col("main.g").alias("main")))
-        lists = written(grouped.join(split, "tok"), "lists")
+        lists = written(grouped.join(split, "tok").join(bits, "c"), "lists")
         outside = lists.where("g <> main").select(
-            "tok", F.explode(F.array(*[F.col("block") + i for i in (-1, 0, 1)])).alias("block"),
-            F.col("c").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xpos"), F.col("g").alias("xg"))
-        pairs = (outside.join(lists, ["tok", "block"])
+            "tok", F.col("c").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xpos"), F.col("g").alias("xg"),
+            F.col("bits").alias("xbits"))
+        pairs = (outside.join(lists, "tok")
                  .where((F.col("g") != F.col("xg")) & ((F.col("g") == F.col("main")) | (F.col("x") < F.col("c")))
-                        & self._within(F.col("n"), F.col("xn"), F.col("pos"), F.col("xpos")))
-                 .select(F.least("c", "x").alias("a"), F.greatest("c", "x").alias("b")).distinct())
-        more = self._verified(written(pairs.join(asked, ["a", "b"], "left_anti"), "pairs"), classes)
+                        & self._within(F.col("n"), F.col("xn"), F.col("pos"), F.col("xpos"))
+                        & ~self._apart(F.col("n"), F.col("xn"), "bits", "xbits"))
+                 .groupBy(F.least("c", "x").alias("a"), F.greatest("c", "x").alias("b"))
+                 .agg(F.count("*").alias("lists"))
+                 .where(self._met(F.col("a.n"), F.col("b.n"), F.col("lists"), 50)).select("a", "b"))
+        more = self._verified(written(pairs.join(asked, ["a", "b"], "left_anti"), "pairs"))
         edges = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(
             more.select(F.col("a").alias("u"), F.col("b").alias("v")))
         final = components(edges)
