@@ -17,15 +17,22 @@ the whole text, in the ``WINDOW`` words where it is largest (few bad words in
 a long text), and of the words that differ by more than ``CLEAR``, in all and
 per word; and by its length.  A logistic regression turns that into a score.
 
-Counts cover every labelled training text.  Words and pairs are counted in
-hashed tables of fixed size (``WORD_BITS``, ``PAIR_BITS``; a parameter of
-the model, not of the data), numbers of different neighbours by linear
-counting in 64 bits.  Tasks count into numpy arrays, cut them into chunks
-and send each chunk compressed; the chunks are added up as streams, and the
-summed tables (some 12 MB) are collected and broadcast.  Only labelled texts
-are shuffled: a bitmap of the labels' ids of fixed size goes before the
-join, which then decides exactly.  The regression is fitted on another fold
-than the counts, on at most about ``calibration_rows`` rows.
+Counts cover every labelled training text: all real words and pairs by class,
+told apart by 64-bit hashes (the first word of a pair by 52 bits beside its
+second), and the exact number of different words before each word.  Tasks sum
+the pairs that they hold and send them packed, dealt by both words, so that a
+common word's pairs go to ``2 ** SPREAD`` places; there each place's pairs are
+summed, and Spark's groupBy sums the words.  Nothing is folded into tables of
+fixed size, so the model grows with the vocabulary: broadcast are the words of
+``WORD_SUPPORT`` and the pairs of ``PAIR_SUPPORT`` occurrences or more.  All
+others back off to the same value in both classes, whose difference is zero
+whatever it is, so leaving them out of the broadcast changes no score.
+
+Only labelled texts are shuffled: a bitmap of the labels' ids of fixed size
+goes before the join, which then decides exactly.  The regression is fitted
+on another fold than the counts that describe it (folds 0 and 1 describe at
+most about ``calibration_rows`` rows of fold 3); that fold is then counted
+too, and the final model has the counts of all training folds.
 
 Defined results: NULL and empty texts get the share of toxic training rows
 as score; without toxic or without ordinary training texts every score is
@@ -38,150 +45,243 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import flat, share, slices
+from .tables import flat, share, slices, written
 from .words import LOWER, boundaries, mix, word_hashes
 
-WORD_BITS, PAIR_BITS = 18, 20
 WINDOW = 32
 WORD_SUPPORT, PAIR_SUPPORT = 2, 8    # occurrences from which an expression is not rare
 CLEAR = 1.0                     # difference of log-likelihoods
-CHUNK = 1 << 15                 # bytes of a table that travel together
+HELD = 1 << 20                  # different pairs that a task holds before it sends them
+PLACES, SPREAD = 8, 4           # bits of the last and of the first word by which pairs are dealt
 MAP_BITS = 24
 MADE = ["score", "predicted"]
 FEATURES = ["whole", "worst", "clear", "clear_share", "size"]
 
+#: Bits by which the first word of a pair is known, 48 and ``SPREAD``.
+HEAD = np.uint64((1 << 48 + SPREAD) - 1)
+
 #: Bytes between words: ASCII other than letters and digits.
 BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Of all words of all texts: bucket, that of the word before, that of the
-    pair, one of 64 bins of the word before, and whether a text begins here;
-    and each text's first word."""
+def pairs_of(head: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of each pair of words."""
+    return mix(head * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words of all texts: hash, ``HEAD`` bits of the word before, and
+    whether there is one in its text; and each text's first word."""
     data, at = flat(texts)
     data = LOWER[data]
     starts, ends, first = boundaries(data, at, BETWEEN)
     h = word_hashes(data, starts, ends)
+    begins = first[:-1][first[:-1] < len(h)]
     before = np.empty_like(h)
     before[1:] = h[:-1]
-    before[first[:-1][first[:-1] < len(h)]] = 7
-    begins = np.zeros(len(h), np.int64)
-    begins[first[:-1][first[:-1] < len(h)]] = 1
-    word = (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    pair = (mix(before * np.uint64(0x9E3779B97F4A7C15) + h) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-    return np.stack([word, (before >> np.uint64(64 - WORD_BITS)).astype(np.int64), pair,
-                     (before & np.uint64(63)).astype(np.int64), begins]), first
+    before[begins] = 7
+    inner = np.ones(len(h), bool)
+    inner[begins] = False
+    return h, before & HEAD, inner, first
 
 
 @dataclass
-class Tables:
-    """Counts by class (0 ordinary, 1 toxic); neighbours as 64-bit sets."""
-
-    word: np.ndarray = field(default_factory=lambda: np.zeros((2, 1 << WORD_BITS), np.int32))
-    pair: np.ndarray = field(default_factory=lambda: np.zeros((2, 1 << PAIR_BITS), np.int32))
-    leaders: np.ndarray = field(default_factory=lambda: np.zeros((1, 1 << WORD_BITS, 8), np.uint8))
-
-    NAMES = ("word", "pair", "leaders")
-
-    def parts(self) -> Iterator[tuple[int, int, bytes]]:
-        """(table, chunk, bytes) of all chunks that are not zero."""
-        for t, name in enumerate(self.NAMES):
-            raw = getattr(self, name).reshape(-1).view(np.uint8)
-            for c in range(0, len(raw), CHUNK):
-                if raw[c:c + CHUNK].any():
-                    yield t, c // CHUNK, raw[c:c + CHUNK].tobytes()
-
-    @staticmethod
-    def merge(table: int, one: bytes, two: bytes) -> bytes:
-        """Sum of two chunks, or union of neighbours."""
-        if table < 2:
-            return (np.frombuffer(one, np.int32) + np.frombuffer(two, np.int32)).tobytes()
-        return (np.frombuffer(one, np.uint8) | np.frombuffer(two, np.uint8)).tobytes()
-
-    def put(self, table: int, chunk: int, raw: bytes) -> None:
-        """Places a chunk."""
-        whole = getattr(self, self.NAMES[table]).reshape(-1).view(np.uint8)
-        whole[chunk * CHUNK:chunk * CHUNK + len(raw)] = np.frombuffer(raw, np.uint8)
+class Counts:
+    """Of the words and pairs with support, in order of their hashes: counts
+    by class (0 ordinary, 1 toxic); of words also the number of different
+    words before, and of all words the sum of those."""
+
+    words: np.ndarray
+    word: np.ndarray
+    before: np.ndarray
+    all_before: int
+    pairs: np.ndarray
+    pair: np.ndarray
+
+
+#: Counts of a pair: folds 0 and 1 by class, fold 3 by class.
+KINDS = ["a0", "a1", "b0", "b1"]
+
+
+Pairs = tuple[np.ndarray, np.ndarray, np.ndarray]       # first words, last words, counts as in KINDS
+
+
+def _summed(parts: list[Pairs]) -> Pairs:
+    """Each pair once, in order of its place, last and first word."""
+    head, word, counts = map(np.concatenate, zip(*parts, strict=True))
+    order = np.lexsort((head, word, _place_of(head, word)))
+    head, word = head[order], word[order]
+    new = np.ones(len(word), bool)
+    new[1:] = (word[1:] != word[:-1]) | (head[1:] != head[:-1])
+    begin = np.flatnonzero(new)
+    if not len(begin):
+        return head, word, counts
+    return head[begin], word[begin], np.add.reduceat(counts[order], begin, axis=0, dtype=np.int64)
+
+
+def _place_of(head: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return ((word >> np.uint64(64 - PLACES)) << np.uint64(SPREAD) | head >> np.uint64(48)).astype(np.int32)
+
+
+def _packed(pairs: Pairs) -> Iterator[pa.RecordBatch]:
+    """(place, data): the pairs of each place; a word's pairs follow it, as the
+    lower 48 bits of their first words and their counts."""
+    head, word, counts = pairs
+    place = _place_of(head, word)
+    cuts = np.append(np.flatnonzero(np.append(True, place[1:] != place[:-1])), len(place)) if len(place) else [0]
+    data = []
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        words, sizes = np.unique(word[low:high], return_counts=True)
+        kind = np.uint8 if counts[low:high].max() < 256 else np.int64
+        data.append(np.array([len(words), high - low, kind == np.uint8], np.int64).tobytes() + words.tobytes()
+                    + np.ascontiguousarray(head[low:high].view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+                    + zlib.compress(sizes.astype(np.int64).tobytes() + counts[low:high].astype(kind).T.tobytes(), 1))
+    yield pa.RecordBatch.from_arrays([pa.array(place[cuts[:-1]] if len(data) else [], pa.int32()),
+                                      pa.array(data, pa.binary())], ["place", "data"])
+
+
+def _unpacked(place: int, data: bytes) -> Pairs:
+    n_words, n, small = np.frombuffer(data, np.int64, 3).tolist()
+    words = np.frombuffer(data, np.uint64, n_words, 24)
+    at = 24 + 8 * n_words
+    head = np.zeros((n, 8), np.uint8)
+    head[:, :6] = np.frombuffer(data, np.uint8, 6 * n, at).reshape(n, 6)
+    rest = zlib.decompress(data[at + 6 * n:])
+    sizes = np.frombuffer(rest, np.int64, n_words)
+    counts = np.frombuffer(rest, np.uint8 if small else np.int64, offset=8 * n_words).reshape(len(KINDS), n).T
+    above = np.uint64((place & (1 << SPREAD) - 1) << 48)
+    return head.reshape(-1).view(np.uint64) | above, np.repeat(words, sizes), counts.astype(np.int64)
 
 
 def _counted(labelled: DataFrame) -> DataFrame:
-    """(t, chunk, data): summed tables of rows (text, toxic)."""
+    """Of rows (text, toxic, fold), two kinds of rows: of pairs with support
+    (pair, counts as in ``KINDS``), and of words, once for each place that has
+    pairs of it, (word, counts, before_a, before): different words before in
+    folds 0 and 1, and in all."""
     share(labelled.sparkSession, None)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Tables()
-        prior = np.zeros(64 << WORD_BITS, bool)
-        any_rows = False
+        held: list[Pairs] = []
+        size = 0
         for batch in batches:
-            texts, toxic = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+            kind = batch.column(1).to_numpy(zero_copy_only=False) + 2 * (batch.column(2).to_numpy(zero_copy_only=False) == 3)
             row = 0
-            for part in slices(texts):
-                ids, first = tokens(part)
-                label = np.repeat(toxic[row:row + len(part)], np.diff(first))
+            for part in slices(batch.column(0)):
+                h, before, _, first = tokens(part)
+                mine = np.repeat(kind[row:row + len(part)], np.diff(first))
                 row += len(part)
-                any_rows = any_rows or len(label) > 0
-                for k in (0, 1):
-                    word, _, pair, before, _ = ids[:, label == k]
-                    made.word[k] += np.bincount(word, minlength=1 << WORD_BITS).astype(np.int32)
-                    made.pair[k] += np.bincount(pair, minlength=1 << PAIR_BITS).astype(np.int32)
-                    prior[word << 6 | before] = True
-        if any_rows:
-            made.leaders[:] = np.packbits(prior).reshape(made.leaders.shape)
-            for t, c, raw in made.parts():
-                yield pa.RecordBatch.from_pydict(
-                    {"t": pa.array([t], pa.int32()), "chunk": pa.array([c], pa.int32()),
-                     "data": pa.array([zlib.compress(raw, 1)], pa.binary())})
+                held.append(_summed([(before, h, (mine[:, None] == np.arange(len(KINDS))).astype(np.int64))]))
+                size += len(held[-1][0])
+                if size > 2 * HELD:
+                    held = [_summed(held)]
+                    size = len(held[0][0])
+                    if size > HELD:
+                        yield from _packed(held[0])
+                        held, size = [], 0
+        if held:
+            yield from _packed(_summed(held))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int], bytes] = {}      # at most the tables themselves
+        held: list[Pairs] = []
+        size, last = 0, None
         for batch in batches:
-            for t, c, raw in zip(*[x.to_pylist() for x in batch.columns], strict=True):
-                raw = zlib.decompress(raw)
-                sums[t, c] = Tables.merge(t, sums[t, c], raw) if (t, c) in sums else raw
-        for (t, c), raw in sums.items():
-            yield pa.RecordBatch.from_pydict(
-                {"t": pa.array([t], pa.int32()), "chunk": pa.array([c], pa.int32()),
-                 "data": pa.array([zlib.compress(raw, 1)], pa.binary())})
-
-    kind = "t int, chunk int, data binary"
-    return labelled.select("text", "toxic").mapInArrow(count, kind).repartition("t", "chunk").mapInArrow(add, kind)
+            for place, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if place != last and size > HELD // 4:
+                    yield from totals(held)
+                    held, size = [], 0
+                last = place
+                held.append(_unpacked(place, data.as_py()))
+                size += len(held[-1][0])
+        if held:
+            yield from totals(held)
+
+    def totals(held: list[Pairs]) -> Iterator[pa.RecordBatch]:
+        """The places in ``held``, which are whole."""
+        head, word, counts = _summed(held)
+        often = np.flatnonzero(counts.sum(axis=1) >= PAIR_SUPPORT)
+        yield rows("pair", pairs_of(head[often], word[often]), np.column_stack(
+            [counts[often], np.zeros((len(often), 2), np.int64)]))
+        order = np.argsort(word, kind="stable")
+        word, counts = word[order], counts[order]
+        begin = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
+        if len(begin):
+            seen = np.column_stack([counts, counts[:, :2].any(axis=1), np.ones(len(word), np.int64)])
+            yield rows("word", word[begin], np.add.reduceat(seen, begin, axis=0))
+
+    def rows(name: str, keys: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
+        none, own = pa.nulls(len(keys), pa.int64()), pa.array(np.ascontiguousarray(keys).view(np.int64))
+        return pa.RecordBatch.from_arrays(
+            [own if name == "pair" else none, own if name == "word" else none,
+             *[pa.array(np.ascontiguousarray(numbers[:, i])) for i in range(numbers.shape[1])]],
+            ["pair", "word", *KINDS, "before_a", "before"])
+
+    sent = labelled.select("text", "toxic", "fold").mapInArrow(count, "place int, data binary")
+    numbers = ", ".join(f"{k} long" for k in [*KINDS, "before_a", "before"])
+    return (sent.repartition("place").sortWithinPartitions("place")
+            .mapInArrow(add, f"pair long, word long, {numbers}"))
+
+
+def _gathered(counted: DataFrame) -> tuple[Counts, Counts]:
+    """Counts of folds 0 and 1, and of all training folds."""
+    every = sum((F.col(k) for k in KINDS[1:]), F.col(KINDS[0]))
+    numbers = [*KINDS, "before_a", "before"]
+    words = counted.where("word is not null").groupBy("word").agg(*[F.sum(k).alias(k) for k in numbers])
+    totals = counted.where("word is not null").agg(
+        F.coalesce(F.sum("before_a"), F.lit(0)), F.coalesce(F.sum("before"), F.lit(0))).first()
+    words = words.where(every >= WORD_SUPPORT).toArrow()
+    most = counted.where("pair is not null").select("pair", *KINDS).toArrow()
+
+    def ordered(table: pa.Table, key: str, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        keys = table.column(key).to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        return keys[order], np.array([table.column(n).to_numpy()[order] for n in names], np.int64).reshape(len(names), -1)
+
+    w, wn = ordered(words, "word", [*KINDS, "before_a", "before"])
+    p, pn = ordered(most, "pair", KINDS)
+
+    def chosen(word: np.ndarray, pair: np.ndarray, before: np.ndarray, total: int) -> Counts:
+        some, often = word.sum(axis=0) >= WORD_SUPPORT, pair.sum(axis=0) >= PAIR_SUPPORT
+        return Counts(w[some], word[:, some], before[some], total, p[often], pair[:, often])
+
+    return (chosen(wn[:2], pn[:2], wn[4], totals[0]),
+            chosen(wn[:2] + wn[2:4], pn[:2] + pn[2:4], wn[5], totals[1]))
+
+
+def _place(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Positions in the sorted ``known``; its length for what is not in it."""
+    if not len(known):
+        return np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return np.where(known[at] == asked, at, len(known))
 
 
 class Model:
     """The two models and the regression over their scores."""
 
-    def __init__(self, tables: Tables):
-        bits = np.unpackbits(tables.leaders[0], axis=-1).sum(axis=-1).astype(np.float64)
-        shared = -64 * np.log1p(-np.minimum(bits, 63) / 64) + 0.5       # linear counting
-        shared /= shared.sum()
-        word, pair = self._supported(tables.word, WORD_SUPPORT), self._supported(tables.pair, PAIR_SUPPORT)
-        words, a = zip(*[self._discounted(word[k]) for k in (0, 1)], strict=True)
-        pairs, b = zip(*[self._discounted(pair[k]) for k in (0, 1)], strict=True)
+    def __init__(self, counts: Counts):
+        self.words, self.pairs = counts.words, counts.pairs
+        shared = counts.before / max(counts.all_before, 1)
+        words, a = zip(*[self._discounted(counts.word[k]) for k in (0, 1)], strict=True)
+        pairs, b = zip(*[self._discounted(counts.pair[k]) for k in (0, 1)], strict=True)
         a, self.back = max(a), min(max(b), 0.5)
-        self.word = [((1 - a) * f + a * shared).astype(np.float32) for f in words]
-        self.pair = [((1 - self.back) * f).astype(np.float32) for f in pairs]
-        both, _ = self._discounted(word.sum(axis=0))
-        self.both = ((1 - a) * both + a * shared).astype(np.float32)
-        both, _ = self._discounted(pair.sum(axis=0))
-        self.both_pair = ((1 - self.back) * both).astype(np.float32)
+        # the last entry stands for all without support: the same in both classes
+        self.word = [np.append((1 - a) * f + a * shared, 1).astype(np.float32) for f in words]
+        self.pair = [np.append((1 - self.back) * f, 0).astype(np.float32) for f in pairs]
+        both, _ = self._discounted(counts.word.sum(axis=0))
+        self.both = np.append((1 - a) * both + a * shared, 1).astype(np.float32)
+        both, _ = self._discounted(counts.pair.sum(axis=0))
+        self.both_pair = np.append((1 - self.back) * both, 0).astype(np.float32)
         self.weights: np.ndarray | None = None
         self.center = self.scale = np.zeros(0)
         self.base = 0.0
 
-    @staticmethod
-    def _supported(count: np.ndarray, least: int) -> np.ndarray:
-        """Counts by class without the rare ones; a bucket that holds no more
-        than a typical one by chance is rare too."""
-        both = count.sum(axis=0)
-        return np.where(both >= least + 2 * np.median(both), count, 0)
-
     @staticmethod
     def _discounted(count: np.ndarray) -> tuple[np.ndarray, float]:
         """Discounted relative frequencies, and the share of what was taken."""
@@ -194,11 +294,15 @@ class Model:
 
     def features(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A row a text, as the module says; and its number of words."""
-        (word, head, pair, _, begins), first = tokens(texts)
-        logs, inner = [], begins == 0
-        common = self.both_pair[pair] / self.both[head] * inner
+        h, before, inner, first = tokens(texts)
+        word, pair = _place(self.words, h), np.full(len(h), len(self.pairs))
+        head = np.roll(word, 1)
+        both = np.flatnonzero(inner & (word < len(self.words)) & (head < len(self.words)))
+        pair[both] = _place(self.pairs, pairs_of(before[both], h[both]))
+        logs = []
+        common = self.both_pair[pair] / self.both[head]
         for k in (0, 1):
-            known = self.pair[k][pair] / self.word[k][head] * inner
+            known = self.pair[k][pair] / self.word[k][head]
             logs.append(np.log(known + self.back * (common + self.back * self.word[k][word])))
         clear = np.concatenate([[0.0], np.cumsum(np.maximum(logs[1] - logs[0] - CLEAR, 0).astype(np.float64))])
         gain = np.concatenate([[0.0], np.cumsum((logs[1] - logs[0]).astype(np.float64))])
@@ -273,17 +377,15 @@ def _with_labels(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", calibration_rows: int = 20_000) -> Model:
-    """Model of the labelled rows: folds 0 and 1 of crc32(doc_id) mod 4 are
-    counted, fold 3 (about ``calibration_rows`` of it) fits the regression,
-    fold 2 is never read."""
+    """Model of the labelled rows: folds 0, 1 and 3 of crc32(doc_id) mod 4 are
+    counted; described by folds 0 and 1 alone, about ``calibration_rows`` of
+    fold 3 fit the regression; fold 2 is never read."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    counted = _with_labels(docs.where(fold < 2), labels, text)
-    tables = Tables()
-    for t, c, raw in zip(*[x.to_pylist() for x in _counted(counted).toArrow().columns], strict=True):
-        tables.put(t, c, zlib.decompress(raw))
-    model = Model(tables)
-    if not tables.word.any(axis=1).all():
-        return model
+    counted = written(_counted(_with_labels(docs.where(fold != 2), labels, text)), "toxicity-counts")
+    early, every = _gathered(counted)
+    model, final = Model(early), Model(every)
+    if not early.word.any(axis=1).all():
+        return final
     ids = labels.where("doc_id is not null and toxic is not null").where(fold == 3).select("doc_id").distinct()
     n = ids.count()
     some = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1, calibration_rows / max(n, 1)))
@@ -303,8 +405,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", calibration_ro
     got = rest.select("text", "toxic").mapInArrow(describe, ", ".join([f"{f} double" for f in FEATURES] + ["toxic int", "n long"])).toArrow()
     got = got.to_pandas()
     got = got[got.n > 0]
-    model.fit(got[FEATURES].to_numpy(), got.toxic.to_numpy(float))
-    return model
+    final.fit(got[FEATURES].to_numpy(), got.toxic.to_numpy(float))
+    return final
 
 
 def judge(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:

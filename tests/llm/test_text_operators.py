@@ -1,6 +1,7 @@
 """Operators over texts: defined results of odd inputs, and brute force."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -336,6 +337,26 @@ def test_toxicity_odd_inputs(spark, labelled, odd, empty):
     assert toxicity.train(docs.limit(0), labels).weights is None
 
 
+def test_toxicity_counts_every_word_and_pair(spark):
+    """More words than 2^18, and a word with over 300 predecessors."""
+    docs = [(i, " ".join(f"w{i}x{j} hub" for j in range(400)) + " vile rot" * (i % 2)) for i in range(900)]
+    labels = [(i, i % 2) for i, _ in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    rows = toxicity._with_labels(df, known, "text").where("fold <> 2")
+    counted = toxicity._counted(rows).cache()
+    early, every = toxicity._gathered(counted)
+    folds = {i: zlib.crc32(str(i).encode()) % 4 for i, _ in docs}
+    own = [i for i, f in folds.items() if f != 2]
+    assert counted.where("word is not null").select("word").distinct().count() == 400 * len(own) + 3 > 1 << 18
+    hub, vile = np.sort(every.before)[-1], sum(i % 2 for i in own)
+    assert hub == 400 * len(own)
+    # words twice or more: hub, vile, rot; pairs eight times or more: hub vile, vile rot
+    assert sorted(every.word.T.tolist()) == sorted([[400 * (len(own) - vile), 400 * vile], [0, vile], [0, vile]])
+    assert every.pair.T.tolist() == [[0, vile], [0, vile]]
+    assert early.word.sum() == sum(400 + 2 * (i % 2) for i in own if folds[i] < 2)
+
+
 # -- 5: fingerprints -----------------------------------------------------
 def test_fingerprints_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(simhash, "RANGE_ROWS", 20)
