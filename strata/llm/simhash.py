@@ -10,9 +10,10 @@ of equal bits.
 radius by permuted block tables: the bits are dealt, by a fixed permutation,
 into ``radius + 1`` blocks, two fingerprints within the radius agree in at
 least one block, so each block is a table keyed by its bits, joined with
-itself and verified; a pair is reported by its first common block only.
-Equal fingerprints enter once, with their number of documents, so a group of
-copies is one entry.
+itself and verified inside the join; a pair is reported by its first common
+block only.  Equal fingerprints enter once, with their number of documents, so
+a group of copies is one entry.  ``RADIUS`` follows the measured distances of
+near copies; README gives the share it finds by length of text.
 
 ``with_next`` gives every document the next one's text by ascending id.  The
 ids are cut into ranges at approximate quantiles; a range's rows and the
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +43,8 @@ from .words import LOWER, SPACES, boundaries, mix, word_hashes
 
 BITS = 256
 PAIR_WEIGHT = 2.0
+RADIUS = 16             # bits, of near copies
+WORDS = BITS // 64
 RANGE_ROWS = 4096       # documents a range of ids, about
 MAX_RANGES = 100_000    # their bounds are what the driver collects
 
@@ -191,51 +194,63 @@ def compare(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def near_pairs(prints: DataFrame, radius: int = 3) -> DataFrame:
+def _joined(prints: DataFrame, radius: int) -> DataFrame:
+    """(a, b, n_a, n_b, distance): pairs of different fingerprints of
+    ``prints`` (fingerprint, hex; n) at most ``radius`` bits apart, once each."""
+    order = np.argsort(mix(np.arange(BITS, dtype=np.uint64)))       # the fixed permutation
+    masks = []
+    for cut in np.array_split(order, radius + 1):
+        chosen = np.zeros(BITS, np.uint8)
+        chosen[cut] = 1
+        masks.append(np.packbits(chosen).view(">i8").tolist())
+    bits = [f"b{i}" for i in range(WORDS)]
+    rows = prints.select("n", *[F.conv(F.substring("fingerprint", 1 + 16 * i, 16), 16, -10).cast("long").alias(c)
+                                for i, c in enumerate(bits)])
+    rows = written(rows, "prints")
+    keys = [F.xxhash64(F.lit(k), *[F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(bits, mask, strict=True)])
+            for k, mask in enumerate(masks)]
+    entries = rows.select("n", *bits, F.posexplode(F.array(*keys)).alias("block", "key"))
+    one, two = entries.alias("one"), entries.alias("two")
+    apart = [F.col(f"one.{c}").bitwiseXOR(F.col(f"two.{c}")) for c in bits]
+    distance = sum((F.bit_count(x) for x in apart), F.lit(0))
+
+    def agree(mask: list[int]) -> Column:
+        found = F.lit(True)
+        for x, m in zip(apart, mask, strict=True):
+            found = found & (x.bitwiseAND(F.lit(m)) == 0)
+        return found
+
+    first = F.coalesce(*[F.when(agree(mask), F.lit(k)) for k, mask in enumerate(masks)], F.lit(-1))
+    pairs = one.join(two, (F.col("one.key") == F.col("two.key"))
+                     & (F.struct(*[F.col(f"one.{c}") for c in bits]) < F.struct(*[F.col(f"two.{c}") for c in bits]))
+                     & (distance <= radius) & (F.col("one.block") == first) & (F.col("two.block") == first))
+    return pairs.select(F.struct(*[F.col(f"one.{c}") for c in bits]).alias("a"),
+                        F.struct(*[F.col(f"two.{c}") for c in bits]).alias("b"),
+                        F.col("one.n").alias("n_a"), F.col("two.n").alias("n_b"), distance.alias("distance"))
+
+
+def _hex(bits: str) -> Column:
+    """The hex string of a struct of words."""
+    return F.lower(F.concat(*[F.lpad(F.hex(F.col(f"{bits}.b{i}")), 16, "0") for i in range(WORDS)]))
+
+
+def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b, distance): all pairs a < b of different fingerprints (hex
     strings in the column ``fingerprint``) at most ``radius`` bits apart."""
-    share(prints.sparkSession, None)
-    blocks = radius + 1
+    known = prints.where("fingerprint is not null").select("fingerprint").distinct().withColumn("n", F.lit(1))
+    pairs = _joined(known, radius).select(_hex("a").alias("a"), _hex("b").alias("b"), "distance")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
-    @F.arrow_udf("keys array<binary>, bits array<long>")
-    def deal(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        order = np.argsort(mix(np.arange(BITS, dtype=np.uint64)))       # the fixed permutation
-        cuts = np.array_split(order, blocks)
-        for batch in batches:
-            raw = np.array([np.frombuffer(bytes.fromhex(x), np.uint8) for x in batch.to_pylist()]
-                           ).reshape(-1, BITS // 8)
-            bits = np.unpackbits(raw, axis=1)
-            keys = [np.packbits(bits[:, c], axis=1) for c in cuts]
-            yield pa.StructArray.from_arrays(
-                [pa.array([[k[i].tobytes() for k in keys] for i in range(len(raw))], pa.list_(pa.binary())),
-                 pa.array(raw.view(np.int64).tolist(), pa.list_(pa.int64()))], ["keys", "bits"])
-
-    dealt = (prints.where("fingerprint is not null").select("fingerprint").distinct()
-             .withColumn("d", deal("fingerprint")).select("fingerprint", "d.keys", "d.bits"))
-    dealt = written(dealt, "prints")
-    entries = dealt.select("fingerprint", "keys", "bits", F.posexplode("keys").alias("block", "key"))
-    one, two = entries.alias("one"), entries.alias("two")
-    distance = sum((F.bit_count(F.col("one.bits")[i].bitwiseXOR(F.col("two.bits")[i]))
-                    for i in range(BITS // 64)), F.lit(0))
-    earlier = F.lit(False)
-    for i in range(blocks - 1):
-        earlier = earlier | ((F.col("one.block") > i) & (F.col("one.keys")[i] == F.col("two.keys")[i]))
-    pairs = one.join(two, (F.col("one.block") == F.col("two.block")) & (F.col("one.key") == F.col("two.key"))
-                     & (F.col("one.fingerprint") < F.col("two.fingerprint")))
-    return (pairs.where(~earlier).select(F.col("one.fingerprint").alias("a"), F.col("two.fingerprint").alias("b"),
-                                         distance.alias("distance"))
-            .where(F.col("distance") <= radius))
-
-
-def with_near(described: DataFrame, radius: int = 3) -> DataFrame:
+
+def with_near(described: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``described`` (with ``fingerprint``) and ``n_near``: the other
     documents within the radius, copies included."""
     described = written(described, "described")
     count = described.groupBy("fingerprint").agg(F.count("*").alias("n"))
-    pairs = near_pairs(described, radius)
-    both = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = (both.join(count, F.col("b") == F.col("fingerprint")).groupBy("a")
-            .agg(F.sum("n").alias("more")))
+    pairs = _joined(count.where("fingerprint is not null"), radius)
+    ends = pairs.select(F.explode(F.array(F.struct("a", F.col("n_b").alias("n")),
+                                          F.struct(F.col("b").alias("a"), F.col("n_a").alias("n")))).alias("e"))
+    more = ends.groupBy("e.a").agg(F.sum("e.n").alias("more")).select(_hex("a").alias("a"), "more")
     near = count.join(more, F.col("fingerprint") == F.col("a"), "left").select(
         "fingerprint", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_near"))
     return described.join(near, "fingerprint", "left").select(*described.columns, "n_near")

@@ -395,6 +395,24 @@ def test_near_pairs_by_block_tables(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_near_copies_of_ordinary_length_are_near(spark):
+    """One word of 300 replaced: n_near counts nearly all such copies."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(2000)]
+    rows = []
+    for i in range(40):
+        own = [rng.choice(words) for _ in range(300)]
+        rows.append((2 * i, " ".join(own)))
+        own[rng.randrange(300)] = "replaced"
+        rows.append((2 * i + 1, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_near for r in simhash.with_near(simhash.compare(df)).collect()}
+    bits = np.unpackbits(simhash.fingerprints(pa.array([t for _, t in rows])), axis=1).astype(int)
+    apart = (bits[:, None, :] != bits[None]).sum(axis=2)
+    assert got == {d: (apart[i] <= simhash.RADIUS).sum() - 1 for i, (d, _) in enumerate(rows)}
+    assert np.mean([n == 1 for n in got.values()]) > 0.9
+
+
 def test_fingerprints_odd_inputs(spark, odd, empty, monkeypatch):
     monkeypatch.setattr(simhash, "RANGE_ROWS", 5)
     got = simhash.with_near(simhash.compare(odd)).collect()
