@@ -352,15 +352,18 @@ def first_of_each(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10)
     """``docs`` without near duplicates: of each group the row with the
     smallest (doc_id, text hash), NULL ids last; documents with an empty set
     stay, equal rows of them once."""
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-                      F.col("text_hash").cast("string"))
+    def key(doc_id: str, text_hash: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), text_hash.cast("string"))
+
     made = groups(docs, width, num, den)
     row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
     linked = made.where("component is not null").groupBy("component").agg(F.min(row).alias("row"))
     stay = linked.select("row.doc_id", "row.text_hash").unionAll(
-        made.where("component is null").select("doc_id", "text_hash")).select(key.alias("_key")).distinct()
-    keyed = docs.withColumn("text_hash", F.xxhash64("text")) if "text_hash" not in docs.columns else docs
-    keyed = keyed.withColumn("_key", key)
+        made.where("component is null").select("doc_id", "text_hash")).select(
+        key("doc_id", F.col("text_hash")).alias("_key")).distinct()
+    # the documents' own columns keep a prefix meanwhile, whatever their names
+    keyed = docs.toDF(*[f"_own_{c}" for c in docs.columns]).withColumn(
+        "_key", key("_own_doc_id", F.xxhash64("_own_text")))
     once = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
     return (keyed.join(stay, "_key").withColumn("_once", once).where("_once = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .select(*[F.col(f"`_own_{c}`").alias(c) for c in docs.columns]))

@@ -148,3 +148,17 @@ def test_stages_on_odd_documents(spark, name):
     if stage is stages.secret_scan:
         assert n == len(rows) and made.where("text like '[SECRET]%'").first().n_chars == len("[SECRET] " + text)
     assert stage(spark, docs.limit(0), SF_SMALL).count() == 0
+
+
+@pytest.mark.parametrize("name", [n for n, f in corpus_pipeline.STAGES if f is not stages.byte_bpe])
+def test_stages_keep_columns_of_any_name(spark, name):
+    """Columns named like the operators' own neither lose rows nor change."""
+    text = "the the of and to in that it is was for on are with as by this be from or an at "
+    clash = ["text_hash", "_key", "_once", "score", "rejected", "margin", "lang_pred", "_bad_id", "_bad_text",
+             "secrets", "clean", "_own_text"]
+    rows = [(i, text + f"one two three four five six number {i} " * 9, "en", "s", 5) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit(f"own {c}") for c in clash})
+    made = dict(corpus_pipeline.STAGES)[name](spark, docs, SF_SMALL)
+    assert made.columns == docs.columns
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, docs.collect()))
