@@ -16,6 +16,9 @@ are leftmost and do not overlap.  ``assign`` is scanned with a value of any
 length, since a match that is dropped for its short value still uses up its
 text, as it does in a leftmost search.
 
+A ``pem`` match, the header line, is extended over the key behind it: up to
+the END line, or without one to the last base64 line.
+
 Spans are code points, end exclusive, in order of start, then rule.
 Everything happens in one Arrow function over the text column: no shuffle.
 
@@ -26,6 +29,7 @@ stay, a column named like an output is replaced; an empty table stays empty.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +51,17 @@ RULES = [
 BASE = ["assign", "access", "hex"]
 LEAST_VALUE = 8         # characters of an assigned value
 LANE, WARM = 1024, 64
+#: What follows the header of a key: fields such as DEK-Info, then base64 lines
+#: (quoted, escaped or run together, too) and the END line; or, of a key that is
+#: cut off, lines of base64 and a last, shorter one.
+_BREAK = rb"""(?>[ \t"'>|#*,+]*+(?:\r?\n|\\r|\\n)++[ \t"'>|#*,]*+)"""
+_FIELDS = rb"(?:" + _BREAK + rb"++[A-Z][A-Za-z0-9-]*: ?[^\r\n\\]*)*+"
+KEY = re.compile(
+    _FIELDS + rb"""(?:[A-Za-z0-9+/=\s"'>|#*,]|\\[rnt])*+-----END [A-Z ]*PRIVATE KEY-----"""
+    rb"|" + _FIELDS + rb"(?:" + _BREAK + rb"++|[ \t]+(?=[A-Za-z0-9+/=]{40}))[A-Za-z0-9+/]{16,}+={0,2}"
+    rb"(?:(?:" + _BREAK + rb"++|[ \t]+(?=[A-Za-z0-9+/=]{40}))[A-Za-z0-9+/]{16,}+={0,2})*+"
+    rb"(?:" + _BREAK + rb"++(?:[A-Za-z0-9+/]{4})*+(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=|(?<=[A-Za-z0-9+/]{4}))"
+    rb"(?![^\s\"'\\,])|" + _BREAK + rb"++[A-Za-z0-9+/]+={0,2}\Z)?")
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
 
@@ -135,6 +150,8 @@ class Scanner:
                     low = self._first(k, raw, free, end)
                     begin = self._begin(k, raw[free:], low - free) + free if low is not None else -1
                 if begin >= 0:
+                    if self.rules[k].name == "pem" and (key := KEY.match(raw.tobytes(), end)):
+                        end = key.end()
                     used[doc] = end
                     if self.rules[k].name != "assign" or end - low >= LEAST_VALUE:
                         out[doc].append((self.rules[k].name, int(begin), int(end)))
