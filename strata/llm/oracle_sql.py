@@ -45,6 +45,21 @@ from n join best using (conv_id) group by conv_id, pos // 32
 """
 
 
+#: Base 32 of a SHA-1, five bits at a time from its hexadecimal digits.
+OP12 = """
+with p as (select row_number() over () as row, page_id, coalesce(html, '') as payload from pages),
+d as (select row, page_id, cast(strlen(payload) as bigint) as payload_bytes, sha1(payload) as hex from p),
+b as (select row, page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + cast((cast('0x' || substr(hex, 1 + 5 * (i // 4), 5) as bigint) >> (5 * (3 - i % 4))) & 31 as int), 1)), '')
+        as payload_digest from d),
+r as (select *, row_number() over (partition by payload_digest, payload_bytes order by page_id desc nulls last) as place,
+             max(page_id) over (partition by payload_digest, payload_bytes) as kept from b)
+select page_id, payload_bytes, payload_digest, case when place = 1 then 'response' else 'revisit' end as record_type,
+       case when place > 1 then kept end as refers_to from r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query name."""
-    return {"op6_chat": OP6, "op8_decontaminate": OP8}
+    return {"op6_chat": OP6, "op8_decontaminate": OP8, "op12_warc": OP12}

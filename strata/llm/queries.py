@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, jaccard, langid, secrets, simhash, token_counts, toxicity, urls
+from . import bpe, chat, decontaminate, jaccard, langid, secrets, simhash, token_counts, toxicity, urls, warc
 from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
@@ -85,6 +85,12 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back."""
+    folder = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_jaccard": op2_jaccard,
@@ -96,4 +102,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_urls": op10_urls,
+    "op12_warc": op12_warc,
 }
