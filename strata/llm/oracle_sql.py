@@ -60,6 +60,32 @@ select page_id, payload_bytes, payload_digest, case when place = 1 then 'respons
 """
 
 
+OP13 = r"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents where text is not null),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (select lang, k, w[s:s + k - 1] as g from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as s
+          from w, (select unnest([1, 2, 3]) as k) where len(w) >= k)),
+c as (select lang, k, g, cast(count(*) as hugeint) as f from grams group by all),
+totals as (select lang, cast(sum(f) as bigint) as n from c where k = 1 group by lang),
+many as (select * from c where f >= 10),
+cuts as (select p.lang, p.g, p.k, p.f as a, x.k as cut, x.f as l, y.f as r, (1000000 * p.f * p.f) // (x.f * y.f) as score
+         from many p join many x on p.lang = x.lang and x.k < p.k and x.g = p.g[1:x.k]
+                     join many y on p.lang = y.lang and y.k = p.k - x.k and y.g = p.g[x.k + 1:p.k] where p.k >= 2),
+best as (select * from (select *, row_number() over (partition by lang, g order by score, cut) as place from cuts)
+         where place = 1),
+long as (select lang, unnest([g[1:2], g[2:3]]) as g, f from many where k = 3),
+covered as (select distinct p.lang, p.g from best p join long x using (lang, g) where 100 * x.f >= 50 * p.a),
+ranked as (select b.*, array_to_string(b.g, ' ') as phrase, row_number() over (partition by b.lang
+           order by b.score desc, b.a desc, array_to_string(b.g, ' ')) as rank
+           from best b anti join covered c on b.lang = c.lang and b.g = c.g)
+select lang, rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n,
+       cast(score as bigint) as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query name."""
-    return {"op6_chat": OP6, "op8_decontaminate": OP8, "op12_warc": OP12}
+    return {"op6_chat": OP6, "op8_decontaminate": OP8, "op12_warc": OP12, "op13_collocations": OP13}

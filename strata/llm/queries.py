@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, jaccard, langid, secrets, simhash, token_counts, toxicity, urls, warc
+from . import (bpe, chat, collocations, decontaminate, jaccard, langid, secrets, simhash, spelling, token_counts,
+               toxicity, urls, warc)
 from .tables import held_out, table
 
 #: Fixed names of the tokenizer package's rank file for operators 4 and 9.
@@ -85,12 +86,24 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, the words near them, and the forms that they are variants of."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), drop_every=31)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives and read back."""
     folder = warc.write(table(spark, sf_dir, "pages"))
     return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first collocations of every language."""
+    made = collocations.collocations(table(spark, sf_dir, "documents"))
+    return made.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_jaccard": op2_jaccard,
@@ -102,5 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_urls": op10_urls,
+    "op11_spelling": op11_spelling,
     "op12_warc": op12_warc,
+    "op13_collocations": op13_collocations,
 }

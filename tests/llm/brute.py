@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,3 +91,70 @@ def tiktoken_encoding():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def collocations(rows, max_words=3, least=10, share=50, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of (text, lang) rows."""
+    count = defaultdict(Counter)
+    for text, lang in rows:
+        for piece in re.split("[.,;:!?\x0A-\x0D]", lower(text)):
+            w = re.findall("[^\x20\x09]+", piece)
+            for k in range(1, max_words + 1):
+                count["und" if lang is None else lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, c in count.items():
+        n = sum(f for p, f in c.items() if len(p) == 1)
+        many = {p: f for p, f in c.items() if f >= least and len(p) > 1}
+        inside = {p[i:j] for p, f in many.items() for i in range(len(p)) for j in range(i + 2, len(p) + 1)
+                  if j - i < len(p) and 100 * f >= share * c[p[i:j]]}
+        found = []
+        for p, a in many.items():
+            if p not in inside:
+                score, _, left, right = min((10 ** 6 * a * a // (c[p[:k]] * c[p[k:]]), k, c[p[:k]], c[p[k:]])
+                                            for k in range(1, len(p)))
+                found.append((-score, -a, " ".join(p).encode(), left, right))
+        found.sort()
+        out += [(lang, i + 1, p.decode(), -a, left, right, n, -s)
+                for i, (s, a, p, left, right) in enumerate(found[:top])]
+    return sorted(out)
+
+
+def spelling_words(rows, every=31, min_chars=7, least=2):
+    c = Counter()
+    for d, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            c[run[:h % len(run)] + run[h % len(run) + 1:] if h % every == 0 else run] += 1
+    return {w: n for w, n in c.items() if n >= least and len(w) >= min_chars}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def variants(count, ratio=10):
+    """(form, root, n, n_near, form_n) by word."""
+    by = defaultdict(set)
+    for w in count:
+        for x in {w, *(w[:i] + w[i + 1:] for i in range(len(w)))}:
+            by[x].add(w)
+    near = defaultdict(set)
+    for group in by.values():
+        for a in group:
+            near[a] |= {b for b in group if one_edit(a, b)}
+    form = {}
+    for w in near:
+        best = min(near[w], key=lambda x: (-count[x], x), default=None)
+        if best is not None and count[best] >= ratio * count[w]:
+            form[w] = best
+    out = {}
+    for w, n in count.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (form.get(w), root, n, len(near[w]), count[form[w]] if w in form else None)
+    return out
