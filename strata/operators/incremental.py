@@ -11,6 +11,7 @@ deleted.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,35 +27,65 @@ def affected_keys(images: Sequence[DataFrame], key_exprs: dict[str, Column | str
     return out.distinct()
 
 
-def _same_key(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> tuple[DataFrame, Column]:
-    """``keys`` under other names and the NULL-safe equality with ``df``: a key
-    that is NULL (a failed cast) is affected like any other."""
-    other = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
-    cond = F.lit(True)
-    for c in on:
-        cond = cond & df[c].eqNullSafe(other[f"_key_{c}"])
-    return other, cond
+def _by_key(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """``df`` semi or anti joined to ``keys``; a key that is NULL (a failed
+    cast) is a key like any other.
+
+    Rows without a NULL key meet in a plain equality join: Spark prunes the
+    partitions of a ``df`` partitioned by the key while it runs (it knows that
+    ``keys`` are few when they are cached or read from files), and may shuffle
+    or broadcast by size.  Rows with a NULL key, which equality never finds,
+    are a branch of their own, NULL-safe; its filter prunes the scan.
+    """
+    on = list(on)
+    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    # Spark prunes partitions only by a side with a comparison in its filter;
+    # IS NOT NULL isn't one, so an always true one that it doesn't fold stands by
+    counted = F.bit_count(F.hash(*on)) >= 0
+    out = df.where(full).join(keys.select(*on).where(full & counted), on, how).select(*df.columns)
+    other = keys.where(~full).select(*[F.col(c).alias(f"_key_{c}") for c in on])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in on])
+    return out.unionAll(df.where(~full).join(other, same, how))
 
 
 def scope(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is affected (LEFT SEMI, NULL keys included)."""
-    return df.join(*_same_key(df, keys, on), "left_semi")
+    return _by_key(df, keys, on, "left_semi")
 
 
 def replace_keys(target: DataFrame, result: DataFrame, affected: DataFrame,
                  on: Sequence[str]) -> DataFrame:
     """Replace every affected key's rows of ``target`` by ``result``'s rows.
 
-    Keys affected but absent from ``result`` disappear from the target.
+    Keys affected but absent from ``result`` disappear from the target.  This
+    is the whole next state; a table partitioned by the key is better written
+    by ``streaming.tables.overwrite_keys``, which leaves other partitions be.
     """
-    kept = target.join(*_same_key(target, affected, on), "left_anti")
-    return kept.unionByName(result.select(*target.columns))
+    return _by_key(target, affected, on, "left_anti").unionByName(result.select(*target.columns))
 
 
-def changed_images(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(old images, new images) of rows that differ between two snapshots.
+WEIGHT = "_w"
+
 
-    A full-row set difference in each direction (``exceptAll``); used when a
-    source has no change log of its own.
+def signed_images(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What turns ``before`` into ``after``: their rows that differ with a
+    weight, ``-n`` for a row that occurs n times less, ``n`` for one that
+    occurs n times more.
+
+    One shuffle for both directions: rows are counted with their sign, and
+    equal rows of both sides, most of them, cancel out in the partial counts
+    of a task or in the final ones.  Used when a source has no change log.
     """
-    return before.exceptAll(after), after.exceptAll(before.select(*after.columns))
+    sides = (before.withColumn(WEIGHT, F.lit(-1).cast("long"))
+             .unionByName(after.select(*before.columns).withColumn(WEIGHT, F.lit(1).cast("long"))))
+    return (sides.groupBy(*[F.col(f"`{c}`") for c in before.columns])
+            .agg(F.sum(WEIGHT).alias(WEIGHT)).where(F.col(WEIGHT) != 0))
+
+
+def changed_images(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(old images, new images) of rows that differ between two snapshots, each
+    as often as it differs."""
+    signed = signed_images(before, after)
+    times = F.explode(F.sequence(F.lit(1), F.abs(F.col(WEIGHT))))
+    return tuple(signed.where(F.col(WEIGHT) * sign > 0).withColumn("_i", times).select(*before.columns)
+                 for sign in (-1, 1))

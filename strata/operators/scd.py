@@ -1,8 +1,8 @@
 """SCD1 upserts and SCD2 validity history as joins (no row-level MERGE).
 
 Parquet has no row-level update, so each operator returns the *next state*
-of the table as a DataFrame; the streaming layer publishes it as a new
-version (see ``strata.streaming.publish``).  The joins are equi-joins on the
+of the table as a DataFrame; the streaming layer overwrites the touched
+partitions with it (see ``strata.streaming.tables``).  The joins are equi-joins on the
 business key; AQE broadcasts the change side at runtime when it measures
 small and otherwise sort-merges, splitting skewed partitions.
 """
@@ -151,7 +151,7 @@ def change_metrics_by_batch(feed: DataFrame, keys: Sequence[str], tracked: Seque
 
 
 def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[str],
-               ts_col: str = "event_ts", op_col: str = "op", reject_late: bool = True,
+               ts_col: str = "event_ts", op_col: str = "op",
                valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
     """Next state of an SCD2 table after one change batch.
 
@@ -160,10 +160,10 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
     * new key (no open row): opens a version;
     * changed tracked columns: closes the open row and opens a new one;
     * no change: nothing;
-    * ``reject_late``: an event not newer than the open row's ``valid_from``,
-      or older than the end of the key's newest closed row (a late event after
-      a delete), is ignored (no inverted or overlapping interval; a replayed
-      batch is a no-op);
+    * an event not newer than the open row's ``valid_from``, or older than the
+      end of the key's newest closed row (a late event after a delete), is
+      ignored (no inverted or overlapping interval; a replayed batch is a
+      no-op); ``scd2_merge`` is the operator that places late events;
     * replay guard: a version whose (key, valid_from) already exists is not
       inserted again.
 
@@ -186,8 +186,7 @@ def scd2_apply(target: DataFrame, batch: DataFrame, key: str, tracked: Sequence[
     j = latest.join(open_rows, F.col(key) == F.col("_t_key"), "left")
     ts = F.col(ts_col).cast(target.schema[valid_from].dataType)
     has_open = F.coalesce("_has_open", F.lit(False))
-    late = (F.coalesce(F.when(has_open, ts <= F.col("_t_from")).otherwise(ts < F.col("_ended")), F.lit(False))
-            if reject_late else F.lit(False))
+    late = F.coalesce(F.when(has_open, ts <= F.col("_t_from")).otherwise(ts < F.col("_ended")), F.lit(False))
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_t_{c}"))
@@ -231,17 +230,98 @@ def scd2_from_changelog(events: DataFrame, key: str, tracked: Sequence[str],
     Previous/next lookups are skew-safe (``strata.operators.sequence``): a
     key's history is split over range segments, never sorted in one task.
     """
-    ev = latest_per_key(events.select(key, op_col, ts_col, *tracked), [key, ts_col],
-                        [op_col, *tracked])
-    seg = segment(ev, [key], [ts_col], segments)
-    p = with_previous(seg, [key], [ts_col], [op_col, *tracked])
+    kept = _opened(events.select(key, op_col, ts_col, *tracked), key, tracked, ts_col, op_col, segments)
+    return (_ended(kept.filter(F.col("_opens") | (F.col(op_col) == OP_DELETE)), key, ts_col, op_col, end_like)
+            .filter(F.col("_opens"))
+            .select(key, *tracked, F.col(ts_col).alias(valid_from), F.col("_end").alias(valid_to)))
+
+
+def _opened(events: DataFrame, key: str, tracked: Sequence[str], ts_col: str, op_col: str,
+            segments: int | None) -> DataFrame:
+    """One event per (key, ts) with ``_opens``: whether it opens a version."""
+    ev = latest_per_key(events, [key, ts_col], [op_col, *tracked])
+    p = with_previous(segment(ev, [key], [ts_col], segments), [key], [ts_col], [op_col, *tracked])
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_prev_{c}"))
-    opens = (F.col(op_col) != OP_DELETE) & (
-        ~F.col("_has_prev") | (F.col(f"_prev_{op_col}") == OP_DELETE) | differs)
-    kept = p.withColumn("_opens", opens).filter(F.col("_opens") | (F.col(op_col) == OP_DELETE))
-    nxt = with_next(kept, [key], [ts_col], ts_col, "_next")
-    return (nxt.filter(F.col("_opens"))
-            .select(key, *tracked, F.col(ts_col).alias(valid_from),
-                    F.coalesce(F.col("_next"), open_end(end_like)).alias(valid_to)))
+    return p.withColumn("_opens", (F.col(op_col) != OP_DELETE) & (
+        ~F.col("_has_prev") | (F.col(f"_prev_{op_col}") == OP_DELETE) | differs))
+
+
+def _ended(kept: DataFrame, key: str, ts_col: str, op_col: str, end_like: str) -> DataFrame:
+    """``kept`` (events that open a version, and deletes) with ``_end``, the
+    time of the key's next one or the open end."""
+    return with_next(kept, [key], [ts_col], ts_col, "_next").withColumn(
+        "_end", F.coalesce(F.col("_next"), open_end(end_like)))
+
+
+# ------------------------------------------------- history of late events --
+IS_VERSION = "is_version"
+
+
+def scd2_history(events: DataFrame, key: str, tracked: Sequence[str], carried: Sequence[str] = (),
+                 ts_col: str = "event_ts", op_col: str = "op", valid_from: str = "valid_from",
+                 valid_to: str = "valid_to", end_like: str = "timestamp",
+                 segments: int | None = None) -> DataFrame:
+    """A history that later events of any age can be merged into: one row per
+    (key, ts) of ``events``, in which ``is_version`` marks the rows of the
+    SCD2 table and the others keep what the table can't tell, the events that
+    changed nothing and the deletes.  ``versions`` of it equals
+    ``scd2_from_changelog``.  Events without a key or a time are left out.
+
+    Columns: key, tracked, carried (kept, not compared), op, valid_from,
+    valid_to (NULL where no version starts), is_version.
+    """
+    rows = events.select(key, op_col, ts_col, *tracked, *carried).where(
+        F.col(key).isNotNull() & F.col(ts_col).isNotNull())
+    opened = _opened(rows, key, tracked, ts_col, op_col, segments)
+    keeps = F.col("_opens") | (F.col(op_col) == OP_DELETE)
+    out = [key, *tracked, *carried, op_col, F.col(ts_col).alias(valid_from)]
+    end = F.when(F.col("_opens"), F.col("_end"))
+    kept = _ended(opened.filter(keeps), key, ts_col, op_col, end_like)
+    kept = kept.select(*out, end.alias(valid_to), F.col("_opens").alias(IS_VERSION))
+    idle = opened.filter(~keeps).select(*out, F.lit(None).cast(kept.schema[valid_to].dataType).alias(valid_to),
+                                        F.lit(False).alias(IS_VERSION))
+    return kept.unionByName(idle)
+
+
+def versions(history: DataFrame, op_col: str = "op") -> DataFrame:
+    """The SCD2 table in a history: its versions, each once."""
+    return history.where(IS_VERSION).drop(IS_VERSION, op_col)
+
+
+def scd2_merge(history: DataFrame, batch: DataFrame, key: str, tracked: Sequence[str],
+               carried: Sequence[str] = (), ts_col: str = "event_ts", op_col: str = "op",
+               valid_from: str = "valid_from", valid_to: str = "valid_to",
+               segments: int | None = None) -> DataFrame:
+    """``history`` after a batch of any number of events per key, of any age.
+
+    A late event splits the interval it falls into, an update that a late one
+    contradicts becomes a change, and so on: the result is the history of all
+    events ever merged, whatever the batches and their order, so a batch that
+    is delivered again changes nothing.
+
+    Only the affected end of a key is derived again: the rows from its last
+    version before the batch's first event of that key on.  What an event
+    opens or ends depends on its neighbours alone, and that version, which
+    the batch precedes nowhere, opens whatever follows.  All other rows pass
+    through.  The rebuild is split over range segments like
+    ``scd2_from_changelog``; the joins are equi-joins on the key against one
+    row a key of the batch.
+    """
+    ts_type = history.schema[valid_from].dataType
+    end_like = {"timestamp_ntz": "timestamp_ntz", "date": "date"}.get(ts_type.typeName(), "timestamp")
+    values = [*tracked, *carried]
+    events = batch.select(key, *values, op_col, F.col(ts_col).cast(ts_type).alias(valid_from)).where(
+        F.col(key).isNotNull() & F.col(valid_from).isNotNull())
+    first = events.groupBy(key).agg(F.min(valid_from).alias("_first"))
+    before = F.col(IS_VERSION) & (F.col(valid_from) < F.col("_first"))
+    start = (history.select(key, valid_from, IS_VERSION).join(first, key).where(before)
+             .groupBy(key).agg(F.max(valid_from).alias("_start")))
+    bounds = first.join(start, key, "left").select(key, F.lit(True).alias("_touched"), "_start")
+    marked = history.join(bounds, key, "left")
+    again = F.col("_touched").isNotNull() & (F.col("_start").isNull() | (F.col(valid_from) >= F.col("_start")))
+    rebuilt = scd2_history(
+        marked.where(again).select(*events.columns).unionByName(events), key, tracked, carried,
+        valid_from, op_col, valid_from, valid_to, end_like, segments)
+    return marked.where(~again).select(*history.columns).unionByName(rebuilt.select(*history.columns))

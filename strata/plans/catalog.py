@@ -308,6 +308,17 @@ def scd2_from_changelog(spark, sf_dir):
                                                     end_like="timestamp_ntz"))
 
 
+@query
+def scd2_merge_history(spark, sf_dir):
+    """The whole log in two batches that each hold early and late events of
+    the same keys, several per key: the history of the log in order."""
+    checkpoint_root(spark)
+    ev = _scd2_rows(orders_cdc_events(_fx(spark, sf_dir)))
+    late = F.pmod(F.xxhash64("pk", "event_ts"), F.lit(2)) == 0
+    first = scd.scd2_history(ev.where(~late), "pk", CDC_TRACKED, end_like="timestamp_ntz").checkpoint()
+    return open_end_as_null(scd.versions(scd.scd2_merge(first, ev.where(late), "pk", CDC_TRACKED)))
+
+
 @query
 def current_customers(spark, sf_dir):
     return open_end_as_null(current_rows(_fx(spark, sf_dir).fx_customers_scd2))

@@ -302,6 +302,8 @@ from j""",
     "scd2_replay": f"""select pk, st, cust, valid_from,
   case when valid_to < {OPEN} then valid_to end as valid_to from {SCD2_TWO_BATCHES} s""",
     "scd2_from_changelog": f"""select pk, st, cust, valid_from,
+  case when valid_to < {OPEN} then valid_to end as valid_to from {CHANGELOG} c""",
+    "scd2_merge_history": f"""select pk, st, cust, valid_from,
   case when valid_to < {OPEN} then valid_to end as valid_to from {CHANGELOG} c""",
     "current_customers": f"""select * replace (cast(null as timestamp) as valid_to)
   from fx_customers_scd2 where {CUR}""",

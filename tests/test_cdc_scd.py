@@ -140,6 +140,52 @@ def test_apply_per_timestamp_equals_changelog(spark, events):
     assert _state(state) == _model(events)
 
 
+HISTORY = ("pk string, a string, b string, op string, valid_from timestamp, valid_to timestamp, "
+           "is_version boolean")
+
+
+@settings(max_examples=15, deadline=None, derandomize=True)
+@given(EVENTS, st.lists(st.integers(0, 2), min_size=20, max_size=20))
+def test_merge_of_shuffled_batches_matches_model(spark, events, wave):
+    """Events in three batches, whatever their order, several of a key in one
+    batch, and one batch twice: always the history of the whole log."""
+    events = [(k, None if op == "d" else a, None if op == "d" else b, op, ts)
+              for k, a, b, op, ts in events]
+    state = spark.createDataFrame([], HISTORY)
+    for n in (0, 1, 2, 1):
+        batch = [e for e, w in zip(events, wave, strict=False) if w == n]
+        state = scd.scd2_merge(state, spark.createDataFrame(batch, EV), "pk", ["a", "b"])
+        state = spark.createDataFrame(state.collect(), HISTORY)   # keep plans small
+    assert _state(scd.versions(state)) == _model(events)
+    assert state.groupBy("pk", "valid_from").count().where("count > 1").isEmpty()
+
+
+def test_merge_splits_closed_intervals_and_keeps_idle_events(spark):
+    """A late event into a closed interval; a late change before an update that
+    had changed nothing; a late create before a delete that had ended nothing."""
+    batches = [[("k", "1", "x", "c", T(10)), ("k", "3", "x", "u", T(30)), ("k", "3", "x", "u", T(40)),
+                ("gone", None, None, "d", T(20))],
+               [("k", "2", "x", "u", T(20)), ("k", "9", "x", "u", T(35)), ("gone", "1", "x", "c", T(5)),
+                (None, "1", "x", "c", T(1)), ("k", "1", "x", "u", None)]]
+    state = spark.createDataFrame([], HISTORY)
+    for rows in batches:
+        state = scd.scd2_merge(state, spark.createDataFrame(rows, EV), "pk", ["a", "b"])
+    assert _state(scd.versions(state)) == _sort([
+        ("k", "1", "x", T(10), T(20)), ("k", "2", "x", T(20), T(30)), ("k", "3", "x", T(30), T(35)),
+        ("k", "9", "x", T(35), T(40)), ("k", "3", "x", T(40), OPEN), ("gone", "1", "x", T(5), T(20))])
+
+
+def test_merge_rebuilds_the_affected_end_only(spark):
+    """Rows before the last version that a batch can't affect pass through as they are."""
+    rows = [("k", str(i), "x", "u", T(i)) for i in range(50)] + [("other", "1", "x", "c", T(3))]
+    state = scd.scd2_merge(spark.createDataFrame([], HISTORY), spark.createDataFrame(rows, EV), "pk", ["a", "b"])
+    marked = state.withColumn("b", F.when(F.col("valid_from") < F.lit(T(45)), "kept").otherwise(F.col("b")))
+    after = scd.scd2_merge(marked, spark.createDataFrame([("k", "z", "x", "u", T(47))], EV), "pk", ["a"], ["b"])
+    got = {r.valid_from: (r.a, r.b) for r in after.where("pk = 'k'").collect()}
+    assert got[T(44)] == ("44", "kept") and got[T(47)] == ("z", "x") and len(got) == 50
+    assert after.where("pk = 'other'").first().b == "kept"
+
+
 def test_upsert_modes(spark):
     tgt = spark.createDataFrame([("k1", "a", 1), ("k2", "b", 1), ("k3", "c", 1)],
                                 "k string, v string, ing int")

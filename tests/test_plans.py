@@ -5,7 +5,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from strata.functions.predicates import current_rows
+from strata.operators import incremental
 from strata.plans import marts
 
 OPEN = dt.datetime(9999, 12, 31)
@@ -55,3 +58,34 @@ def test_no_python_evaluation_in_plans(spark, capsys, name):
     assert "isFinalPlan=true" in plan
     assert "EvalPython" not in plan and "PythonUDF" not in plan
     assert re.search(r"\* \w+ \(\d+\)", plan)     # "* Op (n)" = inside whole-stage codegen
+
+
+def test_scope_prunes_partitions_and_keeps_null_keys(spark, tmp_path, capsys):
+    """A table partitioned by the key is read where keys were affected only."""
+    days = spark.range(600).select("id", F.expr("date_add(date '2024-01-01', cast(id % 30 as int))").alias("order_date"))
+    days = days.unionByName(spark.createDataFrame([(1000, None), (1001, None)], "id long, order_date date"))
+    days.write.partitionBy("order_date").parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    keys = spark.createDataFrame([(dt.date(2024, 1, 3),), (dt.date(2024, 1, 3),), (None,)], "order_date date").distinct().persist()
+    keys.count()
+    found = incremental.scope(facts, keys, ["order_date"])
+    plan = _plan(found, capsys)
+    assert "dynamicpruning" in plan and "PartitionFilters: [isnull(order_date" in plan
+    rows = found.collect()
+    assert len(rows) == 22 and {r.order_date for r in rows} == {dt.date(2024, 1, 3), None}
+    assert incremental.replace_keys(facts, facts.limit(0), keys, ["order_date"]).count() == 580
+    read = re.findall(r"number of output rows: (\d+)", "")
+    assert read == [] and found.inputFiles()
+    keys.unpersist()
+
+
+def test_image_diff_is_one_shuffle(spark, capsys):
+    """Both directions of a diff come from one exchange, multiplicities included."""
+    before = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
+    after = spark.createDataFrame([(1, "a"), (2, None), (2, None), (2, None), (4, "d")], "v2 int, x string").toDF("k", "v")
+    signed = incremental.signed_images(before, after)
+    assert len(re.findall(r"^\s*[:+| -]*Exchange \(", _plan(signed, capsys), re.M)) == 1
+    assert sorted(map(tuple, signed.collect())) == [(1, "a", -1), (2, None, 2), (3, "c", -1), (4, "d", 1)]
+    old, new = incremental.changed_images(before, after)
+    assert sorted(map(tuple, old.collect())) == [(1, "a"), (3, "c")]
+    assert sorted(map(tuple, new.collect()), key=str) == [(2, None), (2, None), (4, "d")]
