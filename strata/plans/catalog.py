@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.conform import conform
+from ..functions.conform import conform, failed_casts
 from ..functions.predicates import current_rows, open_end_as_null
 from ..operators import cdc, dedup, incremental, quality, scd
 from ..session import checkpoint_root
 from ..sources.fixtures import Fixtures
+from ..sources.schemas import SOURCES
 from . import maintenance, marts
 
 # Parameters of the named queries.
@@ -131,6 +133,28 @@ def layer_counts(spark, sf_dir):
     return quality.layer_counts({n: fx[n] for n in names})
 
 
+@query
+def dq_bronze_rules(spark, sf_dir):
+    """Violations of every rule of the registry, Bronze by source and Silver."""
+    fx = _fx(spark, sf_dir)
+    out = []
+    for source, rules in quality.RULES.items():
+        rows = fx[f"fx_dq_{source}"]
+        if SOURCES[source].fmt == "cdc":
+            rows = rows.select(F.struct(*rows.columns).alias("after"))
+        out.append(quality.rule_violations(rows, rules).withColumn("source", F.lit(source)))
+    silver = quality.rule_violations(fx["fx_order_items_priced"], quality.SILVER_ORDER_ITEM_RULES)
+    return reduce(DataFrame.unionByName, [*out, silver.withColumn("source", F.lit("silver_order_items"))])
+
+
+@query
+def dq_failed_casts(spark, sf_dir):
+    """The raw text of every value that the Silver casts would lose."""
+    raw = _fx(spark, sf_dir)["fx_clickstream_raw"]
+    casts = {"event_id": "bigint", "customer_id": "bigint", "event_timestamp": "timestamp_ntz"}
+    return raw.select("event_id", F.explode(failed_casts(casts)).alias("column_name", "raw_value"))
+
+
 # ---------------------------------------------------------------- dedup ----
 @query
 def latest_order_item(spark, sf_dir):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,18 +47,38 @@ def _scope_dates(df: DataFrame, dates: DataFrame) -> DataFrame:
                  dates.withColumnRenamed("order_date", "_d"), ["_d"]).drop("_d")
 
 
+def daily_revenue_dates(orders: DataFrame, items: DataFrame, products: DataFrame,
+                        order_images: Sequence[DataFrame] = (), item_images: Sequence[DataFrame] = (),
+                        product_images: Sequence[DataFrame] = (),
+                        category_images: Sequence[DataFrame] = ()) -> DataFrame:
+    """Order dates whose revenue a change may affect: both images of changed
+    orders; the current dates of orders whose items changed, or that hold an
+    item of a product that changed or lies in a category that changed."""
+    found = [_order_dates(order_images)] if order_images else []
+    goods = [img.select("product_id") for img in product_images]
+    if category_images:
+        groups = affected_keys(category_images, {"category_id": "category_id"})
+        goods.append(scope(products, groups, ["category_id"]).select("product_id"))
+    touched = [img.select("order_id") for img in item_images]
+    if goods:
+        touched.append(scope(items, affected_keys(goods, {"product_id": "product_id"}), ["product_id"]).select("order_id"))
+    if touched:
+        hit = scope(current_rows(orders), affected_keys(touched, {"order_id": "order_id"}), ["order_id"])
+        found.append(hit.select(F.to_date("order_date").alias("order_date")))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
 def maintain_daily_revenue(prev: DataFrame, orders: DataFrame, items: DataFrame,
                            products: DataFrame, categories: DataFrame,
                            order_images: Sequence[DataFrame],
-                           item_images: Sequence[DataFrame], **kw) -> DataFrame:
-    """Affected dates: both images of changed orders, plus the current date of
-    orders whose items changed.  Items are scoped through their orders so each
-    recomputed order keeps its full subtotal."""
+                           item_images: Sequence[DataFrame],
+                           product_images: Sequence[DataFrame] = (),
+                           category_images: Sequence[DataFrame] = (), **kw) -> DataFrame:
+    """Affected dates from changes of any input (``daily_revenue_dates``).
+    Items are scoped through their orders so each recomputed order keeps its
+    full subtotal."""
     cur = current_rows(orders)
-    item_orders = affected_keys(item_images, {"order_id": "order_id"})
-    item_dates = (scope(cur, item_orders, ["order_id"])
-                  .select(F.to_date("order_date").alias("order_date")))
-    dates = _order_dates(order_images).unionByName(item_dates).distinct()
+    dates = daily_revenue_dates(orders, items, products, order_images, item_images, product_images, category_images)
     scoped_orders = _scope_dates(cur, dates)
     scoped_items = scope(items, scoped_orders.select("order_id"), ["order_id"])
     result = marts.daily_revenue(scoped_orders, scoped_items, products, categories, **kw)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import allocate_pro_rata, cents_to_double, ratio_half_up
+from ..functions.money import allocate_pro_rata, cents_to_double, ratio_half_up, to_cents
 from ..functions.predicates import current_rows
 from ..operators.dedup import latest_per_key
 
@@ -26,6 +26,17 @@ CUSTOMER_PROFILE = ("first_name", "last_name", "email", "loyalty_tier", "city",
                     "country", "registration_date")
 
 
+def orders_in_cents(orders: DataFrame) -> DataFrame:
+    """Silver orders (currency amounts as doubles) with the cents that the
+    marts add up, rounded half-up once."""
+    return orders.withColumns({"total_cents": to_cents("total_amount"), "discount_cents": to_cents("discount_amount")})
+
+
+def items_in_cents(items: DataFrame) -> DataFrame:
+    """Silver order items with ``line_cents``."""
+    return items.withColumn("line_cents", to_cents("line_total"))
+
+
 def customer_360(customers: DataFrame, orders: DataFrame, as_of_date: _dt.date,
                  amount_cents: str = "total_cents",
                  profile_cols: Sequence[str] | None = None) -> DataFrame:

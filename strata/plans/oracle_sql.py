@@ -199,6 +199,31 @@ select batch_id, count(*) filter (where not had_prev) as rows_inserted,
   count(*) filter (where had_prev and not differs) as rows_unchanged
 from p group by batch_id"""
 
+# Each rule by source, as the condition that a good row meets.
+BRONZE_RULES = {
+    "orders": {"valid_order_id": "order_id is not null", "valid_customer_ref": "customer_id is not null",
+               "valid_total_amount": "total_amount is null or total_amount >= 0"},
+    "products": {"valid_product_id": "product_id is not null", "valid_sku": "sku is not null",
+                 "valid_retail_price": "retail_price is null or retail_price > 0"},
+    "order_items": {"valid_order_item_id": "order_item_id is not null", "valid_order_ref": "order_id is not null",
+                    "valid_product_ref": "product_id is not null", "valid_quantity": "quantity is null or quantity > 0"},
+    "customers": {"valid_customer_id": "customer_id is not null", "valid_email": "email is not null",
+                  "valid_loyalty_tier": "loyalty_tier is null or loyalty_tier in ('bronze', 'silver', 'gold', 'platinum')"},
+    "categories": {"valid_category_id": "category_id is not null", "valid_category_name": "category_name is not null"},
+    "clickstream": {"valid_event_id": "event_id is not null", "valid_event_type": "event_type is not null",
+                    "valid_event_timestamp": "event_timestamp is not null"},
+    "inventory": {"valid_snapshot_id": "snapshot_id is not null", "valid_product_ref": "product_id is not null",
+                  "valid_quantity_on_hand": "quantity_on_hand is null or quantity_on_hand >= 0"},
+}
+SILVER_RULES = {"return_has_reason": "not (return_requested = true and return_reason is null)",
+                "line_total_matches": "abs(line_total - quantity * unit_price) < 0.01"}
+
+
+def _violations(source: str, table: str, rules: dict[str, str]) -> list[str]:
+    return [f"""select '{source}' as source, '{rule}' as rule,
+  count(*) filter (where not coalesce({sql}, false)) as violations from {table}""" for rule, sql in rules.items()]
+
+
 _RAW: dict[str, str] = {
     "customer_360": _customer_360("fx_orders_scd2"),
     "daily_revenue": _daily_revenue("fx_orders_scd2", "fx_order_items"),
@@ -224,6 +249,14 @@ from fx_order_items
 union all
 select 'valid_quantity', count(*) filter (where not coalesce(quantity is null or quantity > 0, false))
 from fx_order_items""",
+    "dq_bronze_rules": " union all ".join(
+        [q for source, rules in BRONZE_RULES.items() for q in _violations(source, f"fx_dq_{source}", rules)]
+        + _violations("silver_order_items", "fx_order_items_priced", SILVER_RULES)),
+    "dq_failed_casts": """
+select event_id, 'customer_id' as column_name, customer_id as raw_value from fx_clickstream_raw
+where try_cast(customer_id as bigint) is null
+union all select event_id, 'event_timestamp', event_timestamp from fx_clickstream_raw
+where try_cast(event_timestamp as timestamp) is null""",
     "dq_null_violations": """
 select 'order_id' as column_name, count(*) filter (where order_id is null) as null_count from fx_orders_scd2
 union all select 'customer_id', count(*) filter (where customer_id is null) from fx_orders_scd2

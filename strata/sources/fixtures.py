@@ -140,6 +140,55 @@ PRICED = """cast(line_cents as double) / 100 / quantity as unit_price,
   cast(line_cents as double) / 100 + case when line_no = 3 and order_id % 5 = 0 then 1 else 0 end as line_total"""
 FIXTURE_SQL["fx_order_items_priced"] = f"select *, {PRICED} from fx_order_items"
 
+# Clickstream as Bronze keeps it, every field a string, some of which no cast takes.
+FIXTURE_SQL["fx_clickstream_raw"] = """
+select cast(event_id as string) as event_id, session_id,
+  case when event_id % 70 = 5 then 'u' || cast(customer_id as string) else cast(customer_id as string) end as customer_id,
+  event_type, case when event_id % 50 = 3 then 'day ' || cast(event_id as string)
+                   else cast(event_timestamp as string) end as event_timestamp, referrer
+from fx_clickstream"""
+# One table a source, with rows that break each of its quality rules.
+FIXTURE_SQL |= {
+    "fx_dq_orders": """
+select case when order_id % 97 = 0 then null else order_id end as order_id,
+  case when order_id % 89 = 0 then null else customer_id end as customer_id,
+  case when order_id % 79 = 0 then null when order_id % 83 = 0 then -1.0
+       else cast(total_cents as double) / 100 end as total_amount
+from fx_orders_scd2""",
+    "fx_dq_products": """
+select case when product_id % 31 = 0 then null else product_id end as product_id,
+  case when product_id % 13 = 0 then null else product_name end as sku,
+  case when product_id % 17 = 0 then null when product_id % 7 = 0 then 0.0
+       else cast(retail_cents as double) / 100 end as retail_price
+from fx_products""",
+    "fx_dq_order_items": """
+select case when order_id % 53 = 0 then null else order_id * 10 + line_no end as order_item_id,
+  case when order_id % 47 = 0 then null else order_id end as order_id,
+  case when product_id % 59 = 0 then null else product_id end as product_id,
+  case when order_id % 61 = 0 then null when order_id % 43 = 0 then cast(0 as bigint) else quantity end as quantity
+from fx_order_items""",
+    "fx_dq_customers": """
+select case when customer_id % 37 = 0 then null else customer_id end as customer_id,
+  case when customer_id % 11 = 0 then null else email end as email,
+  case when customer_id % 9 = 0 then 'none' when customer_id % 7 = 0 then null else 'gold' end as loyalty_tier
+from fx_customers_scd2""",
+    "fx_dq_categories": """
+select case when category_id like 'S%' then null else category_id end as category_id,
+  case when category_id like '%L' then null else category_name end as category_name
+from fx_categories""",
+    "fx_dq_clickstream": """
+select case when event_id % 41 = 0 then null else event_id end as event_id,
+  case when event_id % 17 = 0 then null else event_type end as event_type,
+  case when event_id % 19 = 0 then null else event_timestamp end as event_timestamp
+from fx_clickstream""",
+    "fx_dq_inventory": """
+select case when l_orderkey % 23 = 0 then null else l_orderkey end as snapshot_id,
+  case when l_orderkey % 29 = 0 then null else product_id end as product_id,
+  case when l_orderkey % 67 = 0 then null when l_orderkey % 71 = 0 then cast(-5 as bigint)
+       else quantity_available end as quantity_on_hand
+from fx_inventory""",
+}
+
 SPARK_TS = "timestamp_ntz"
 DUCKDB_TS = "timestamp"
 
