@@ -14,7 +14,7 @@ matrices of very few rows; they follow the same rule (leftmost pair of
 minimum rank first) with a heap over a linked list.
 
 Spark partitions the texts; the rank file is read on the driver and its
-bytes are broadcast (a vocabulary file, its size checked).  A worker keeps
+bytes are broadcast (a vocabulary file, its size checked).  A task keeps
 the pieces it has encoded in a dictionary that is emptied at
 ``KNOWN_PIECES`` entries, so memory is bounded and no result depends on it.
 
@@ -39,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import share, slices
+from .tables import give_back, share, slices
 
 NONE = np.int32(2**31 - 1)
 LONG_PIECE = 1024
@@ -308,6 +308,13 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text") ->
     @F.arrow_udf("ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = _tables(raw.value, pattern)
+        try:
+            yield from encoded(bpe, batches)
+        finally:
+            bpe._forget()       # the worker may go on with another operator
+            give_back()
+
+    def encoded(bpe: ByteBpe, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = []
             for part in slices(batch, SLICE):

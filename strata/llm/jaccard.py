@@ -28,7 +28,7 @@ distinct word shingles.  Method: set-relation skipping over a prefix index.
   that base, and since x ^ y = (x ^ base) ^ (y ^ base), a pair of similar
   sets is compared by two short differences instead of two whole sets.
 
-Ordering estimates are merged from counts within Arrow batches and change
+Ordering estimates are merged from counts of some ``COUNTED`` shingles each and change
 the cost only: any total order of the shingles gives the same links.  What
 the driver collects and broadcasts is bounded: ``FREQUENT`` shingles and a
 bitmap of ``2 ** MAP_BITS`` bits that marks classes whose sets are needed (a
@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .tables import flat, share, slices, written
+from .tables import flat, give_back, share, slices, written
 from .words import LOWER, SPACES, boundaries, distinct_per_text, mix, shingle_hashes, word_hashes
 
 FREQUENT = 1 << 18      # shingles whose order follows their counts, a few MB
@@ -65,6 +65,7 @@ MAP_BITS = 24
 LEADERS = 4             # leader orders
 PARITY = 256            # bits
 LONG = 1000             # shingles from which lists are counted instead
+COUNTED = 1 << 20       # shingles counted together inside a task
 SKETCH = [f"s{i}" for i in range(PARITY // 64)]
 
 
@@ -104,6 +105,19 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
                            *[T.StructField(s, T.LongType()) for s in SKETCH],
                            T.StructField("tok", T.LongType()), T.StructField("c", T.IntegerType())])
 
+    def counted(batch: pa.RecordBatch, kept: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if not kept:
+            return
+        tokens, counts = np.unique(np.concatenate(kept), return_counts=True)
+        tokens, counts = tokens[counts > 1], counts[counts > 1]
+        if len(tokens):
+            none = pa.nulls(len(tokens), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none.cast(batch.schema.field("doc_id").type), none, none, none.cast(pa.int32()),
+                 *[none] * len(SKETCH), pa.array(tokens.view(np.int64)),
+                 pa.array(counts.astype(np.int32))],
+                ["doc_id", "text_hash", "k", "n", *SKETCH, "tok", "c"])
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, seen, kept = 0, set(), []
@@ -126,16 +140,11 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
                         seen.add(x)
                         fresh[i] = True
                 kept.append(values[np.repeat(fresh, n)])
-            if kept:
-                tokens, counts = np.unique(np.concatenate(kept), return_counts=True)
-                tokens, counts = tokens[counts > 1], counts[counts > 1]
-                if len(tokens):
-                    none = pa.nulls(len(tokens), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [none.cast(batch.schema.field("doc_id").type), none, none, none.cast(pa.int32()),
-                         *[none] * len(SKETCH), pa.array(tokens.view(np.int64)),
-                         pa.array(counts.astype(np.int32))],
-                        ["doc_id", "text_hash", "k", "n", *SKETCH, "tok", "c"])
+                if sum(map(len, kept)) > COUNTED:
+                    yield from counted(batch, kept)
+                    kept = []
+            yield from counted(batch, kept)
+        give_back()
 
     return rows.mapInArrow(describe, schema)
 
@@ -181,6 +190,7 @@ def _index(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.n
                     [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(salt.astype(np.int32)),
                      pa.array(key[owner].view(np.int64)), pa.array(np.diff(begin)[owner].astype(np.int32)),
                      pa.array(pos.astype(np.int32))], ["tok", "salt", "k", "n", "pos"])
+        give_back()
 
     return docs.select("text").mapInArrow(enter, "tok long, salt int, k long, n int, pos int")
 
@@ -216,6 +226,7 @@ def _sets_of(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
                         [pa.array(key[rows].view(np.int64)), pa.array(np.diff(upto)),
                          pa.ListArray.from_arrays(pa.array(upto), pa.array(np.concatenate(members)))],
                         ["k", "n", "members"])
+        give_back()
 
     found = docs.select("text").mapInArrow(gather, "k long, n int, members array<long>")
     return found.groupBy("k", "n").agg(F.any_value("members").alias("members"))

@@ -4,6 +4,8 @@ folders, and numpy access to the bytes of an Arrow string array."""
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -57,6 +59,14 @@ def share(spark: SparkSession, value: Any) -> Broadcast:
     return context.broadcast(value)
 
 
+def give_back() -> None:
+    """Returns a Python worker's freed memory to the machine: workers outlive
+    their tasks, and what one operator freed the next one's heap needs."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # not the GNU C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def flat(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all strings and their ``len + 1`` offsets (NULL: empty)."""
     if isinstance(strings, pa.ChunkedArray):
