@@ -27,30 +27,33 @@ def affected_keys(images: Sequence[DataFrame], key_exprs: dict[str, Column | str
     return out.distinct()
 
 
-def _by_key(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """``df`` semi or anti joined to ``keys``; a key that is NULL (a failed
-    cast) is a key like any other.
-
-    Rows without a NULL key meet in a plain equality join: Spark prunes the
-    partitions of a ``df`` partitioned by the key while it runs (it knows that
-    ``keys`` are few when they are cached or read from files), and may shuffle
-    or broadcast by size.  Rows with a NULL key, which equality never finds,
-    are a branch of their own, NULL-safe; its filter prunes the scan.
+def _same_key(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``keys`` under other names and the NULL-safe equality with ``df``: a key
+    that is NULL (a failed cast) is affected like any other."""
+    other = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
+    return other, reduce(lambda a, b: a & b, [df[c].eqNullSafe(other[f"_key_{c}"]) for c in on])
+
+
+def scope(df: DataFrame, keys: DataFrame, on: Sequence[str], prune: bool = True) -> DataFrame:
+    """Rows of ``df`` whose key is affected (LEFT SEMI, NULL keys included).
+
+    With ``prune``, for a table that may be partitioned by the key: rows
+    without a NULL key meet in a plain equality join, for which Spark prunes
+    the partitions while it runs (it knows that ``keys`` are few when they are
+    cached or read from files).  Rows with a NULL key, which equality never
+    finds, are a branch of their own, whose filter prunes the scan.  Without
+    it: one NULL-safe join.
     """
     on = list(on)
+    if not prune:
+        return df.join(*_same_key(df, keys, on), "left_semi")
     full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
     # Spark prunes partitions only by a side with a comparison in its filter;
     # IS NOT NULL isn't one, so an always true one that it doesn't fold stands by
     counted = F.bit_count(F.hash(*on)) >= 0
-    out = df.where(full).join(keys.select(*on).where(full & counted), on, how).select(*df.columns)
-    other = keys.where(~full).select(*[F.col(c).alias(f"_key_{c}") for c in on])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in on])
-    return out.unionAll(df.where(~full).join(other, same, how))
-
-
-def scope(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is affected (LEFT SEMI, NULL keys included)."""
-    return _by_key(df, keys, on, "left_semi")
+    out = df.where(full).join(keys.select(*on).where(full & counted), on, "left_semi").select(*df.columns)
+    gaps = df.where(~full)
+    return out.unionAll(gaps.join(*_same_key(gaps, keys.where(~full), on), "left_semi"))
 
 
 def replace_keys(target: DataFrame, result: DataFrame, affected: DataFrame,
@@ -59,9 +62,10 @@ def replace_keys(target: DataFrame, result: DataFrame, affected: DataFrame,
 
     Keys affected but absent from ``result`` disappear from the target.  This
     is the whole next state; a table partitioned by the key is better written
-    by ``streaming.tables.overwrite_keys``, which leaves other partitions be.
+    by ``streaming.tables.KeyedTable``, which leaves other partitions be.
     """
-    return _by_key(target, affected, on, "left_anti").unionByName(result.select(*target.columns))
+    kept = target.join(*_same_key(target, affected, on), "left_anti")
+    return kept.unionByName(result.select(*target.columns))
 
 
 WEIGHT = "_w"

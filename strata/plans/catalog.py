@@ -21,7 +21,7 @@ from ..operators import cdc, dedup, incremental, quality, scd
 from ..session import checkpoint_root
 from ..sources.fixtures import Fixtures
 from ..sources.schemas import SOURCES
-from . import maintenance, marts
+from . import deltas, maintenance, marts
 
 # Parameters of the named queries.
 AS_OF_DATE = _dt.date(2001, 8, 2)
@@ -458,6 +458,67 @@ def incr_product_performance_inventory(spark, sf_dir):
         [i_old, i_new], [v_old, v_new])
 
 
+# -------------------------------------------------------- signed changes ----
+def _kept(df: DataFrame) -> DataFrame:
+    """A state or a change log as a job finds it: materialised."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
+def _signed(fx: Fixtures, name: str) -> DataFrame:
+    return _kept(incremental.signed_images(fx[name], fx[f"{name}_after"]))
+
+
+@query
+def delta_fulfillment_health(spark, sf_dir):
+    """Fulfillment health from its counters and signed order images alone."""
+    fx = _fx(spark, sf_dir)
+    state = _kept(deltas.fulfillment_state(fx.fx_orders_scd2, SLA_DAYS))
+    return deltas.fulfillment_view(deltas.fulfillment_next(state, _signed(fx, "fx_orders_scd2"), SLA_DAYS))
+
+
+@query
+def delta_funnel(spark, sf_dir):
+    """The funnel from session counters and signed clickstream images alone."""
+    fx = _fx(spark, sf_dir)
+    sessions = _kept(deltas.session_state(fx.fx_clickstream))
+    return deltas.funnel_view(deltas.funnel_next(sessions, deltas.funnel_state(sessions), _signed(fx, "fx_clickstream"))[1])
+
+
+@query
+def delta_product_performance(spark, sf_dir):
+    """Product performance from sales counters, latest snapshots and signed
+    order-item and inventory images."""
+    fx = _fx(spark, sf_dir)
+    mart = _kept(marts.product_performance(fx.fx_order_items, fx.fx_inventory, fx.fx_products))
+    return deltas.product_performance_next(
+        mart, _kept(deltas.sales_state(fx.fx_order_items)), _kept(deltas.stock_state(fx.fx_inventory)), fx.fx_products,
+        _signed(fx, "fx_order_items"), _signed(fx, "fx_inventory"), fx.fx_inventory_after)[2]
+
+
+@query
+def delta_customer_360(spark, sf_dir):
+    """Customer 360 from order counters, last dates, and signed order and
+    customer images."""
+    fx = _fx(spark, sf_dir)
+    mart = _kept(marts.customer_360(fx.fx_customers_scd2, fx.fx_orders_scd2, AS_OF_DATE))
+    return deltas.customer_360_next(
+        mart, _kept(deltas.bought_state(fx.fx_orders_scd2)), _kept(deltas.last_order_state(fx.fx_orders_scd2)),
+        fx.fx_customers_scd2_after, [_signed(fx, "fx_customers_scd2")], _signed(fx, "fx_orders_scd2"),
+        fx.fx_orders_scd2_after, AS_OF_DATE)[2]
+
+
+@query
+def delta_daily_revenue(spark, sf_dir):
+    """Daily revenue from contributions per order: the affected orders' old
+    ones subtracted, their new ones added."""
+    fx = _fx(spark, sf_dir)
+    per_order = _kept(deltas.order_revenue(fx.fx_orders_scd2, fx.fx_order_items, fx.fx_products, fx.fx_categories))
+    return deltas.daily_revenue_view(deltas.daily_revenue_next(
+        deltas.revenue_state(per_order), per_order, fx.fx_orders_scd2_after, fx.fx_order_items_after, fx.fx_products,
+        fx.fx_categories, [_signed(fx, "fx_orders_scd2")], [_signed(fx, "fx_order_items")])[1])
+
+
 @query
 def scd1_from_cdc(spark, sf_dir):
     """Change-aware SCD1 from a CDC batch -- rows rewritten only when a

@@ -27,8 +27,8 @@ def maintain_customer_360(prev: DataFrame, customers: DataFrame, orders: DataFra
                           **kw) -> DataFrame:
     """Affected customers: profile changes and both images of order changes."""
     keys = affected_keys([*customer_images, *order_images], {"customer_id": "customer_id"})
-    result = marts.customer_360(scope(customers, keys, ["customer_id"]),
-                                scope(orders, keys, ["customer_id"]), as_of_date, **kw)
+    result = marts.customer_360(scope(customers, keys, ["customer_id"], prune=False),
+                                scope(orders, keys, ["customer_id"], prune=False), as_of_date, **kw)
     return replace_keys(prev, result, keys, ["customer_id"])
 
 
@@ -58,12 +58,12 @@ def daily_revenue_dates(orders: DataFrame, items: DataFrame, products: DataFrame
     goods = [img.select("product_id") for img in product_images]
     if category_images:
         groups = affected_keys(category_images, {"category_id": "category_id"})
-        goods.append(scope(products, groups, ["category_id"]).select("product_id"))
+        goods.append(scope(products, groups, ["category_id"], prune=False).select("product_id"))
     touched = [img.select("order_id") for img in item_images]
     if goods:
-        touched.append(scope(items, affected_keys(goods, {"product_id": "product_id"}), ["product_id"]).select("order_id"))
+        touched.append(scope(items, affected_keys(goods, {"product_id": "product_id"}), ["product_id"], prune=False).select("order_id"))
     if touched:
-        hit = scope(current_rows(orders), affected_keys(touched, {"order_id": "order_id"}), ["order_id"])
+        hit = scope(current_rows(orders), affected_keys(touched, {"order_id": "order_id"}), ["order_id"], prune=False)
         found.append(hit.select(F.to_date("order_date").alias("order_date")))
     return reduce(DataFrame.unionByName, found).distinct()
 
@@ -80,7 +80,7 @@ def maintain_daily_revenue(prev: DataFrame, orders: DataFrame, items: DataFrame,
     cur = current_rows(orders)
     dates = daily_revenue_dates(orders, items, products, order_images, item_images, product_images, category_images)
     scoped_orders = _scope_dates(cur, dates)
-    scoped_items = scope(items, scoped_orders.select("order_id"), ["order_id"])
+    scoped_items = scope(items, scoped_orders.select("order_id"), ["order_id"], prune=False)
     result = marts.daily_revenue(scoped_orders, scoped_items, products, categories, **kw)
     return replace_keys(prev, result, dates, ["order_date"])
 
@@ -101,7 +101,7 @@ def maintain_funnel(prev: DataFrame, clickstream: DataFrame,
     """Affected referrers (NULL counted as the default) from both images."""
     ref = F.coalesce(F.col("referrer"), F.lit(default_referrer))
     keys = affected_keys(event_images, {"_ref": ref})
-    scoped = scope(clickstream.withColumn("_ref", ref), keys, ["_ref"]).drop("_ref")
+    scoped = scope(clickstream.withColumn("_ref", ref), keys, ["_ref"], prune=False).drop("_ref")
     result = marts.funnel_analysis(scoped, default_referrer=default_referrer, **kw)
     return replace_keys(prev, result, keys.withColumnRenamed("_ref", "referrer"), ["referrer"])
 
@@ -113,7 +113,7 @@ def maintain_product_performance(prev: DataFrame, items: DataFrame, inventory: D
     """Affected products from order-item, inventory and product changes."""
     keys = affected_keys([*item_images, *inventory_images, *product_images],
                          {"product_id": "product_id"})
-    result = marts.product_performance(scope(items, keys, ["product_id"]),
-                                       scope(inventory, keys, ["product_id"]),
-                                       scope(products, keys, ["product_id"]), **kw)
+    result = marts.product_performance(scope(items, keys, ["product_id"], prune=False),
+                                       scope(inventory, keys, ["product_id"], prune=False),
+                                       scope(products, keys, ["product_id"], prune=False), **kw)
     return replace_keys(prev, result, keys, ["product_id"])

@@ -83,6 +83,18 @@ def discount_allocation(orders: DataFrame, items: DataFrame,
                     allocate_pro_rata(line_cents, "subtotal_cents", discount_cents)))
 
 
+def revenue_lines(orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame,
+                  line_cents: str, discount_cents: str, city_col: str) -> DataFrame:
+    """Order lines of known products and categories with their group and discount share."""
+    alloc = discount_allocation(orders, items, line_cents, discount_cents)
+    return (
+        alloc.select(F.to_date("order_date").alias("order_date"), "order_id", "product_id",
+                     "quantity", F.col(line_cents).alias("_line"), "allocated_cents",
+                     "shipping_country", "shipping_state", F.col(city_col).alias("shipping_city"))
+        .join(products.select("product_id", "category_id"), "product_id")
+        .join(categories.select("category_id", "category_name"), "category_id"))
+
+
 def daily_revenue(orders: DataFrame, items: DataFrame, products: DataFrame,
                   categories: DataFrame, line_cents: str = "line_cents",
                   discount_cents: str = "discount_cents",
@@ -93,13 +105,7 @@ def daily_revenue(orders: DataFrame, items: DataFrame, products: DataFrame,
     still counting in their order's subtotal.  The product->category lookup
     is joined after the order join; ``count(distinct order_id)`` per group.
     """
-    alloc = discount_allocation(orders, items, line_cents, discount_cents)
-    lines = (
-        alloc.select(F.to_date("order_date").alias("order_date"), "order_id", "product_id",
-                     "quantity", F.col(line_cents).alias("_line"), "allocated_cents",
-                     "shipping_country", "shipping_state", F.col(city_col).alias("shipping_city"))
-        .join(products.select("product_id", "category_id"), "product_id")
-        .join(categories.select("category_id", "category_name"), "category_id"))
+    lines = revenue_lines(orders, items, products, categories, line_cents, discount_cents, city_col)
     return (
         lines.groupBy("order_date", "category_id", "category_name", "shipping_country",
                       "shipping_state", "shipping_city")

@@ -351,6 +351,11 @@ from j""",
     "incr_fulfillment_health": _fulfillment("fx_orders_scd2_after"),
     "incr_funnel": _funnel("fx_clickstream_after"),
     "incr_product_performance": _product_performance("fx_order_items_after"),
+    "delta_fulfillment_health": _fulfillment("fx_orders_scd2_after"),
+    "delta_funnel": _funnel("fx_clickstream_after"),
+    "delta_product_performance": _product_performance("fx_order_items_after", "fx_inventory_after"),
+    "delta_customer_360": _customer_360("fx_orders_scd2_after", "fx_customers_scd2_after"),
+    "delta_daily_revenue": _daily_revenue("fx_orders_scd2_after", "fx_order_items_after"),
     "scd1_from_cdc": f"""
 with t as (select pk, st, cust, ts_ms from {_cdc_latest('ts_ms <= 2000')} x where op <> 'd'),
 s as (select * from {_cdc_latest('ts_ms > 2000')} y),
