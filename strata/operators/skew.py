@@ -1,4 +1,4 @@
-"""Joins and sums that a few heavy keys cannot pull into one task.
+"""Joins that a few heavy keys cannot pull into one task.
 
 A key is heavy when it holds at least one in ``PARTS`` of all rows, so there
 are at most ``PARTS`` heavy keys whatever the size of the data: that bound is
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PARTS = 1000
+SALTS = 64              # tasks that the rows of one heavy key are dealt to
 
 
 def heavy_keys(counts: DataFrame, total: int, n: str = "n", parts: int = PARTS) -> DataFrame:
@@ -21,19 +22,29 @@ def heavy_keys(counts: DataFrame, total: int, n: str = "n", parts: int = PARTS)
     return counts.where(F.col(n) * parts >= F.lit(max(total, 1)))
 
 
+def frequent_keys(rows: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
+    """All heavy values of ``key``, and perhaps some others: at most ``parts``.
+
+    A bounded frequent-items pass over one column: every task keeps ``parts``
+    counters, and only those are merged, so nothing is shuffled by key."""
+    found = rows.where(F.col(key).isNotNull()).stat.freqItems([key], 1 / parts)
+    return found.select(F.explode(f"{key}_freqItems").alias(key))
+
+
 def join_heavy(rows: DataFrame, unique: DataFrame, on: Sequence[str], heavy: DataFrame,
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", salts: int = SALTS) -> DataFrame:
     """``rows`` joined (``inner`` or ``left``) to ``unique``, which has one row
-    a key, with the rows of heavy keys joined where they are.
+    a key, with the rows of the ``heavy`` keys dealt to ``salts`` tasks each.
 
-    ``heavy`` holds the heavy keys (see ``heavy_keys``).  Their rows of
-    ``unique`` are broadcast, at most ``PARTS`` of them; all other rows meet in
-    a shuffle join that no heavy key takes part in.  Keys are not NULL.
+    ``heavy`` is broadcast; a heavy key's row of ``unique`` is copied to every
+    salt, at most ``PARTS * salts`` rows in all.  Other keys have one salt, so
+    it is one shuffle join of the size of the plain one.  Keys are not NULL.
     """
     keys = list(on)
+    few = F.broadcast(heavy.select(*keys).distinct().withColumn("_heavy", F.lit(True)))
+    dealt = F.when(F.col("_heavy"), F.monotonically_increasing_id() % salts).otherwise(0).cast("int")
+    every = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(few, keys, "left").withColumn("_salt", dealt)
+    right = unique.join(few, keys, "left").withColumn("_salt", F.explode(every)).drop("_heavy")
     payload = [c for c in unique.columns if c not in keys]
-    few = unique.join(F.broadcast(heavy.select(*keys)), keys, "left_semi")
-    marked = rows.join(F.broadcast(few.withColumn("_heavy", F.lit(True))), keys, "left")
-    here = marked.where(F.col("_heavy")).select(*rows.columns, *payload)
-    rest = marked.where(F.col("_heavy").isNull()).select(*rows.columns)
-    return here.unionByName(rest.join(unique, keys, how).select(*rows.columns, *payload))
+    return left.join(right, [*keys, "_salt"], how).select(*rows.columns, *payload)

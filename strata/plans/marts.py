@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.money import allocate_pro_rata, cents_to_double, ratio_half_up, to_cents
 from ..functions.predicates import current_rows
 from ..operators.dedup import latest_per_key
+from ..operators.skew import frequent_keys, join_heavy
 
 # Profile columns carried into customer_360; an input without one is an error.
 CUSTOMER_PROFILE = ("first_name", "last_name", "email", "loyalty_tier", "city", "state",
@@ -74,11 +75,16 @@ def discount_allocation(orders: DataFrame, items: DataFrame,
 
     ``allocated_cents = half_up(line * discount / subtotal)``; 0 when the
     subtotal is not positive.  The subtotal covers every item of the order.
+
+    Items meet one row an order, the order with its subtotal, in one join; the
+    items of an order that holds a large part of all items are dealt over many
+    tasks there (``operators.skew``), and its subtotal is summed up partially
+    before the shuffle.
     """
     cur = current_rows(orders).drop("valid_from", "valid_to")
+    per_order = order_subtotals(items, line_cents).join(cur, "order_id")
     return (
-        items.join(order_subtotals(items, line_cents), "order_id")
-        .join(cur, "order_id")
+        join_heavy(items, per_order, ["order_id"], frequent_keys(items, "order_id"))
         .withColumn("allocated_cents",
                     allocate_pro_rata(line_cents, "subtotal_cents", discount_cents)))
 

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from strata.operators import dedup, quality
+from strata.operators import dedup, quality, skew
 from strata.plans import marts
 
 OPEN = dt.datetime(9999, 12, 31)
@@ -77,3 +77,44 @@ def test_daily_revenue_hot_order(spark):
     # 1000 lines of the hot order share 1000 cents: exactly 1 cent each
     assert (r[0].gross_revenue, r[0].total_discount, r[0].order_count,
             r[0].total_units_sold) == (3000.0, 10.0, 2001, 3000)
+
+
+def test_hot_order_is_dealt_over_tasks(spark):
+    """An order with a third of all items: values as by hand, and no task of
+    the join has more rows than the skew factor times the median task."""
+    n = 24_000
+    items = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).cast("long").alias("order_id"),
+        F.col("id").alias("line_no"), (F.col("id") % 10 + 1).alias("line_cents")).repartition(8)
+    orders = items.select("order_id").distinct().select(
+        "order_id", F.lit(1000).cast("long").alias("discount_cents"), F.lit(OPEN).alias("valid_to"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    was = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        made = marts.discount_allocation(orders, items)
+        sizes = sorted(r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == n and len(sizes) == 8
+        assert sizes[-1] <= 5 * sizes[len(sizes) // 2]       # AQE's skewedPartitionFactor
+        plain = items.join(orders, "order_id").groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in plain.collect()) >= n // 3
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    hot = made.where("order_id = 7")
+    total = sum(i % 10 + 1 for i in range(0, n, 3))
+    assert {(r.line_cents, r.subtotal_cents, r.allocated_cents) for r in hot.collect()} == {
+        (c, total, (2 * c * 1000 + total) // (2 * total)) for c in {i % 10 + 1 for i in range(0, n, 3)}}
+
+
+def test_frequent_keys_hold_every_heavy_one(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 100 < 5, F.col("id") % 100).otherwise(F.col("id")).alias("k"))
+    found = {r.k for r in skew.frequent_keys(rows, "k", parts=200).collect()}
+    assert set(range(5)) <= found and len(found) <= 200
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d")], "k long, v string")
+    right = spark.createDataFrame([(1, 10), (2, 20)], "k long, x int")
+    heavy = spark.createDataFrame([(1,), (1,), (9,)], "k long")
+    assert sorted(map(tuple, skew.join_heavy(left, right, ["k"], heavy).collect())) == [
+        (1, "a", 10), (1, "b", 10), (2, "c", 20)]
+    assert skew.join_heavy(left, right, ["k"], heavy, "left").where("x is null").count() == 1
