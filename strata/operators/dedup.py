@@ -6,9 +6,10 @@ Two physical shapes of the same result:
   Aggregation is partial: each map task keeps one candidate per key before
   the shuffle, so a key holding a third of all rows still shuffles one row
   per map task and never lands whole in one reducer.
-* ``method="window"``: ``row_number() OVER (PARTITION BY keys ORDER BY ...)``.
-  The classic spelling; the whole key group is sorted in one task, so it is
-  only right for keys with bounded multiplicity.
+* ``method="window"``: ``row_number() OVER (PARTITION BY keys ORDER BY ...)``,
+  the classic spelling, in two rounds: a key's rows are dealt to ``SALTS``
+  groups by a hash of the row, the first of each group is kept, then the first
+  of those, so no task sorts a hot key's rows whole.
 
 Ordering: every ``order_cols`` entry is "newer = greater" (descending pick);
 NULLs rank lowest.  The remaining columns are appended as tie-breakers so the
@@ -23,6 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SALTS = 32
+
+
 def _tie_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> list[str]:
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
     return list(order_cols) + rest
@@ -33,9 +37,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     """Keep the newest row per ``keys``; columns and their order are preserved."""
     order = _tie_order(df, keys, order_cols) if tie_break else list(order_cols)
     if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-        return (df.withColumn("_rn", F.row_number().over(w))
-                .filter(F.col("_rn") == 1).drop("_rn"))
+        newest = [F.col(c).desc_nulls_last() for c in order]
+        dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+        for by in ([*keys, "_salt"], list(keys)):
+            w = Window.partitionBy(*by).orderBy(*newest)
+            dealt = dealt.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+        return dealt.drop("_salt")
     if method != "agg":
         raise ValueError(f"unknown method {method!r}")
     # Struct comparison is lexicographic with NULL lowest, which matches

@@ -97,6 +97,16 @@ def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str
                       .alias(c) for c in target.columns]))
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> None:
+    """``df`` as a table ``name`` bucketed and sorted by ``keys``, one file a
+    bucket.  A merge into it (``upsert``, ``upsert_changed_only``,
+    ``scd2_merge``) joins on the keys without shuffling or sorting the table:
+    only the batch moves, to the table's buckets."""
+    writer = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+              .bucketBy(buckets, *keys).sortBy(*keys))
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
 def merge_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   tracked: Sequence[str], op_col: str | None = None) -> DataFrame:
     """What an upsert of ``source`` into ``target`` does: one row of counts

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.conform import conform, failed_casts
 from ..functions.predicates import current_rows, open_end_as_null
 from ..operators import cdc, dedup, incremental, quality, scd
-from ..session import checkpoint_root
+from ..session import checkpoint_root, scratch_dir
 from ..sources.fixtures import Fixtures
 from ..sources.schemas import SOURCES
 from . import deltas, maintenance, marts
@@ -249,6 +249,16 @@ def scd1_upsert(spark, sf_dir):
     return scd.upsert(base, batch, ITEM_KEYS)
 
 
+@query
+def scd1_upsert_bucketed(spark, sf_dir):
+    """The upsert into a table bucketed by the key."""
+    base, batch = _item_batches(_fx(spark, sf_dir))
+    path = scratch_dir(spark, "bucketed")
+    name = "strata_" + path.rsplit("-", 1)[1]
+    scd.save_bucketed(base, name, ITEM_KEYS, int(spark.conf.get("spark.sql.shuffle.partitions")), f"{path}/{name}")
+    return scd.upsert(spark.table(name), batch, ITEM_KEYS)
+
+
 @query
 def scd1_upsert_changed_only(spark, sf_dir):
     base, batch = _item_batches(_fx(spark, sf_dir))

@@ -289,6 +289,10 @@ from fx_orders_cdc""",
     "scd1_upsert": f"""
 select * from {BASE_ITEMS} t where not exists (
   select 1 from {BATCH_ITEMS} s where s.order_id = t.order_id and s.line_no = t.line_no)
+union all select * from {BATCH_ITEMS} s""",
+    "scd1_upsert_bucketed": f"""
+select * from {BASE_ITEMS} t where not exists (
+  select 1 from {BATCH_ITEMS} s where s.order_id = t.order_id and s.line_no = t.line_no)
 union all select * from {BATCH_ITEMS} s""",
     "scd1_upsert_changed_only": f"""
 with t as {BASE_ITEMS}, s as {BATCH_ITEMS},

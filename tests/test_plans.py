@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.predicates import current_rows
-from strata.operators import incremental
+from strata.operators import incremental, scd
 from strata.plans import marts
 
 OPEN = dt.datetime(9999, 12, 31)
@@ -89,3 +89,21 @@ def test_image_diff_is_one_shuffle(spark, capsys):
     old, new = incremental.changed_images(before, after)
     assert sorted(map(tuple, old.collect())) == [(1, "a"), (3, "c")]
     assert sorted(map(tuple, new.collect()), key=str) == [(2, None), (2, None), (4, "d")]
+
+
+def test_merge_into_a_bucketed_table_shuffles_the_batch_only(spark, tmp_path, capsys):
+    rows = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    scd.save_bucketed(rows, "bucketed_target", ["k"], 8, str(tmp_path / "bucketed_target"))
+    spark.range(0, 8000, 3).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v")).write.parquet(str(tmp_path / "b"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target, batch = spark.table("bucketed_target"), spark.read.parquet(str(tmp_path / "b"))
+        for merged in (scd.upsert(target, batch, ["k"]), scd.upsert_changed_only(target, batch, ["k"], ["v"])):
+            tree = _plan(merged, capsys).split("\n\n")[0]
+            join = tree[tree.index("SortMergeJoin"):].split("Scan parquet")[0]
+            assert "Exchange" not in join and "Exchange" in tree       # above the target's scan; above the batch's
+            assert merged.count() == 4000 + 2667 - 1334 and merged.where("v = -1").count() == 2667
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+        spark.sql("drop table bucketed_target")
