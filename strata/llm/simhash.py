@@ -6,19 +6,27 @@ square root of its count, a pair counting ``PAIR_WEIGHT`` times a word.  The sig
 the sums are the fingerprint.  The likeness of two fingerprints is the share
 of equal bits.
 
-``near_pairs`` finds all pairs of different fingerprints within a Hamming
-radius by permuted block tables: the bits are dealt, by a fixed permutation,
-into ``radius + 1`` blocks, two fingerprints within the radius agree in at
-least one block, so each block is a table keyed by its bits, joined with
-itself and verified inside the join; a pair is reported by its first common
-block only.  Equal fingerprints enter once, with their number of documents, so
-a group of copies is one entry.  ``RADIUS`` follows the measured distances of
-near copies; README gives the share it finds by length of text.
+The search for fingerprints within a Hamming radius uses permuted block
+tables.  The bits are dealt, by a fixed permutation, into ``radius + SPARE``
+blocks, so two fingerprints within the radius agree in at least ``SPARE`` of
+them.  The blocks lie in ``SPARE - 1`` classes; two of the common blocks are
+therefore in one class, and each pair of blocks of a class is a table keyed by
+the bits of both (21 bits at radius 16, in 30 tables).  Equal fingerprints
+enter once, so a group of copies is one entry.
+
+``near_pairs`` reports every pair.  ``near_groups``, which the query uses,
+gives each fingerprint the smallest document that it reaches by links: within
+a table's key every entry is compared with the key's ``LEADERS`` leaders, and
+two entries with each other only if no leader is near both, since otherwise
+they are connected already.  A group of near copies then takes a number of
+comparisons in proportion to its size, and no connection is lost.  ``RADIUS``
+follows the measured distances of near copies; README gives the share it finds
+by length of text.
 
 ``with_next`` gives every document the next one's text by ascending id.  The
 ids are cut into ranges at approximate quantiles; a range's rows and the
 first row of the range behind it meet in one task, in order, so every text
-is shuffled once and no window spans the table.
+is shuffled once, compressed, and no window spans the table.
 
 Defined results: NULL is an empty text; texts without words have the
 fingerprint of no votes (all bits zero); rows are ordered by id, NULLs
@@ -31,19 +39,25 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from .components import components
 from .tables import flat, share, slices, written
 from .words import LOWER, SPACES, boundaries, mix, word_hashes
 
 BITS = 256
 PAIR_WEIGHT = 2.0
 RADIUS = 16             # bits, of near copies
+SPARE = 8               # blocks more than the radius
+LEADERS = 4             # of a key's entries
 WORDS = BITS // 64
 RANGE_ROWS = 4096       # documents a range of ids, about
 MAX_RANGES = 100_000    # their bounds are what the driver collects
@@ -113,7 +127,8 @@ def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
 def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows (part, extra, doc_id, text), each part in one partition and in
     order: every row that is not ``extra`` is followed by the next document
-    (the last of all by the first), each part ends with an extra row."""
+    (the last of all by the first), each part ends with an extra row.  The
+    text is compressed (zstandard)."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).withColumns(
         {"known": F.col("doc_id").isNotNull(), "h": F.xxhash64("text")})
@@ -136,8 +151,14 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
     order = ["known", "doc_id", "h"]
     first = sorted(rows.groupBy("part").agg(F.min(F.struct(*order)).alias("first")).collect(),
                    key=lambda r: r["part"])
+    @F.arrow_udf("binary")
+    def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.array([pack(t.as_py().encode()) for t in batch], pa.binary())
+
     if not first:
-        return rows.select("part", F.lit(False).alias("extra"), "doc_id", "text")
+        return rows.select("part", F.lit(False).alias("extra"), "doc_id", F.col("text").cast("binary").alias("text"))
     known = spark.createDataFrame(
         [(r["part"], first[i - 1]["part"], *r["first"]) for i, r in enumerate(first)],
         T.StructType([T.StructField("part", T.IntegerType()), T.StructField("before", T.IntegerType()),
@@ -147,6 +168,7 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
              .drop("part").withColumnRenamed("before", "part").dropDuplicates(["part"]))
     both = rows.select("part", F.lit(False).alias("extra"), "text", *order).unionAll(
         extra.select("part", F.lit(True).alias("extra"), "text", *order))
+    both = both.withColumn("text", packed(F.col("text")))
     return (both.repartition("part").sortWithinPartitions("part", "extra", *order)
             .select("part", "extra", "doc_id", "text"))
 
@@ -161,23 +183,28 @@ def compare(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double").fields)
 
+    ids = to_arrow_type(rows.schema["doc_id"].dataType)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None      # the last row so far, whose next is still to come
+        unpack = zstandard.ZstdDecompressor().decompress
+        held: list[tuple] = []                  # rows whose next is still to come, 2 MiB of text about
+        size = 0
         for batch in batches:
-            low = 0
-            for part in slices(batch.column(3), 2 << 20):
-                rows = batch.slice(low, len(part))
-                low += len(part)
-                rows = pa.concat_batches([held, rows]) if held is not None else rows
-                if rows.num_rows > 1:
-                    yield described(rows)
-                held = rows.slice(rows.num_rows - 1)
-
-    def described(rows: pa.RecordBatch) -> pa.RecordBatch:
+            for extra, doc_id, text in zip(*[batch.column(i) for i in (1, 2, 3)], strict=True):
+                text = unpack(text.as_py()).decode()
+                held.append((extra.as_py(), doc_id.as_py(), text))
+                size += len(text)
+                if size > 2 << 20 and len(held) > 1:
+                    yield described(held)
+                    held, size = held[-1:], len(text)
+        if len(held) > 1:
+            yield described(held)
+
+    def described(rows: list[tuple]) -> pa.RecordBatch:
         """All rows but the last, those that are extra left out."""
-        texts = rows.column(3).to_pylist()
-        own = fingerprints(rows.column(3))
-        which = np.flatnonzero(~rows.column(1).to_numpy(zero_copy_only=False)[:-1])
+        texts = [t for *_, t in rows]
+        own = fingerprints(pa.array(texts, pa.string()))
+        which = np.array([i for i, (extra, *_) in enumerate(rows[:-1]) if not extra], np.int64)
         edited = []
         for i in which.tolist():
             half = len(texts[i]) // 2
@@ -185,7 +212,7 @@ def compare(docs: DataFrame, text: str = "text") -> DataFrame:
         other = fingerprints(pa.array(edited, pa.string()))
         hexes = [r.tobytes().hex() for r in own[which]]
         return pa.RecordBatch.from_arrays(
-            [rows.column(2).take(pa.array(which)), pa.array([len(texts[i]) for i in which.tolist()], pa.int64()),
+            [pa.array([rows[i][1] for i in which.tolist()], ids), pa.array([len(texts[i]) for i in which.tolist()], pa.int64()),
              pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
              pa.array(hexes, pa.string()), pa.array([r.tobytes().hex() for r in other], pa.string()),
              pa.array(likeness(own[which], other)), pa.array(likeness(own[which], own[which + 1]))],
@@ -194,39 +221,37 @@ def compare(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _joined(prints: DataFrame, radius: int) -> DataFrame:
-    """(a, b, n_a, n_b, distance): pairs of different fingerprints of
-    ``prints`` (fingerprint, hex; n) at most ``radius`` bits apart, once each."""
+def block_masks(radius: int) -> list[list[int]]:
+    """The bits of each table's key, as ``WORDS`` signed 64-bit masks."""
     order = np.argsort(mix(np.arange(BITS, dtype=np.uint64)))       # the fixed permutation
+    blocks = np.array_split(order, radius + SPARE)
     masks = []
-    for cut in np.array_split(order, radius + 1):
-        chosen = np.zeros(BITS, np.uint8)
-        chosen[cut] = 1
-        masks.append(np.packbits(chosen).view(">i8").tolist())
-    bits = [f"b{i}" for i in range(WORDS)]
-    rows = prints.select("n", *[F.conv(F.substring("fingerprint", 1 + 16 * i, 16), 16, -10).cast("long").alias(c)
-                                for i, c in enumerate(bits)])
-    rows = written(rows, "prints")
-    keys = [F.xxhash64(F.lit(k), *[F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(bits, mask, strict=True)])
+    for members in (range(c, len(blocks), SPARE - 1) for c in range(SPARE - 1)):
+        for one, two in combinations(members, 2):
+            chosen = np.zeros(BITS, np.uint8)
+            chosen[[*blocks[one], *blocks[two]]] = 1
+            masks.append(np.packbits(chosen).view(">i8").tolist())
+    return masks
+
+
+_COLUMNS = [f"b{i}" for i in range(WORDS)]
+
+
+def _entries(prints: DataFrame, masks: list[list[int]]) -> DataFrame:
+    """(table, key, bits): every fingerprint's entry in every table."""
+    bits = [F.conv(F.substring("fingerprint", 1 + 16 * i, 16), 16, -10).cast("long").alias(c) for i, c in enumerate(_COLUMNS)]
+    rows = prints.select(*bits)
+    keys = [F.xxhash64(F.lit(k), *[F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(_COLUMNS, mask, strict=True)])
             for k, mask in enumerate(masks)]
-    entries = rows.select("n", *bits, F.posexplode(F.array(*keys)).alias("block", "key"))
-    one, two = entries.alias("one"), entries.alias("two")
-    apart = [F.col(f"one.{c}").bitwiseXOR(F.col(f"two.{c}")) for c in bits]
-    distance = sum((F.bit_count(x) for x in apart), F.lit(0))
+    return rows.select(*_COLUMNS, F.posexplode(F.array(*keys)).alias("table", "key"))
 
-    def agree(mask: list[int]) -> Column:
-        found = F.lit(True)
-        for x, m in zip(apart, mask, strict=True):
-            found = found & (x.bitwiseAND(F.lit(m)) == 0)
-        return found
 
-    first = F.coalesce(*[F.when(agree(mask), F.lit(k)) for k, mask in enumerate(masks)], F.lit(-1))
-    pairs = one.join(two, (F.col("one.key") == F.col("two.key"))
-                     & (F.struct(*[F.col(f"one.{c}") for c in bits]) < F.struct(*[F.col(f"two.{c}") for c in bits]))
-                     & (distance <= radius) & (F.col("one.block") == first) & (F.col("two.block") == first))
-    return pairs.select(F.struct(*[F.col(f"one.{c}") for c in bits]).alias("a"),
-                        F.struct(*[F.col(f"two.{c}") for c in bits]).alias("b"),
-                        F.col("one.n").alias("n_a"), F.col("two.n").alias("n_b"), distance.alias("distance"))
+def _distance(one: str, two: str) -> Column:
+    return sum((F.bit_count(F.col(f"{one}.{c}").bitwiseXOR(F.col(f"{two}.{c}"))) for c in _COLUMNS), F.lit(0))
+
+
+def _bits(side: str) -> Column:
+    return F.struct(*[F.col(f"{side}.{c}") for c in _COLUMNS])
 
 
 def _hex(bits: str) -> Column:
@@ -236,21 +261,65 @@ def _hex(bits: str) -> Column:
 
 def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b, distance): all pairs a < b of different fingerprints (hex
-    strings in the column ``fingerprint``) at most ``radius`` bits apart."""
-    known = prints.where("fingerprint is not null").select("fingerprint").distinct().withColumn("n", F.lit(1))
-    pairs = _joined(known, radius).select(_hex("a").alias("a"), _hex("b").alias("b"), "distance")
+    strings in the column ``fingerprint``) at most ``radius`` bits apart, each
+    reported by the first table that has it."""
+    masks = block_masks(radius)
+    known = prints.where("fingerprint is not null").select("fingerprint").distinct()
+    entries = _entries(written(known, "prints"), masks)
+    one, two = entries.alias("one"), entries.alias("two")
+    apart = [F.col(f"one.{c}").bitwiseXOR(F.col(f"two.{c}")) for c in _COLUMNS]
+
+    def agree(mask: list[int]) -> Column:
+        found = F.lit(True)
+        for x, m in zip(apart, mask, strict=True):
+            found = found & (x.bitwiseAND(F.lit(m)) == 0)
+        return found
+
+    first = F.coalesce(*[F.when(agree(mask), F.lit(k)) for k, mask in enumerate(masks)], F.lit(-1))
+    distance = _distance("one", "two")
+    pairs = one.join(two, (F.col("one.key") == F.col("two.key")) & (_bits("one") < _bits("two"))
+                     & (distance <= radius) & (F.col("one.table") == first) & (F.col("two.table") == first))
+    pairs = pairs.select(_bits("one").alias("a"), _bits("two").alias("b"), distance.alias("distance"))
+    pairs = pairs.select(_hex("a").alias("a"), _hex("b").alias("b"), "distance")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
 
+def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(u, v): links between fingerprints at most ``radius`` bits apart that
+    connect the same fingerprints as all such pairs do."""
+    # one exchange by key serves the leaders, the comparison with them, and the pairs
+    entries = _entries(prints, block_masks(radius)).select("key", *_COLUMNS).repartition("key")
+    leads = entries.groupBy("key").agg(*[F.min(F.struct(F.xxhash64(F.lit(j), *_COLUMNS).alias("r"), *_COLUMNS)).alias(f"l{j}")
+                                         for j in range(LEADERS)], F.count(F.lit(1)).alias("n"))
+    met = entries.join(leads.where("n > 1"), "key").withColumn("own", F.struct(*_COLUMNS))
+    near = [_distance("own", f"l{j}") <= radius for j in range(LEADERS)]
+    met = met.select("key", "own", sum((F.when(x, 1 << j).otherwise(0) for j, x in enumerate(near)), F.lit(0)).alias("with"),
+                     *[F.struct(*[F.col(f"l{j}.{c}") for c in _COLUMNS]).alias(f"l{j}") for j in range(LEADERS)])
+    led = met.select("own", F.explode(F.array(*[F.when(F.col("with").bitwiseAND(F.lit(1 << j)) != 0, F.col(f"l{j}"))
+                                                for j in range(LEADERS)])).alias("lead"))
+    led = led.where("lead is not null and lead <> own").select(F.col("own").alias("u"), F.col("lead").alias("v")).distinct()
+    one, two = met.select("key", "own", "with").alias("one"), met.select("key", "own", "with").alias("two")
+    rest = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.own") < F.col("two.own"))
+                    & (F.col("one.with").bitwiseAND(F.col("two.with")) == 0)
+                    & (_distance("one.own", "two.own") <= radius))
+    return led.unionAll(rest.select(F.col("one.own").alias("u"), F.col("two.own").alias("v")).distinct())
+
+
+def near_groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fingerprint, near_id) of ``prints`` (fingerprint, first_id): the
+    smallest first_id that links reach."""
+    prints = written(prints, "prints")
+    roots = components(near_links(prints.where("fingerprint is not null"), radius))
+    of = prints.join(roots.select(_hex("node").alias("fingerprint"), _hex("root").alias("root")), "fingerprint", "left")
+    of = of.select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
+    least = of.groupBy("root").agg(F.min("first_id").alias("near_id"))
+    return of.join(least, "root").select("fingerprint", "near_id")
+
+
 def with_near(described: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``described`` (with ``fingerprint``) and ``n_near``: the other
-    documents within the radius, copies included."""
+    """``described`` (with ``fingerprint`` and ``doc_id``) and ``near_id``: the
+    smallest id among the documents whose fingerprints are linked to its own,
+    copies and itself included (NULL if none of them has an id)."""
     described = written(described, "described")
-    count = described.groupBy("fingerprint").agg(F.count("*").alias("n"))
-    pairs = _joined(count.where("fingerprint is not null"), radius)
-    ends = pairs.select(F.explode(F.array(F.struct("a", F.col("n_b").alias("n")),
-                                          F.struct(F.col("b").alias("a"), F.col("n_a").alias("n")))).alias("e"))
-    more = ends.groupBy("e.a").agg(F.sum("e.n").alias("more")).select(_hex("a").alias("a"), "more")
-    near = count.join(more, F.col("fingerprint") == F.col("a"), "left").select(
-        "fingerprint", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_near"))
-    return described.join(near, "fingerprint", "left").select(*described.columns, "n_near")
+    groups = near_groups(described.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), radius)
+    return described.join(groups, "fingerprint", "left").select(*described.columns, "near_id")

@@ -390,10 +390,55 @@ def test_fingerprints_against_brute_force(spark, monkeypatch):
         assert (r.doc_id, r.n_chars, r.edited_sha256) == (d, len(t), brute.sha(edited))
         assert r.fingerprint == prints[i].tobytes().hex()
         assert r.near_next == 1 - apart[i, (i + 1) % len(rows)] / simhash.BITS
-        assert r.n_near == (apart[i] <= 3).sum() - 1
         other = simhash.fingerprints(pa.array([edited]))
         assert r.near_edited == simhash.likeness(prints[i:i + 1], other)[0]
     assert np.mean([r.near_edited > r.near_next for r in got]) > 0.95
+    assert [r.near_id for r in got] == least_linked([d for d, _ in rows], apart <= simhash.RADIUS)
+
+
+def least_linked(ids, linked):
+    """Smallest id that each row reaches by links."""
+    least = list(ids)
+    while True:
+        new = [min(least[j] for j in np.flatnonzero(linked[i])) for i in range(len(ids))]
+        if new == least:
+            return least
+        least = new
+
+
+@pytest.mark.parametrize("radius", [0, 1, 5, 16, 40])
+def test_block_tables_hold_every_near_pair(radius):
+    """Whatever blocks a difference of ``radius`` bits hits, one table's key is untouched."""
+    rng = np.random.default_rng(radius)
+    masks = np.array([np.unpackbits(np.array(m, ">i8").view(np.uint8)) for m in simhash.block_masks(radius)])
+    order = np.argsort(simhash.mix(np.arange(simhash.BITS, dtype=np.uint64)))
+    firsts = [b[0] for b in np.array_split(order, radius + simhash.SPARE)]      # each in a block of its own
+    for _ in range(300):
+        for bits in (rng.choice(simhash.BITS, radius, replace=False), rng.permutation(firsts)[:radius]):
+            assert (masks[:, bits].sum(axis=1) == 0).any()
+
+
+def test_near_groups_of_chains_and_near_copies(spark, monkeypatch):
+    """Links through others, a group of near copies whose members need not be
+    near a leader, and keys that groups share."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for base in rng.integers(0, 2, (6, simhash.BITS), dtype=np.uint8):
+        rows.append(base)
+        for _ in range(30):                     # near copies of the base or of each other
+            x = rows[-1 - rng.integers(0, min(4, len(rows)))].copy()
+            x[rng.choice(simhash.BITS, rng.integers(1, 12), replace=False)] ^= 1
+            rows.append(x)
+    bits = np.array(rows)
+    names = [np.packbits(b).tobytes().hex() for b in bits]
+    want = least_linked(list(range(len(names))), (bits[:, None] != bits[None]).sum(axis=2) <= 8)
+    assert len(set(want)) > 6
+    df = spark.createDataFrame(list(zip(names, range(len(names)), strict=True)) + [(None, 5)], "fingerprint string, doc_id long")
+    for leaders in (4, 1):
+        monkeypatch.setattr(simhash, "LEADERS", leaders)
+        got = {r.fingerprint: r.near_id for r in simhash.with_near(df, 8).collect()}
+        assert [got[n] for n in names] == want
+    assert simhash.with_near(df.limit(0), 8).count() == 0
 
 
 def test_near_pairs_by_block_tables(spark):
@@ -415,7 +460,7 @@ def test_near_pairs_by_block_tables(spark):
 
 
 def test_near_copies_of_ordinary_length_are_near(spark):
-    """One word of 300 replaced: n_near counts nearly all such copies."""
+    """One word of 300 replaced: nearly all such copies join their original."""
     rng = random.Random(2)
     words = [f"w{i}" for i in range(2000)]
     rows = []
@@ -425,11 +470,11 @@ def test_near_copies_of_ordinary_length_are_near(spark):
         own[rng.randrange(300)] = "replaced"
         rows.append((2 * i + 1, " ".join(own)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.n_near for r in simhash.with_near(simhash.compare(df)).collect()}
+    got = {r.doc_id: r.near_id for r in simhash.with_near(simhash.compare(df)).collect()}
     bits = np.unpackbits(simhash.fingerprints(pa.array([t for _, t in rows])), axis=1).astype(int)
     apart = (bits[:, None, :] != bits[None]).sum(axis=2)
-    assert got == {d: (apart[i] <= simhash.RADIUS).sum() - 1 for i, (d, _) in enumerate(rows)}
-    assert np.mean([n == 1 for n in got.values()]) > 0.9
+    assert [got[d] for d, _ in rows] == least_linked([d for d, _ in rows], apart <= simhash.RADIUS)
+    assert np.mean([got[2 * i + 1] == 2 * i for i in range(40)]) > 0.9
 
 
 def test_fingerprints_odd_inputs(spark, odd, empty, monkeypatch):
