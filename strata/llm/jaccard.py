@@ -10,8 +10,8 @@ distinct word shingles.  Method: set-relation skipping over a prefix index.
   Lists are cut into blocks by size, and a block whose sizes cannot meet the
   bound is skipped; within reach, the position of the shared shingle bounds
   the overlap and skips the rest.
-* Answers from answers: first every set is compared with one leader of its
-  block only, four leader orders in turn.  The verified links make groups,
+* Answers from answers: first every set is compared with few leaders of its
+  blocks only (four leader orders), those it meets in most lists.  The verified links make groups,
   and then a set meets just those members of its lists that are not in its
   group yet: what a leader's verified answers already connect, a copy or
   near copy of it need not be asked again, and lists within one group are
@@ -62,7 +62,7 @@ from .words import LOWER, SPACES, boundaries, distinct_per_text, mix, shingle_ha
 FREQUENT = 1 << 18      # shingles whose order follows their counts, a few MB
 LIST_SIZE = 4096        # of a list; those of more frequent shingles are salted
 MAP_BITS = 24
-LEADERS = 4             # leader orders
+LEADERS = 4             # leader orders, and leaders that a set is compared with
 PARITY = 256            # bits
 LONG = 1000             # shingles from which lists are counted instead
 COUNTED = 1 << 20       # shingles counted together inside a task
@@ -308,12 +308,15 @@ class Join:
         rank = F.xxhash64("c.k", F.pmod("tok", F.lit(LEADERS)))
         leaders = entries.groupBy("tok", "block").agg(
             F.min(F.struct(rank.alias("r"), "c", "pos")).alias("lead"))
+        # of the leaders that a set meets, the LEADERS it meets in most lists are asked
+        most = Window.partitionBy("c").orderBy(F.desc("lists"), F.xxhash64("l"))
         asked = (entries.join(leaders, ["tok", "block"])
                  .where((F.col("c") != F.col("lead.c"))
                         & self._within(F.col("n"), F.col("lead.c.n"), F.col("pos"), F.col("lead.pos")))
-                 .groupBy(F.least("c", "lead.c").alias("a"), F.greatest("c", "lead.c").alias("b"))
-                 .agg(F.count("*").alias("lists"))
-                 .where(self._met(F.col("a.n"), F.col("b.n"), F.col("lists"), 200)).select("a", "b"))
+                 .groupBy("c", F.col("lead.c").alias("l")).agg(F.count("*").alias("lists"))
+                 .where(self._met(F.col("c.n"), F.col("l.n"), F.col("lists"), 200))
+                 .withColumn("place", F.row_number().over(most)).where(F.col("place") <= LEADERS)
+                 .select(F.least("c", "l").alias("a"), F.greatest("c", "l").alias("b")).distinct())
         asked = written(asked, "asked")
         bits = classes.select(F.struct("k", "n").alias("c"), F.struct(*SKETCH).alias("bits"))
         one = bits.select(F.col("c").alias("a"), F.col("bits").alias("one"))
