@@ -39,7 +39,8 @@ def rolling(conversations: DataFrame) -> DataFrame:
     """Every turn with ``pos`` (0-based position), ``size`` (turns of the
     conversation) and ``a``, ``b`` (hash of all turns up to this one)."""
     rows = conversations.select(
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), "conv_id", "turn",
+        F.concat(F.when(F.col("conv_id").isNull(), "none").otherwise("id "),        # NULL is no id, '' is one
+                 F.coalesce(F.col("conv_id").cast("string"), F.lit(""))).alias("conv"), "conv_id", "turn",
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     order = ["turn", "role", "text"]
     rows = segment(rows, ["conv"], order)

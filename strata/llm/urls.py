@@ -7,11 +7,14 @@ distrust flows from hosts with blocked pages against the direction of links
 (a page that links to blocked pages is suspect); a host whose share of
 distrust exceeds ``threshold`` is blocked.
 
-Links are absolute ``href`` targets, counted once for each pair of hosts
+Links are absolute ``href`` targets, those without a scheme (``//host/x``)
+included, counted once for each pair of hosts
 with their number as weight, so the graph is pre-aggregated before anything
 is joined.  Each iteration is one join of the ranks with the edges and one
-aggregation by target; lineage is cut in the shared folder.  Seeds are the
-share of a host's pages that the rules allow or block.
+aggregation by target; lineage is cut in the shared folder.  It goes on until
+no further host is reached and the ranks change by less than ``tolerance`` of
+their sum.  Seeds are the share of a host's pages that the rules allow or
+block.
 
 Defined results: a NULL url, or one without ``://``, has an empty host and
 path, fits no rule and is allowed; repeated rows are judged alike and weigh
@@ -37,7 +40,8 @@ RULES = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-HREF = r"""(?i)href\s{0,9}=\s{0,9}["']?([a-z]+://[^"'\s<>]+)"""
+HREF = r"""(?i)href\s{0,9}=\s{0,9}["']?((?:[a-z]+:)?//[^"'\s<>]+)"""
+ROUNDS = 4              # of propagation between two looks at the change
 
 
 def host(url: Column) -> Column:
@@ -63,33 +67,44 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, weight): links between different hosts."""
     link = F.explode(F.regexp_extract_all(F.col("html"), F.lit(HREF), F.lit(1)))
-    return (pages.where(F.col("html").contains("://"))
+    return (pages.where(F.col("html").contains("//"))
             .select(host(F.col("url")).alias("src"), link.alias("link"))
-            .select("src", host(F.col("link")).alias("dst"))
+            # a link without a scheme has the page's: any will do to find its host
+            .select("src", host(F.when(F.col("link").startswith("//"), F.concat(F.lit("http:"), "link"))
+                                .otherwise(F.col("link"))).alias("dst"))
             .where("src <> dst and src <> '' and dst <> ''")
             .groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, iterations: int, damping: float) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
     """Personalised PageRank: ``seeds`` (node, seed) and ``edges``
-    (src, dst, weight) to (node, rank)."""
+    (src, dst, weight) to (node, rank), until it settles."""
     total = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     share = edges.join(total, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share"))
     share = written(share, "host-edges")
-    rank = seeds.select("node", F.col("seed").alias("rank"))
-    for i in range(iterations):
-        flow = (share.join(rank, share["src"] == rank["node"]).groupBy("dst")
-                .agg(F.sum(F.col("rank") * F.col("share") * damping).alias("flow")))
-        rank = (flow.withColumnRenamed("dst", "node").join(seeds, "node", "full")
-                .select("node", (F.coalesce("flow", F.lit(0.0))
-                                 + F.coalesce("seed", F.lit(0.0)) * (1 - damping)).alias("rank")))
-        if i % 3 == 2 or i == iterations - 1:
-            rank = written(rank, "host-ranks")
-    return rank
-
-
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, iterations: int = 9,
-          damping: float = 0.85, threshold: float = 0.75) -> DataFrame:
+    rank = seeds.select("node", (F.col("seed") * (1 - damping)).alias("rank"))
+    if share.isEmpty():
+        return rank
+    rank = written(rank, "host-ranks")
+    while True:
+        new = rank
+        for _ in range(ROUNDS):
+            flow = (share.join(new, share["src"] == new["node"]).groupBy("dst")
+                    .agg(F.sum(F.col("rank") * F.col("share") * damping).alias("flow")))
+            new = (flow.withColumnRenamed("dst", "node").join(seeds, "node", "full")
+                   .select("node", (F.coalesce("flow", F.lit(0.0))
+                                    + F.coalesce("seed", F.lit(0.0)) * (1 - damping)).alias("rank")))
+        new = written(new, "host-ranks")
+        moved = new.join(rank.withColumnRenamed("rank", "was"), "node", "left").agg(
+            F.coalesce(F.sum(F.abs(F.col("rank") - F.coalesce("was", F.lit(0.0)))), F.lit(0.0)).alias("change"),
+            F.coalesce(F.sum("rank"), F.lit(0.0)).alias("sum"), F.count_if(F.col("was").isNull()).alias("reached")).first()
+        if not moved["reached"] and moved["change"] <= tolerance * moved["sum"]:
+            return new
+        rank = new
+
+
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, damping: float = 0.85,
+          threshold: float = 0.75, tolerance: float = 1e-6) -> DataFrame:
     """One row a page: page_id, host, path, rule, verdict, trust and distrust
     of the host."""
     rows = (pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
@@ -105,7 +120,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, itera
     for name, column, graph in (("trust", "allowed", edges), ("distrust", "blocked", turned)):
         seeds = per_host.where(F.col(column) > 0).select(
             F.col("host").alias("node"), (F.col(column) / F.col("pages")).alias("seed"))
-        scores[name] = propagate(graph, seeds, iterations, damping).withColumnRenamed("rank", name)
+        scores[name] = propagate(graph, seeds, damping, tolerance).withColumnRenamed("rank", name)
     known = scores["trust"].join(scores["distrust"], "node", "full").select(
         "node", F.coalesce("trust", F.lit(0.0)).alias("trust"),
         F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

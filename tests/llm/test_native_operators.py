@@ -43,8 +43,15 @@ def test_chat_keeps_maximal_conversations(spark):
     assert chat.render(df.limit(0)).count() == 0
 
 
+def test_chat_tells_a_missing_id_from_an_empty_one(spark):
+    rows = [(None, 0, "user", "a"), ("", 0, "user", "b"), ("x", 0, "user", "c")]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    got = {(r.conv_id, r.n_turns, r.rendered) for r in chat.render(df).collect()}
+    assert got == {(c, 1, f"<|im_start|>user\n{x}<|im_end|>\n") for c, _, _, x in rows}
+
+
 # -- 10: URL filters -----------------------------------------------------
-def judged(pages, iterations=9, damping=0.85, threshold=0.75):
+def judged(pages, iterations=300, damping=0.85, threshold=0.75):
     def host(u):
         m = re.match(r"(?s).*?://([^/?#]*)", u or "")
         return re.sub("[A-Z]", lambda x: x[0].lower(), m[1]) if m else ""
@@ -66,8 +73,9 @@ def judged(pages, iterations=9, damping=0.85, threshold=0.75):
             count[h][1] += v == "allow"
             count[h][2] += v == "block"
         for link in re.findall(urls.HREF, html or ""):
-            if h and host(link) and host(link) != h:
-                edges[h, host(link)] += 1
+            to = host("x:" + link if link.startswith("//") else link)
+            if h and to and to != h:
+                edges[h, to] += 1
 
     def flow(edges, seed):
         total = defaultdict(float)
@@ -108,6 +116,18 @@ def test_url_rules_and_propagation(spark):
     assert urls.judge(df.unionAll(df)).count() == 2 * len(pages)
 
 
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    """A chain of hosts that ends at a blocked page, longer than any number of rounds between two looks."""
+    n = 23
+    pages = [(i, f"http://h{i}.net/", f'<a href="{"" if i % 2 else "http:"}//h{i + 1}.net/">x</a>') for i in range(n)]
+    pages += [(n, f"http://h{n}.net/", "<a href='//bad.com/de/1'>"), (n + 1, "http://bad.com/de/1", ""),
+              (n + 2, "http://h0.net.other/", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(df).collect()}
+    assert got == judged(pages)
+    assert all(got[i][3] == "block" for i in range(n + 2)) and got[n + 2][3] == "allow"
+
+
 def test_op10_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url", "html").collect()]
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in QUERIES["op10_urls"](spark, SF_SMALL).collect()}
