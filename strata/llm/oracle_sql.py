@@ -86,6 +86,41 @@ from ranked join totals using (lang) where rank <= 2000
 """
 
 
+#: Near words by what is left without one code point; letters from U+00C0 on are
+#: single bytes there, since the edit distance counts bytes.
+_ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+_SIGNS = "".join(map(chr, range(0x21, 0x61))).replace("'", "''")
+OP11 = f"""
+with recursive g(i, k, x) as (select i, 0, cast(i as bigint) from range(256) r(i) union all
+    select i, k + 1, xor(x >> 1, case when x & 1 = 1 then 3988292384 else 0 end) from g where k < 8),
+crc as (select list(x order by i) as t from g where k = 8),
+runs as (select d, run, count(*) as c, encode(d || ':' || run) as raw from (
+    select coalesce(cast(doc_id as varchar), '') as d, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{7,}}')) as run
+    from documents) group by d, run),
+hashed as (select run, c, xor(list_reduce(list_transform(range(0, octet_length(raw)),
+        lambda i: cast('0x' || substr(hex(raw), 2 * i + 1, 2) as bigint)),
+        lambda h, b: xor(t[1 + (xor(h, b) & 255)], h >> 8), cast(4294967295 as bigint)), 4294967295) as h
+    from runs, crc),
+words as (select word, cast(sum(c) as bigint) as n from (select c, case when h % 31 = 0 then
+        substr(run, 1, cast(h % length(run) as int)) || substr(run, cast(h % length(run) as int) + 2) else run end as word
+    from hashed) where length(word) >= 7 group by word having sum(c) >= 2),
+less as (select word, n, word as v from words union all
+    select word, n, substr(word, 1, i) || substr(word, i + 2) from (select word, n, unnest(range(0, length(word))) as i from words)),
+pairs as (select distinct a.word, a.n, b.word as other, b.n as m from less a join less b using (v)
+    where levenshtein(translate(a.word, '{_ACCENTED}', '{_SIGNS}'), translate(b.word, '{_ACCENTED}', '{_SIGNS}')) = 1),
+best as (select *, row_number() over (partition by word order by m desc, other) as place, count(*) over (partition by word) as n_near
+    from pairs),
+forms as (select w.word, w.n, cast(coalesce(n_near, 0) as bigint) as n_near, case when m >= 10 * w.n then other end as form,
+        case when m >= 10 * w.n then m end as form_n
+    from words w left join best b on w.word = b.word and place = 1),
+roots(word, upto, step) as (select word, coalesce(form, word), 1 from forms union all
+    select r.word, f.form, step + 1 from roots r join forms f on r.upto = f.word where f.form is not null)
+select f.word, form, (select upto from roots r where r.word = f.word order by step desc limit 1) as root, n, n_near, form_n
+from forms f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query name."""
-    return {"op6_chat": OP6, "op8_decontaminate": OP8, "op12_warc": OP12, "op13_collocations": OP13}
+    return {"op6_chat": OP6, "op8_decontaminate": OP8, "op11_spelling": OP11, "op12_warc": OP12, "op13_collocations": OP13}

@@ -198,3 +198,4 @@ def test_op11_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in QUERIES["op11_spelling"](spark, SF_ORACLE).collect()}
     assert got == brute.variants(brute.spelling_words(rows))
+    assert compare(spark, "op11_spelling", SF_ORACLE)["match"]
