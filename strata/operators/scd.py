@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import is_current, open_end
@@ -40,6 +40,59 @@ def _full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str]):
     return t.alias("t").join(s.alias("s"), _keys_equal(keys, "t", "s"), "full_outer")
 
 
+ACTION = "_action"
+
+
+def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                  tracked: Sequence[str] | None = None, op_col: str | None = None,
+                  apply_deletes: bool = True, newer_than: Sequence[str] | None = None) -> DataFrame:
+    """What a merge does to each row: the target's columns as they are
+    afterwards, with ``_action``: ``insert``, ``update``, ``unchanged`` (a
+    source row that changes nothing), ``delete`` (the row that goes) or
+    ``copy`` (no source row).  One full outer join on the key.
+
+    With ``tracked`` a matched row is updated only if one of those columns
+    differs (NULL-safe); otherwise only if the source row is newer, by
+    ``newer_than`` and the remaining columns.  With ``op_col`` a delete event
+    removes its key, or is ignored without ``apply_deletes``.  A source row
+    that is older than the target's by ``newer_than`` changes nothing.
+    """
+    src = source.select(*target.columns, *([op_col] if op_col else []))
+    j = _full_outer(target, src, keys)
+    t_here, s_here = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
+    is_delete = F.coalesce(F.col(f"s.{op_col}") == OP_DELETE, F.lit(False)) if op_col else F.lit(False)
+
+    def struct(side: str, cols: Sequence[str]) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(f"_o{i}") for i, c in enumerate(cols)])
+    if tracked is not None:
+        differs = F.lit(False)
+        for c in tracked:
+            differs = differs | ~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
+        late = struct("s", newer_than) < struct("t", newer_than) if newer_than else F.lit(False)
+    else:
+        rest = [c for c in target.columns if c not in keys and c not in (newer_than or ())]
+        order = [*(newer_than or ()), *rest]
+        differs, late = struct("s", order) > struct("t", order) if newer_than else F.lit(True), F.lit(False)
+    action = (F.when(~s_here, "copy")
+              .when(is_delete, F.when(t_here & ~late & F.lit(apply_deletes), "delete").when(t_here, "unchanged"))
+              .when(~t_here, "insert").when(late | ~differs, "unchanged").otherwise("update"))
+    take = F.col(ACTION).isin("insert", "update")
+    return (j.withColumn(ACTION, action).where(F.col(ACTION).isNotNull())
+            .select(*[F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns], ACTION))
+
+
+def merged(actions: DataFrame) -> DataFrame:
+    """The table after a merge."""
+    return actions.where(F.col(ACTION) != "delete").drop(ACTION)
+
+
+def action_counts(actions: DataFrame) -> DataFrame:
+    """``rows_inserted, rows_updated, rows_unchanged, rows_deleted, rows_copied``
+    of a merge, from its rows: one pass over one column."""
+    names = {"insert": "inserted", "update": "updated", "unchanged": "unchanged", "delete": "deleted", "copy": "copied"}
+    return actions.agg(*[F.count_if(F.col(ACTION) == a).alias(f"rows_{n}") for a, n in names.items()])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            newer_than: Sequence[str] | None = None) -> DataFrame:
     """Upsert: source rows replace target rows of the same key.
@@ -54,14 +107,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     src = source.select(*target.columns)
     if not newer_than:
         return target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
-    order = list(newer_than) + [c for c in target.columns
-                                if c not in keys and c not in newer_than]
-    t_ord = F.struct(*[F.col(f"t.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
-    s_ord = F.struct(*[F.col(f"s.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
-    pick = lambda take_s: [F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-                           .alias(c) for c in target.columns]
-    j = _full_outer(target, src, keys)
-    return j.select(*pick(F.col("s._s").isNotNull() & (F.col("t._t").isNull() | (s_ord > t_ord))))
+    return merged(merge_actions(target, src, keys, newer_than=newer_than))
 
 
 def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -78,23 +124,7 @@ def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str
 
     One full outer join on the key.
     """
-    src = source.select(*target.columns, *([op_col] if op_col else []))
-    j = _full_outer(target, src, keys)
-    t_here = F.col("t._t").isNotNull()
-    s_here = F.col("s._s").isNotNull()
-    if newer_than:
-        s_ord, t_ord = (F.struct(*[F.col(f"{side}.{c}").alias(c) for c in newer_than]) for side in "st")
-        s_here = s_here & (~t_here | (s_ord >= t_ord))
-    is_delete = (F.coalesce(F.col(f"s.{op_col}") == OP_DELETE, F.lit(False))
-                 if op_col else F.lit(False))
-    differs = F.lit(False)
-    for c in tracked:
-        differs = differs | ~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
-    take_source = s_here & ~is_delete & (~t_here | differs)
-    keep_target = t_here & ~take_source & ~(s_here & is_delete & F.lit(apply_deletes))
-    return (j.filter(take_source | keep_target)
-            .select(*[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-                      .alias(c) for c in target.columns]))
+    return merged(merge_actions(target, source, keys, tracked, op_col, apply_deletes, newer_than))
 
 
 def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> None:

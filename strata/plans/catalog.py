@@ -271,6 +271,13 @@ def scd1_merge_metrics(spark, sf_dir):
     return scd.merge_metrics(base, batch, ITEM_KEYS, ITEM_TRACKED)
 
 
+@query
+def scd1_action_counts(spark, sf_dir):
+    """The same counts from the rows that the merge wrote, without a join of their own."""
+    base, batch = _item_batches(_fx(spark, sf_dir))
+    return scd.action_counts(scd.merge_actions(base, batch, ITEM_KEYS, ITEM_TRACKED))
+
+
 def _batch_metrics(spark, sf_dir) -> DataFrame:
     items = _fx(spark, sf_dir).fx_order_items.withColumn(
         "batch_id", (F.year("ts") * 100 + F.month("ts")).cast("bigint"))

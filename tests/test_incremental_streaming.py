@@ -205,13 +205,13 @@ def test_scd1_stream_audit_and_history(spark):
                  [("a", "2", 2, "u"), ("b", "1", 2, "u"), ("c", "1", 2, "c")],
                  [("b", None, 3, "d")]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{work}/in")
-    t = KeyedTable(spark, f"{work}/t", StructType(list(schema.fields[:3])), ["k"], 4)
+    t = KeyedTable(spark, f"{work}/t", StructType(list(schema.fields[:3])), ["k"], 1, audit=f"{work}/audit")
     src = file_stream(spark, "parquet", schema, f"{work}/in", max_files_per_trigger=1, lineage=False)
-    jobs.scd1_stream(src, t, ["ts"], f"{work}/ck", tracked=["v"], op_col="op", audit=f"{work}/audit")
+    jobs.scd1_stream(src, t, ["ts"], f"{work}/ck", tracked=["v"], op_col="op")
     assert _rows(t.read()) == [("a", "2", 2), ("c", "1", 2)]
-    a = {r.batch_id: (r.rows_inserted, r.rows_updated, r.rows_unchanged, r.rows_deleted)
+    a = {r.batch_id: (r.rows_inserted, r.rows_updated, r.rows_unchanged, r.rows_deleted, r.rows_copied)
          for r in spark.read.parquet(f"{work}/audit").collect()}
-    assert sorted(a.values()) == sorted([(2, 0, 0, 0), (1, 1, 1, 0), (0, 0, 0, 1)])
+    assert a == {0: (2, 0, 0, 0, 0), 1: (1, 1, 1, 0, 0), 2: (0, 0, 0, 1, 2)}
     assert [r.batch_id for r in jobs.newest_batches(spark, f"{work}/audit", 2).collect()] == [2, 1]
 
 
