@@ -43,7 +43,7 @@ from .tables import give_back, share, slices
 
 NONE = np.int32(2**31 - 1)
 LONG_PIECE = 1024
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 120_000
 SLICE = 1 << 20                     # bytes of text encoded at once
 MAX_RANK_FILE_BYTES = 64 << 20      # bound of what encode() broadcasts
 
