@@ -50,7 +50,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .components import components
-from .tables import flat, share, slices, written
+from .tables import flat, give_back, share, slices, written
 from .words import LOWER, SPACES, boundaries, mix, word_hashes
 
 BITS = 256
@@ -141,34 +141,41 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
         bounds = np.unique(np.array(got, np.int64))
     sent = share(spark, bounds)
 
+    def parts_of(batch: pa.Array) -> np.ndarray:
+        at = np.searchsorted(sent.value, batch.fill_null(0).to_numpy(), "right").astype(np.int32)
+        return np.where(batch.is_valid().to_numpy(zero_copy_only=False), at, 0)
+
     @F.arrow_udf("int")
     def range_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            at = np.searchsorted(sent.value, batch.fill_null(0).to_numpy(), "right").astype(np.int32)
-            yield pa.array(np.where(batch.is_valid().to_numpy(zero_copy_only=False), at, 0))
+            yield pa.array(parts_of(batch))
 
-    rows = rows.withColumn("part", range_of(F.col("doc_id").cast("long")))
-    order = ["known", "doc_id", "h"]
-    first = sorted(rows.groupBy("part").agg(F.min(F.struct(*order)).alias("first")).collect(),
-                   key=lambda r: r["part"])
-    @F.arrow_udf("binary")
-    def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("part int, text binary")       # one function, so that a task needs one worker
+    def placed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            yield pa.array([pack(t.as_py().encode()) for t in batch], pa.binary())
+        for ids, texts in batches:
+            packed = pa.array([pack(t.as_py().encode()) for t in texts], pa.binary())
+            yield pa.StructArray.from_arrays([pa.array(parts_of(ids)), packed], ["part", "text"])
+        give_back()
 
+    part = range_of(F.col("doc_id").cast("long")).alias("part")
+    order = ["known", "doc_id", "h"]
+    first = sorted(rows.select(part, *order).groupBy("part").agg(F.min(F.struct(*order)).alias("first")).collect(),
+                   key=lambda r: r["part"])
     if not first:
-        return rows.select("part", F.lit(False).alias("extra"), "doc_id", F.col("text").cast("binary").alias("text"))
+        return rows.select(F.lit(0).alias("part"), F.lit(False).alias("extra"), "doc_id",
+                           F.col("text").cast("binary").alias("text"))
     known = spark.createDataFrame(
         [(r["part"], first[i - 1]["part"], *r["first"]) for i, r in enumerate(first)],
         T.StructType([T.StructField("part", T.IntegerType()), T.StructField("before", T.IntegerType()),
                       *[T.StructField(f"f_{c}", rows.schema[c].dataType) for c in order]]))
     same = F.col("doc_id").eqNullSafe(F.col("f_doc_id")) & (F.col("h") == F.col("f_h"))
-    extra = (rows.join(F.broadcast(known), "part").where(same)      # at most MAX_RANGES rows
-             .drop("part").withColumnRenamed("before", "part").dropDuplicates(["part"]))
-    both = rows.select("part", F.lit(False).alias("extra"), "text", *order).unionAll(
-        extra.select("part", F.lit(True).alias("extra"), "text", *order))
-    both = both.withColumn("text", packed(F.col("text")))
+    extra = (rows.join(F.broadcast(known.drop("part")), same)               # at most MAX_RANGES rows
+             .withColumnRenamed("before", "part").dropDuplicates(["part"]))
+    here = placed(F.col("doc_id").cast("long"), F.col("text")).alias("placed")
+    own = rows.select(here, *order).select("placed.part", F.lit(False).alias("extra"), "placed.text", *order)
+    extra = extra.select("part", here, *order).select("part", F.lit(True).alias("extra"), "placed.text", *order)
+    both = own.unionByName(extra)
     return (both.repartition("part").sortWithinPartitions("part", "extra", *order)
             .select("part", "extra", "doc_id", "text"))
 
@@ -187,18 +194,19 @@ def compare(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        held: list[tuple] = []                  # rows whose next is still to come, 2 MiB of text about
+        held: list[tuple] = []                  # rows whose next is still to come, 1 MiB of text about
         size = 0
         for batch in batches:
             for extra, doc_id, text in zip(*[batch.column(i) for i in (1, 2, 3)], strict=True):
                 text = unpack(text.as_py()).decode()
                 held.append((extra.as_py(), doc_id.as_py(), text))
                 size += len(text)
-                if size > 2 << 20 and len(held) > 1:
+                if size > 1 << 20 and len(held) > 1:
                     yield described(held)
                     held, size = held[-1:], len(text)
         if len(held) > 1:
             yield described(held)
+        give_back()
 
     def described(rows: list[tuple]) -> pa.RecordBatch:
         """All rows but the last, those that are extra left out."""
