@@ -17,9 +17,9 @@ enter once, so a group of copies is one entry.
 ``near_pairs`` reports every pair.  ``near_groups``, which the query uses,
 gives each fingerprint the smallest document that it reaches by links: within
 a table's key every entry is compared with the key's ``LEADERS`` leaders, and
-two entries with each other only if no leader is near both, since otherwise
-they are connected already.  A group of near copies then takes a number of
-comparisons in proportion to its size, and no connection is lost.  ``RADIUS``
+two entries with each other only if they are not near leaders that are linked,
+since otherwise they are connected already.  In a group of near copies few
+entries are near no leader, so few pairs are left, and no connection is lost.  ``RADIUS``
 follows the measured distances of near copies; README gives the share it finds
 by length of text.
 
@@ -57,7 +57,7 @@ BITS = 256
 PAIR_WEIGHT = 2.0
 RADIUS = 16             # bits, of near copies
 SPARE = 8               # blocks more than the radius
-LEADERS = 4             # of a key's entries
+LEADERS = 8             # of a key's entries
 WORDS = BITS // 64
 RANGE_ROWS = 4096       # documents a range of ids, about
 MAX_RANGES = 100_000    # their bounds are what the driver collects
@@ -298,19 +298,31 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     # one exchange by key serves the leaders, the comparison with them, and the pairs
     entries = _entries(prints, block_masks(radius)).select("key", *_COLUMNS).repartition("key")
     leads = entries.groupBy("key").agg(*[F.min(F.struct(F.xxhash64(F.lit(j), *_COLUMNS).alias("r"), *_COLUMNS)).alias(f"l{j}")
-                                         for j in range(LEADERS)], F.count(F.lit(1)).alias("n"))
-    met = entries.join(leads.where("n > 1"), "key").withColumn("own", F.struct(*_COLUMNS))
+                                         for j in range(LEADERS)])
+    leads = leads.select("key", *[F.struct(*[F.col(f"l{j}.{c}") for c in _COLUMNS]).alias(f"l{j}") for j in range(LEADERS)])
+    # each leader's number, lowered to that of the leaders it is linked to, directly or through others
+    numbers = [F.lit(j) for j in range(LEADERS)]
+    close = {(i, j): _distance(f"l{i}", f"l{j}") <= radius for i, j in combinations(range(LEADERS), 2)}
+    leads = leads.withColumns({f"c{i}_{j}": x for (i, j), x in close.items()})
+    for step in range(LEADERS.bit_length()):
+        leads = leads.withColumns({f"m{step}_{j}": F.least(numbers[j], *[
+            F.when(F.col(f"c{min(i, j)}_{max(i, j)}"), numbers[i]).otherwise(LEADERS) for i in range(LEADERS) if i != j])
+            for j in range(LEADERS)} if LEADERS > 1 else {f"m{step}_0": F.lit(0)})
+        numbers = [F.col(f"m{step}_{j}") for j in range(LEADERS)]
+    leads = leads.select("key", *[f"l{j}" for j in range(LEADERS)], *[numbers[j].alias(f"g{j}") for j in range(LEADERS)])
+    met = entries.join(leads, "key").withColumn("own", F.struct(*_COLUMNS))
     near = [_distance("own", f"l{j}") <= radius for j in range(LEADERS)]
-    met = met.select("key", "own", sum((F.when(x, 1 << j).otherwise(0) for j, x in enumerate(near)), F.lit(0)).alias("with"),
-                     *[F.struct(*[F.col(f"l{j}.{c}") for c in _COLUMNS]).alias(f"l{j}") for j in range(LEADERS)])
-    led = met.select("own", F.explode(F.array(*[F.when(F.col("with").bitwiseAND(F.lit(1 << j)) != 0, F.col(f"l{j}"))
-                                                for j in range(LEADERS)])).alias("lead"))
-    led = led.where("lead is not null and lead <> own").select(F.col("own").alias("u"), F.col("lead").alias("v")).distinct()
-    one, two = met.select("key", "own", "with").alias("one"), met.select("key", "own", "with").alias("two")
+    # `led`: the lowest group of leaders that an entry is near to; LEADERS if none
+    led = F.least(F.lit(LEADERS), F.lit(LEADERS), *[F.when(x, F.col(f"g{j}")).otherwise(LEADERS) for j, x in enumerate(near)])
+    links = met.select("own", F.explode(F.array(*[F.when(x & (F.col(f"l{j}") != F.col("own")), F.col(f"l{j}"))
+                                                  for j, x in enumerate(near)])).alias("lead")).where("lead is not null")
+    links = links.select(F.col("own").alias("u"), F.col("lead").alias("v")).distinct()
+    flagged = met.select("key", "own", led.alias("led"))
+    one, two = flagged.alias("one"), flagged.alias("two")
     rest = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.own") < F.col("two.own"))
-                    & (F.col("one.with").bitwiseAND(F.col("two.with")) == 0)
+                    & ((F.col("one.led") != F.col("two.led")) | (F.col("one.led") == LEADERS))
                     & (_distance("one.own", "two.own") <= radius))
-    return led.unionAll(rest.select(F.col("one.own").alias("u"), F.col("two.own").alias("v")).distinct())
+    return links.unionAll(rest.select(F.col("one.own").alias("u"), F.col("two.own").alias("v")).distinct())
 
 
 def near_groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
