@@ -57,7 +57,7 @@ BITS = 256
 PAIR_WEIGHT = 2.0
 RADIUS = 16             # bits, of near copies
 SPARE = 8               # blocks more than the radius
-LEADERS = 8             # of a key's entries
+LEADERS = 5             # of a key's entries
 WORDS = BITS // 64
 RANGE_ROWS = 4096       # documents a range of ids, about
 MAX_RANGES = 100_000    # their bounds are what the driver collects
@@ -298,13 +298,13 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     # one exchange by key serves the leaders, the comparison with them, and the pairs
     entries = _entries(prints, block_masks(radius)).select("key", *_COLUMNS).repartition("key")
     leads = entries.groupBy("key").agg(*[F.min(F.struct(F.xxhash64(F.lit(j), *_COLUMNS).alias("r"), *_COLUMNS)).alias(f"l{j}")
-                                         for j in range(LEADERS)])
-    leads = leads.select("key", *[F.struct(*[F.col(f"l{j}.{c}") for c in _COLUMNS]).alias(f"l{j}") for j in range(LEADERS)])
+                                         for j in range(LEADERS)], F.count(F.lit(1)).alias("n"))
+    leads = leads.select("key", "n", *[F.struct(*[F.col(f"l{j}.{c}") for c in _COLUMNS]).alias(f"l{j}") for j in range(LEADERS)])
     # each leader's number, lowered to that of the leaders it is linked to, directly or through others
     numbers = [F.lit(j) for j in range(LEADERS)]
-    close = {(i, j): _distance(f"l{i}", f"l{j}") <= radius for i, j in combinations(range(LEADERS), 2)}
+    close = {(i, j): F.when(F.col("n") > 1, _distance(f"l{i}", f"l{j}") <= radius).otherwise(False) for i, j in combinations(range(LEADERS), 2)}
     leads = leads.withColumns({f"c{i}_{j}": x for (i, j), x in close.items()})
-    for step in range(LEADERS.bit_length()):
+    for step in range((LEADERS - 1).bit_length()):
         leads = leads.withColumns({f"m{step}_{j}": F.least(numbers[j], *[
             F.when(F.col(f"c{min(i, j)}_{max(i, j)}"), numbers[i]).otherwise(LEADERS) for i in range(LEADERS) if i != j])
             for j in range(LEADERS)} if LEADERS > 1 else {f"m{step}_0": F.lit(0)})
