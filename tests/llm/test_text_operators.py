@@ -434,7 +434,7 @@ def test_near_groups_of_chains_and_near_copies(spark, monkeypatch):
     want = least_linked(list(range(len(names))), (bits[:, None] != bits[None]).sum(axis=2) <= 8)
     assert len(set(want)) > 6
     df = spark.createDataFrame(list(zip(names, range(len(names)), strict=True)) + [(None, 5)], "fingerprint string, doc_id long")
-    for leaders in (5, 1):
+    for leaders in (8, 1):
         monkeypatch.setattr(simhash, "LEADERS", leaders)
         got = {r.fingerprint: r.near_id for r in simhash.with_near(df, 8).collect()}
         assert [got[n] for n in names] == want
