@@ -8,6 +8,8 @@ the batch result of the same operator.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -50,9 +52,14 @@ ORDER_ROW_SCHEMA = StructType([
 
 
 # The feeds land as FILES files, PER_BATCH of which make a micro-batch; tables
-# are cut into BUCKETS partitions.  Sizes of the test tables: a production table
-# takes buckets of some 100 MB.
-FILES, PER_BATCH, BUCKETS = 8, 3, 16
+# are cut into BUCKETS partitions.  Sizes of the test tables: a larger feed lands
+# in files, and its table is cut into buckets, of PART_ROWS rows (some 100 MB).
+FILES, PER_BATCH, BUCKETS, PART_ROWS = 8, 3, 16, 1_000_000
+
+
+def _buckets(rows: int) -> int:
+    """Buckets of a table that is fed so many rows."""
+    return max(BUCKETS, math.ceil(rows / PART_ROWS))
 
 
 @_q
@@ -80,17 +87,27 @@ def stream_ingest_cdc_json(spark, sf_dir):
     return batch_catalog._flat_out(flatten_cdc(bronze, "order_id"))
 
 
-def _land_parquet(df: DataFrame, path: str, files: int) -> StructType:
-    df.repartition(files).write.parquet(path)
-    return df.schema
+def _land_files(df: DataFrame, path: str, files: int) -> tuple[int, int]:
+    """Lands the rows in ``files`` Parquet files or more, none of above
+    ``PART_ROWS`` rows, each by the task that reads them: (rows, files)."""
+    rows = df.count()
+    most = max(1, min(math.ceil(rows / files), PART_ROWS))
+    df.write.option("maxRecordsPerFile", most).option("compression", "zstd").parquet(path)
+    return rows, len(df.sparkSession.read.schema(df.schema).parquet(path).inputFiles())
+
+
+def _share(landed: int, per: int, files: int) -> int:
+    """``per`` of ``files`` files, of the number that did land."""
+    return max(1, math.ceil(landed * per / files))
 
 
 @_q
 def stream_dq_split(spark, sf_dir):
     """Order items streamed through the valid / quarantine split."""
     fx, work = Fixtures(spark, sf_dir), _work(spark, "dq-split")
-    schema = _land_parquet(fx.fx_order_items, f"{work}/landing", 4)
-    src = file_stream(spark, "parquet", schema, f"{work}/landing", max_files_per_trigger=1)
+    landed = _land_files(fx.fx_order_items, f"{work}/landing", 4)[1]
+    src = file_stream(spark, "parquet", fx.fx_order_items.schema, f"{work}/landing",
+                      max_files_per_trigger=_share(landed, 1, 4))
     jobs.dq_split(src, batch_catalog.ITEM_RULES, f"{work}/valid", f"{work}/quarantine",
                   f"{work}/_checkpoints/dq")
     drop = [*jobs.LINEAGE_COLS, "_query_id", "_batch_id"]
@@ -103,9 +120,10 @@ def stream_dq_split(spark, sf_dir):
 def stream_scd1(spark, sf_dir):
     """C4: the order-item update feed streamed into an SCD1 table."""
     fx, work = Fixtures(spark, sf_dir), _work(spark, "scd1")
-    schema = _land_parquet(fx.fx_order_items, f"{work}/landing", FILES)
-    src = file_stream(spark, "parquet", schema, f"{work}/landing", PER_BATCH, lineage=False)
-    table = KeyedTable(spark, f"{work}/silver_order_items", schema, batch_catalog.ITEM_KEYS, BUCKETS)
+    schema = fx.fx_order_items.schema
+    rows, landed = _land_files(fx.fx_order_items, f"{work}/landing", FILES)
+    src = file_stream(spark, "parquet", schema, f"{work}/landing", _share(landed, PER_BATCH, FILES), lineage=False)
+    table = KeyedTable(spark, f"{work}/silver_order_items", schema, batch_catalog.ITEM_KEYS, _buckets(rows))
     jobs.scd1_stream(src, table, batch_catalog.ITEM_ORDER, f"{work}/_checkpoints/scd1")
     return table.read()
 
@@ -115,11 +133,12 @@ def stream_silver_quarantine(spark, sf_dir):
     """An SCD1 table of order items, and its clean and quarantined halves
     by the Silver rules, maintained from its change images."""
     fx, work = Fixtures(spark, sf_dir), _work(spark, "silver-dq")
-    schema = _land_parquet(fx["fx_order_items_priced"], f"{work}/landing", FILES)
-    silver, clean, bad = (KeyedTable(spark, f"{work}/{n}", schema, batch_catalog.ITEM_KEYS, BUCKETS,
+    schema = fx["fx_order_items_priced"].schema
+    rows, landed = _land_files(fx["fx_order_items_priced"], f"{work}/landing", FILES)
+    silver, clean, bad = (KeyedTable(spark, f"{work}/{n}", schema, batch_catalog.ITEM_KEYS, _buckets(rows),
                                      changes=f"{work}/changes" if n == "silver" else None)
                           for n in ("silver", "clean", "quarantined"))
-    src = file_stream(spark, "parquet", schema, f"{work}/landing", PER_BATCH, lineage=False)
+    src = file_stream(spark, "parquet", schema, f"{work}/landing", _share(landed, PER_BATCH, FILES), lineage=False)
     jobs.scd1_stream(src, silver, batch_catalog.ITEM_ORDER, f"{work}/_checkpoints/scd1")
     jobs.quarantine_stream(_images(spark, silver), silver, quality.SILVER_ORDER_ITEM_RULES, clean, bad,
                            f"{work}/_checkpoints/dq")
@@ -213,8 +232,9 @@ def _mart(spark: SparkSession, path: str, rows: DataFrame, key: str, **options)
 
 def _changes(spark: SparkSession, path: str, before: DataFrame, after: DataFrame) -> DataFrame:
     """Stream of the change images between two snapshots, landed as files."""
-    schema = _land_parquet(incremental.signed_images(before, after), path, 2)
-    return file_stream(spark, "parquet", schema, path, 1, lineage=False)
+    images = incremental.signed_images(before, after)
+    images.repartition(2).write.parquet(path)
+    return file_stream(spark, "parquet", images.schema, path, 1, lineage=False)
 
 
 @_q
