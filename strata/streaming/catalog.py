@@ -313,7 +313,8 @@ def _land(rows: DataFrame, name: str, path: str) -> None:
     key = F.struct(F.col(spec.key).cast("string").alias(spec.key))
     gone = F.col("op") == OP_DELETE
     env = rows.select("op", "ts_ms", F.when(gone, key).alias("before"), F.when(~gone, row).alias("after"))
-    env.write.mode("append").json(path)
+    # a task reads a compressed file whole, so none has more than some rows
+    env.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", PART_ROWS // 4).json(path)
 
 
 def _feed(spark: SparkSession, work: str, name: str, rows: DataFrame, **options) -> KeyedTable:
