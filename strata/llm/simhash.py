@@ -15,11 +15,13 @@ the bits of both (21 bits at radius 16, in 30 tables).  Equal fingerprints
 enter once, so a group of copies is one entry.
 
 ``near_pairs`` reports every pair.  ``near_groups``, which the query uses,
-gives each fingerprint the smallest document that it reaches by links: within
-a table's key every entry is compared with the key's ``LEADERS`` leaders, and
-two entries with each other only if they are not near leaders that are linked,
-since otherwise they are connected already.  In a group of near copies few
-entries are near no leader, so few pairs are left, and no connection is lost.  ``RADIUS``
+gives each fingerprint the smallest document that it reaches by links.  The
+entries are shuffled once, by key, and come to a task in order: up to ``FEW``
+entries of a key are compared with each other; those of a larger key are
+reached from leaders, each of which is compared with the entries not reached
+yet.  Pairs that links connect already are left out, so a group of near copies
+has about as many links in a key as members, and no connection is lost.  A task holds the fingerprints of one key at least, 40
+bytes each, and compares members with what no member is near to.  ``RADIUS``
 follows the measured distances of near copies; README gives the share it finds
 by length of text.
 
@@ -57,7 +59,10 @@ BITS = 256
 PAIR_WEIGHT = 2.0
 RADIUS = 16             # bits, of near copies
 SPARE = 8               # blocks more than the radius
-LEADERS = 8             # of a key's entries
+LEADERS = 64            # entries of a large key that are compared at once with those not reached
+FEW = 16                # entries of a key that are compared with each other
+PAIRS = 1 << 18         # distances taken at once
+HELD = 1 << 16          # entries that a task takes at once, a key's being whole
 WORDS = BITS // 64
 RANGE_ROWS = 4096       # documents a range of ids, about
 MAX_RANGES = 100_000    # their bounds are what the driver collects
@@ -292,37 +297,98 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
 
+def _apart(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Hamming distances of rows of words."""
+    return np.bitwise_count(one ^ two).sum(axis=-1, dtype=np.int64)
+
+
+def _forest(words: np.ndarray, radius: int, leaders: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (one, two) of links that connect the rows of ``words`` as all
+    pairs within the radius do, each row but one of a component once as
+    ``two``.  ``leaders`` reached rows at a time are compared with the rows
+    that were not reached; those they are near to are compared next."""
+    left = np.argsort(mix(np.bitwise_xor.reduce(words, axis=1)), kind="stable")     # tables agree on first leaders
+    reached = left[:0]
+    links = [(reached, reached)]
+    while len(left):
+        if not len(reached):
+            reached, left = left[:1], left[1:]
+        lead, reached = reached[:leaders], reached[leaders:]
+        step = max(1, PAIRS // len(lead))
+        kept, found = [], []
+        for low in range(0, len(left), step):
+            rest = left[low:low + step]
+            near = _apart(words[lead][:, None], words[rest][None]) <= radius
+            hit = near.any(axis=0)
+            links.append((lead[near.argmax(axis=0)[hit]], rest[hit]))
+            found.append(rest[hit])
+            kept.append(rest[~hit])
+        if kept:
+            left, reached = np.concatenate(kept), np.concatenate([reached, *found])
+    return tuple(np.concatenate(x) for x in zip(*links, strict=True))
+
+
+def _key_links(keys: np.ndarray, words: np.ndarray, radius: int, leaders: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links among the entries of each of ``keys``, which are in order."""
+    begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    size = np.diff(np.append(begin, len(keys)))
+    behind = np.repeat(begin + size, size) - np.arange(len(keys))       # entries of the key from this one on
+    behind[np.repeat(size, size) > FEW] = 0
+    links = []
+    root = np.arange(len(keys))                 # equal only if links so far connect
+    for d in range(1, FEW):
+        one = np.flatnonzero(behind > d)
+        if not len(one):
+            break
+        one = one[_apart(words[one], words[one + d]) <= radius]
+        one = one[root[one] != root[one + d]]
+        links.append((one, one + d))
+        np.minimum.at(root, np.maximum(root[one], root[one + d]), np.minimum(root[one], root[one + d]))
+        while len(one) and (root[root] != root).any():
+            root = root[root]
+    for k in np.flatnonzero(size > FEW):
+        one, two = _forest(words[begin[k]:begin[k] + size[k]], radius, leaders)
+        links.append((begin[k] + one, begin[k] + two))
+    if not links:
+        return begin[:0], begin[:0]
+    return tuple(np.concatenate(x) for x in zip(*links, strict=True))
+
+
 def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(u, v): links between fingerprints at most ``radius`` bits apart that
-    connect the same fingerprints as all such pairs do."""
-    # one exchange by key serves the leaders, the comparison with them, and the pairs
-    entries = _entries(prints, block_masks(radius)).select("key", *_COLUMNS).repartition("key")
-    leads = entries.groupBy("key").agg(*[F.min(F.struct(F.xxhash64(F.lit(j), *_COLUMNS).alias("r"), *_COLUMNS)).alias(f"l{j}")
-                                         for j in range(LEADERS)], F.count(F.lit(1)).alias("n"))
-    leads = leads.select("key", "n", *[F.struct(*[F.col(f"l{j}.{c}") for c in _COLUMNS]).alias(f"l{j}") for j in range(LEADERS)])
-    # each leader's number, lowered to that of the leaders it is linked to, directly or through others
-    numbers = [F.lit(j) for j in range(LEADERS)]
-    close = {(i, j): F.when(F.col("n") > 1, _distance(f"l{i}", f"l{j}") <= radius).otherwise(False) for i, j in combinations(range(LEADERS), 2)}
-    leads = leads.withColumns({f"c{i}_{j}": x for (i, j), x in close.items()})
-    for step in range((LEADERS - 1).bit_length()):
-        leads = leads.withColumns({f"m{step}_{j}": F.least(numbers[j], *[
-            F.when(F.col(f"c{min(i, j)}_{max(i, j)}"), numbers[i]).otherwise(LEADERS) for i in range(LEADERS) if i != j])
-            for j in range(LEADERS)} if LEADERS > 1 else {f"m{step}_0": F.lit(0)})
-        numbers = [F.col(f"m{step}_{j}") for j in range(LEADERS)]
-    leads = leads.select("key", *[f"l{j}" for j in range(LEADERS)], *[numbers[j].alias(f"g{j}") for j in range(LEADERS)])
-    met = entries.join(leads, "key").withColumn("own", F.struct(*_COLUMNS))
-    near = [_distance("own", f"l{j}") <= radius for j in range(LEADERS)]
-    # `led`: the lowest group of leaders that an entry is near to; LEADERS if none
-    led = F.least(F.lit(LEADERS), F.lit(LEADERS), *[F.when(x, F.col(f"g{j}")).otherwise(LEADERS) for j, x in enumerate(near)])
-    links = met.select("own", F.explode(F.array(*[F.when(x & (F.col(f"l{j}") != F.col("own")), F.col(f"l{j}"))
-                                                  for j, x in enumerate(near)])).alias("lead")).where("lead is not null")
-    links = links.select(F.col("own").alias("u"), F.col("lead").alias("v")).distinct()
-    flagged = met.select("key", "own", led.alias("led"))
-    one, two = flagged.alias("one"), flagged.alias("two")
-    rest = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.own") < F.col("two.own"))
-                    & ((F.col("one.led") != F.col("two.led")) | (F.col("one.led") == LEADERS))
-                    & (_distance("one.own", "two.own") <= radius))
-    return links.unionAll(rest.select(F.col("one.own").alias("u"), F.col("two.own").alias("v")).distinct())
+    connect the same fingerprints as all such pairs do; some repeat."""
+    leaders = LEADERS
+    share(prints.sparkSession, None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []      # of keys in order, the last of which may go on
+        size, limit = 0, HELD
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), np.column_stack([batch.column(1 + i).to_numpy() for i in range(WORDS)]).view(np.uint64)))
+            size += len(batch)
+            if size < limit:
+                continue
+            keys, words = map(np.concatenate, zip(*held, strict=True))
+            last = int(np.searchsorted(keys, keys[-1]))
+            yield from found(keys[:last], words[:last])
+            held, size = [(keys[last:], words[last:])], len(keys) - last
+            limit = max(HELD, 2 * size)
+        if held:
+            yield from found(*map(np.concatenate, zip(*held, strict=True)))
+        give_back()
+
+    def found(keys: np.ndarray, words: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(keys):
+            return
+        one, two = _key_links(keys, words, radius, leaders)
+        for low in range(0, len(one), HELD):
+            part = np.concatenate([words[one[low:low + HELD]], words[two[low:low + HELD]]], axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in part.T], names)
+
+    names = [f"{side}_{c}" for side in "uv" for c in _COLUMNS]
+    entries = _entries(prints, block_masks(radius)).select("key", *_COLUMNS).repartition("key").sortWithinPartitions("key")
+    links = entries.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return links.select(*[F.struct(*[F.col(f"{side}_{c}").alias(c) for c in _COLUMNS]).alias(side) for side in "uv"])
 
 
 def near_groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:

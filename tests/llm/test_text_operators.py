@@ -441,6 +441,31 @@ def test_near_groups_of_chains_and_near_copies(spark, monkeypatch):
     assert simhash.with_near(df.limit(0), 8).count() == 0
 
 
+def test_links_of_near_copies_grow_with_their_number(spark):
+    """Most members of a group are near to few others, so no leader is near to
+    all; a key still has one link fewer than members, not a share of all pairs."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2, simhash.BITS, dtype=np.uint8)
+    rows = []
+    for _ in range(700):
+        x = base.copy()
+        x[rng.choice(simhash.BITS, 9, replace=False)] ^= 1
+        rows.append(x)
+    bits = np.array(rows)
+    names = [np.packbits(b).tobytes().hex() for b in bits]
+    df = spark.createDataFrame([(n,) for n in names], "fingerprint string")
+    links = simhash.near_links(df).select(simhash._hex("u"), simhash._hex("v")).collect()
+    assert len(links) < len(simhash.block_masks(simhash.RADIUS)) * len(names)
+    place = {n: i for i, n in enumerate(names)}
+    apart = (bits[:, None] != bits[None]).sum(axis=2)
+    assert (apart <= simhash.RADIUS).sum() > 100 * len(names)
+    found = np.eye(len(names), dtype=bool)
+    for u, v in links:
+        assert 0 < apart[place[u], place[v]] <= simhash.RADIUS
+        found[place[u], place[v]] = found[place[v], place[u]] = True
+    assert least_linked(range(len(names)), found) == least_linked(range(len(names)), apart <= simhash.RADIUS)
+
+
 def test_near_pairs_by_block_tables(spark):
     rng = np.random.default_rng(4)
     base = rng.integers(0, 2, (5, simhash.BITS), dtype=np.uint8)
