@@ -81,7 +81,7 @@ def replace_keys(target: DataFrame, result: DataFrame, affected: DataFrame,
 WEIGHT = "_w"
 
 
-def signed_images(before: DataFrame, after: DataFrame) -> DataFrame:
+def signed_images(before: DataFrame, after: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """What turns ``before`` into ``after``: their rows that differ with a
     weight, ``-n`` for a row that occurs n times less, ``n`` for one that
     occurs n times more.
@@ -89,7 +89,12 @@ def signed_images(before: DataFrame, after: DataFrame) -> DataFrame:
     One shuffle for both directions: rows are counted with their sign, and
     equal rows of both sides, most of them, cancel out in the partial counts
     of a task or in the final ones.  Used when a source has no change log.
+
+    ``columns``, default all, are those that a consumer reads: rows that differ
+    in others only have no images, and the others aren't shuffled.
     """
+    if columns is not None:
+        before, after = before.select(*columns), after.select(*columns)
     sides = (before.withColumn(WEIGHT, F.lit(-1).cast("long"))
              .unionByName(after.select(*before.columns).withColumn(WEIGHT, F.lit(1).cast("long"))))
     return (sides.groupBy(*[F.col(f"`{c}`") for c in before.columns])

@@ -9,7 +9,7 @@ Column names are aliased identically on both sides.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +30,7 @@ ITEM_KEYS = ["order_id", "line_no"]
 ITEM_ORDER = ["ts"]
 ITEM_TRACKED = ["product_id", "warehouse_id", "quantity", "line_cents", "return_requested",
                 "return_reason"]
+SALES_COLUMNS = ["product_id", "quantity", "line_cents"]     # of an order item, in product performance
 ITEM_BATCH_SPLIT = "1998-01-01 00:00:00"     # items feed: base before, batch after
 CDC_BATCH_SPLIT = 2000                       # orders CDC log: batch 1 <= 2000 < batch 2
 CDC_TRACKED = ["st", "cust"]
@@ -482,8 +483,8 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _signed(fx: Fixtures, name: str) -> DataFrame:
-    return _kept(incremental.signed_images(fx[name], fx[f"{name}_after"]))
+def _signed(fx: Fixtures, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    return _kept(incremental.signed_images(fx[name], fx[f"{name}_after"], columns))
 
 
 @query
@@ -510,7 +511,7 @@ def delta_product_performance(spark, sf_dir):
     mart = _kept(marts.product_performance(fx.fx_order_items, fx.fx_inventory, fx.fx_products))
     return deltas.product_performance_next(
         mart, _kept(deltas.sales_state(fx.fx_order_items)), _kept(deltas.stock_state(fx.fx_inventory)), fx.fx_products,
-        _signed(fx, "fx_order_items"), _signed(fx, "fx_inventory"), fx.fx_inventory_after)[2]
+        _signed(fx, "fx_order_items", SALES_COLUMNS), _signed(fx, "fx_inventory"), fx.fx_inventory_after)[2]
 
 
 @query

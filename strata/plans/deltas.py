@@ -110,7 +110,7 @@ def _stock_order(inventory: DataFrame, stock_order: Sequence[str]) -> list[str]:
 
 def stock_state(inventory: DataFrame, stock_order: Sequence[str] = ("snapshot_date",)) -> DataFrame:
     """The latest snapshot of each product and warehouse, and how many rows hold it."""
-    return latest(weighted(inventory), STOCK_KEYS, _stock_order(inventory, stock_order))
+    return latest(weighted(inventory), STOCK_KEYS, _stock_order(inventory, stock_order), whole=True)
 
 
 def _performance(products: DataFrame, sales: DataFrame, stock: DataFrame, stockout_threshold: int) -> DataFrame:
@@ -134,9 +134,8 @@ def product_performance_next(mart: DataFrame, sales: DataFrame, stock: DataFrame
     moved = touched_counts(sales, sales_state(item_images), ["product_id"], SALES)
     shelves = touched_latest(stock, inventory_images, inventory_now, STOCK_KEYS, _stock_order(inventory_now, stock_order))
     keys = affected_keys([moved, shelves, *product_images], {"product_id": "product_id"})
-    stale = scope(stock, shelves.select(*STOCK_KEYS), STOCK_KEYS, prune=False)
     here = (scope(stock, keys, ["product_id"], prune=False).select(*STOCK_KEYS, "best", F.lit(1).alias("sign"))
-            .unionByName(stale.select(*STOCK_KEYS, "best", F.lit(-1).alias("sign")))
+            .unionByName(shelves.where("old_best is not null").select(*STOCK_KEYS, F.col("old_best").alias("best"), F.lit(-1).alias("sign")))
             .unionByName(shelves.select(*STOCK_KEYS, "best", F.lit(1).alias("sign"))))
     amounts = here.groupBy("product_id").agg(
         F.sum(F.col("best.quantity_available") * F.col("sign")).cast("bigint").alias("_stock"))

@@ -1,5 +1,6 @@
 """Marts kept under signed changes equal the marts of the changed tables."""
 
+import re
 import datetime as dt
 import random
 
@@ -176,3 +177,39 @@ def test_maximum_is_looked_up_only_where_its_last_holder_went(spark):
     base = spark.createDataFrame([("once", 3), ("once", 3), ("twice", 999), ("passed", 999), ("new", 999)], "k string, v int")
     got = {r.k: (r.best and r.best.v, r.held) for r in delta.touched_latest(state, changes, base, ["k"], ["v"]).collect()}
     assert got == {"twice": (5, 1), "once": (3, 2), "passed": (9, 1), "gone": (None, None), "new": (1, 2)}
+
+
+def test_latest_of_a_whole_table_is_one_shuffle(spark, capsys):
+    """With a key that holds a third of the rows, NULL keys and repeated rows."""
+    table = spark.range(3000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 300 <> 1 then cast(id % 500 as string) end as k", "cast(id % 97 as int) as v",
+        "case when id % 5 > 0 then id % 2 end as x")
+    out = delta.latest(delta.weighted(table), ["k"], ["v", "x"], whole=True)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert re.search(r"Exchange.*", plan)[0].count("REPARTITION_BY_COL") == 1       # the topmost
+    want = {}
+    for r in table.collect():
+        want.setdefault(r.k, []).append((r.v, r.x))
+    best = {k: max(v, key=lambda y: (y[0], y[1] is not None, y[1] or 0)) for k, v in want.items()}
+    assert {r.k: (tuple(r.best), r.held) for r in out.collect()} == {k: (b, want[k].count(b)) for k, b in best.items()}
+
+
+def test_stock_is_looked_up_in_one_read_of_the_inventory(spark, tmp_path, capsys):
+    """However often the changed snapshots are used."""
+    made = {"items": ("product_id long, quantity long, line_cents long", [(1, 2, 10), (2, 1, 5)]),
+            "inventory": ("product_id long, warehouse_id long, snapshot_date int, quantity_available long",
+                          [(1, 1, 5, 30), (1, 1, 4, 8), (2, 1, 5, 3), (2, 2, 5, 40)]),
+            "after": ("product_id long, warehouse_id long, snapshot_date int, quantity_available long",
+                      [(1, 1, 4, 8), (2, 1, 5, 3), (2, 1, 6, 60), (2, 2, 5, 40)]),
+            "products": ("product_id long, product_name string, brand string", [(1, "a", "x"), (2, "b", "y")])}
+    for name, (schema, values) in made.items():
+        spark.createDataFrame(values, schema).write.parquet(str(tmp_path / name))
+    items, inventory, after, products = (spark.read.parquet(str(tmp_path / n)) for n in made)
+    mart = stored(spark, marts.product_performance(items, inventory, products))
+    got = deltas.product_performance_next(
+        mart, stored(spark, deltas.sales_state(items)), stored(spark, deltas.stock_state(inventory)), products,
+        stored(spark, signed_images(items, items)), stored(spark, signed_images(inventory, after)), after)[2]
+    assert rows(got) == rows(marts.product_performance(items, after, products))
+    got.explain("formatted")
+    assert str(tmp_path / "after") not in capsys.readouterr().out       # read before, once
