@@ -101,10 +101,14 @@ def signed_images(before: DataFrame, after: DataFrame, columns: Sequence[str] |
             .agg(F.sum(WEIGHT).alias(WEIGHT)).where(F.col(WEIGHT) != 0))
 
 
+def images_of(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(old images, new images) of signed ones, each as often as its weight says."""
+    times = F.explode(F.sequence(F.lit(1), F.abs(F.col(WEIGHT))))
+    return tuple(signed.where(F.col(WEIGHT) * sign > 0).withColumn("_i", times).drop(WEIGHT, "_i")
+                 for sign in (-1, 1))
+
+
 def changed_images(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(old images, new images) of rows that differ between two snapshots, each
     as often as it differs."""
-    signed = signed_images(before, after)
-    times = F.explode(F.sequence(F.lit(1), F.abs(F.col(WEIGHT))))
-    return tuple(signed.where(F.col(WEIGHT) * sign > 0).withColumn("_i", times).select(*before.columns)
-                 for sign in (-1, 1))
+    return images_of(signed_images(before, after))

@@ -32,13 +32,15 @@ def frequent_keys(rows: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
 
 
 def join_heavy(rows: DataFrame, unique: DataFrame, on: Sequence[str], heavy: DataFrame,
-               how: str = "inner", salts: int = SALTS) -> DataFrame:
+               how: str = "inner", salts: int = SALTS, marks: bool = False) -> DataFrame:
     """``rows`` joined (``inner`` or ``left``) to ``unique``, which has one row
     a key, with the rows of the ``heavy`` keys dealt to ``salts`` tasks each.
 
     ``heavy`` is broadcast; a heavy key's row of ``unique`` is copied to every
     salt, at most ``PARTS * salts`` rows in all.  Other keys have one salt, so
     it is one shuffle join of the size of the plain one.  Keys are not NULL.
+    With ``marks`` the result has ``_salt`` and ``_heavy`` (true or NULL): the
+    rows of a key that is not heavy, and of a heavy one's salt, lie together.
     """
     keys = list(on)
     few = F.broadcast(heavy.select(*keys).distinct().withColumn("_heavy", F.lit(True)))
@@ -47,4 +49,4 @@ def join_heavy(rows: DataFrame, unique: DataFrame, on: Sequence[str], heavy: Dat
     left = rows.join(few, keys, "left").withColumn("_salt", dealt)
     right = unique.join(few, keys, "left").withColumn("_salt", F.explode(every)).drop("_heavy")
     payload = [c for c in unique.columns if c not in keys]
-    return left.join(right, [*keys, "_salt"], how).select(*rows.columns, *payload)
+    return left.join(right, [*keys, "_salt"], how).select(*rows.columns, *payload, *(["_salt", "_heavy"] if marks else []))

@@ -31,6 +31,9 @@ ITEM_ORDER = ["ts"]
 ITEM_TRACKED = ["product_id", "warehouse_id", "quantity", "line_cents", "return_requested",
                 "return_reason"]
 SALES_COLUMNS = ["product_id", "quantity", "line_cents"]     # of an order item, in product performance
+REVENUE_ORDER_COLUMNS = ["order_id", "order_date", "discount_cents", "shipping_country", "shipping_state",
+                         "shipping_city", "valid_to"]          # of an order, in daily revenue
+REVENUE_ITEM_COLUMNS = ["order_id", *SALES_COLUMNS]
 ITEM_BATCH_SPLIT = "1998-01-01 00:00:00"     # items feed: base before, batch after
 CDC_BATCH_SPLIT = 2000                       # orders CDC log: batch 1 <= 2000 < batch 2
 CDC_TRACKED = ["st", "cust"]
@@ -419,11 +422,11 @@ def incr_daily_revenue(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     prev = marts.daily_revenue(fx.fx_orders_scd2, fx.fx_order_items, fx.fx_products,
                                fx.fx_categories)
-    o_old, o_new = _order_changes(fx)
-    i_old, i_new = incremental.changed_images(fx.fx_order_items, fx.fx_order_items_after)
+    orders = incremental.images_of(_signed(fx, "fx_orders_scd2", REVENUE_ORDER_COLUMNS))
+    items = incremental.images_of(_signed(fx, "fx_order_items", REVENUE_ITEM_COLUMNS))
     return maintenance.maintain_daily_revenue(prev, fx.fx_orders_scd2_after,
                                               fx.fx_order_items_after, fx.fx_products,
-                                              fx.fx_categories, [o_old, o_new], [i_old, i_new])
+                                              fx.fx_categories, orders, items)
 
 
 @query

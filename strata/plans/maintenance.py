@@ -18,6 +18,7 @@ from pyspark.sql.types import DateType
 
 from ..functions.predicates import current_rows
 from ..operators.incremental import affected_keys, replace_keys, scope
+from ..session import checkpoint_root
 from . import marts
 
 
@@ -76,9 +77,10 @@ def maintain_daily_revenue(prev: DataFrame, orders: DataFrame, items: DataFrame,
                            category_images: Sequence[DataFrame] = (), **kw) -> DataFrame:
     """Affected dates from changes of any input (``daily_revenue_dates``).
     Items are scoped through their orders so each recomputed order keeps its
-    full subtotal."""
+    full subtotal.  The dates are materialised: they are used several times."""
     cur = current_rows(orders)
-    dates = daily_revenue_dates(orders, items, products, order_images, item_images, product_images, category_images)
+    checkpoint_root(prev.sparkSession)
+    dates = daily_revenue_dates(orders, items, products, order_images, item_images, product_images, category_images).checkpoint()
     scoped_orders = _scope_dates(cur, dates)
     scoped_items = scope(items, scoped_orders.select("order_id"), ["order_id"], prune=False)
     result = marts.daily_revenue(scoped_orders, scoped_items, products, categories, **kw)

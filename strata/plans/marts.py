@@ -70,7 +70,8 @@ def order_subtotals(items: DataFrame, line_cents: str = "line_cents") -> DataFra
 
 def discount_allocation(orders: DataFrame, items: DataFrame,
                         line_cents: str = "line_cents",
-                        discount_cents: str = "discount_cents") -> DataFrame:
+                        discount_cents: str = "discount_cents",
+                        lines: DataFrame | None = None, marks: bool = False) -> DataFrame:
     """Items of current orders with their pro-rata share of the order discount.
 
     ``allocated_cents = half_up(line * discount / subtotal)``; 0 when the
@@ -79,26 +80,31 @@ def discount_allocation(orders: DataFrame, items: DataFrame,
     Items meet one row an order, the order with its subtotal, in one join; the
     items of an order that holds a large part of all items are dealt over many
     tasks there (``operators.skew``), and its subtotal is summed up partially
-    before the shuffle.
+    before the shuffle.  With ``lines``, these get their share instead of the
+    items, which the subtotal covers all the same; ``marks`` are ``join_heavy``'s.
     """
     cur = current_rows(orders).drop("valid_from", "valid_to")
     per_order = order_subtotals(items, line_cents).join(cur, "order_id")
     return (
-        join_heavy(items, per_order, ["order_id"], frequent_keys(items, "order_id"))
+        join_heavy(items if lines is None else lines, per_order, ["order_id"], frequent_keys(items, "order_id"), marks=marks)
         .withColumn("allocated_cents",
                     allocate_pro_rata(line_cents, "subtotal_cents", discount_cents)))
 
 
 def revenue_lines(orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame,
                   line_cents: str, discount_cents: str, city_col: str) -> DataFrame:
-    """Order lines of known products and categories with their group and discount share."""
-    alloc = discount_allocation(orders, items, line_cents, discount_cents)
-    return (
-        alloc.select(F.to_date("order_date").alias("order_date"), "order_id", "product_id",
-                     "quantity", F.col(line_cents).alias("_line"), "allocated_cents",
-                     "shipping_country", "shipping_state", F.col(city_col).alias("shipping_city"))
-        .join(products.select("product_id", "category_id"), "product_id")
-        .join(categories.select("category_id", "category_name"), "category_id"))
+    """Order lines of known products and categories with their group and discount share.
+
+    The categories join the products and these the items, of which few columns
+    are left, before the items meet their orders: what is shuffled by product
+    is narrow, and an order's lines stay where they are (``join_heavy``'s marks)."""
+    goods = (products.select("product_id", "category_id")
+             .join(categories.select("category_id", "category_name"), "category_id"))
+    known = items.select("order_id", "product_id", "quantity", line_cents).join(goods, "product_id")
+    alloc = discount_allocation(orders, items, line_cents, discount_cents, known, marks=True)
+    return alloc.select(F.to_date("order_date").alias("order_date"), "order_id", "product_id", "quantity",
+                        F.col(line_cents).alias("_line"), "allocated_cents", "category_id", "category_name",
+                        "shipping_country", "shipping_state", F.col(city_col).alias("shipping_city"), "_salt", "_heavy")
 
 
 def daily_revenue(orders: DataFrame, items: DataFrame, products: DataFrame,
@@ -108,18 +114,22 @@ def daily_revenue(orders: DataFrame, items: DataFrame, products: DataFrame,
     """Revenue per (order date, category, country, state, city).
 
     Items whose product or category is unknown drop out (inner joins) while
-    still counting in their order's subtotal.  The product->category lookup
-    is joined after the order join; ``count(distinct order_id)`` per group.
+    still counting in their order's subtotal.  An order's lines are summed
+    where they met their order, so each order is one row a group there and is
+    counted without a shuffle of its own; those of the few orders that are
+    dealt over several tasks are counted by their ids.
     """
+    group = ["order_date", "category_id", "category_name", "shipping_country", "shipping_state", "shipping_city"]
     lines = revenue_lines(orders, items, products, categories, line_cents, discount_cents, city_col)
     return (
-        lines.groupBy("order_date", "category_id", "category_name", "shipping_country",
-                      "shipping_state", "shipping_city")
-        .agg(F.sum("_line").alias("_gross"), F.sum("allocated_cents").alias("_disc"),
-             F.countDistinct("order_id").alias("order_count"),
-             F.sum("quantity").cast("bigint").alias("total_units_sold"))
-        .select("order_date", "category_id", "category_name", "shipping_country",
-                "shipping_state", "shipping_city",
+        lines.groupBy(*group, "order_id", "_salt", "_heavy")
+        .agg(F.sum("_line").alias("_gross"), F.sum("allocated_cents").alias("_disc"), F.sum("quantity").alias("_units"))
+        .groupBy(*group)
+        .agg(F.sum("_gross").alias("_gross"), F.sum("_disc").alias("_disc"),
+             (F.count_if(F.col("_heavy").isNull()) + F.size(F.collect_set(F.when(F.col("_heavy"), F.col("order_id")))))
+             .alias("order_count"),
+             F.sum("_units").cast("bigint").alias("total_units_sold"))
+        .select(*group,
                 cents_to_double("_gross").alias("gross_revenue"),
                 cents_to_double("_disc").alias("total_discount"),
                 cents_to_double("_gross - _disc").alias("net_revenue"),

@@ -91,6 +91,36 @@ def test_image_diff_is_one_shuffle(spark, capsys):
     assert sorted(map(tuple, new.collect()), key=str) == [(2, None), (2, None), (4, "d")]
 
 
+def test_images_of_the_columns_that_a_consumer_reads(spark):
+    before = spark.createDataFrame([(1, "a", 7), (2, "b", 7), (2, "b", 8)], "k int, v string, other int")
+    after = spark.createDataFrame([(1, "a", 9), (2, "c", 7), (2, "b", 7)], "k int, v string, other int")
+    signed = incremental.signed_images(before, after, ["k", "v"])
+    assert sorted(map(tuple, signed.collect())) == [(2, "b", -1), (2, "c", 1)]
+
+
+def test_daily_revenue_counts_orders_without_a_shuffle_of_their_own(spark, capsys):
+    """Repeated orders, and one whose lines are dealt over many tasks, count once a group."""
+    day = dt.date(2024, 1, 1)
+    orders = spark.createDataFrame([(o, day, 50, "c", "s", t, OPEN) for o, t in [(1, "x"), (2, "x"), (2, "x"), (3, "y"), (4, "x")]],
+                                   "order_id long, order_date date, discount_cents long, shipping_country string, "
+                                   "shipping_state string, shipping_city string, valid_to timestamp")
+    lines = [(1, 10, 1, 100)] * 5000 + [(2, 10, 1, 300), (2, 11, 2, 100), (3, 10, 1, 5), (4, 10, None, 7), (4, 99, 1, 7), (None, 10, 1, 1)]
+    items = spark.createDataFrame(lines, "order_id long, product_id long, quantity long, line_cents long").repartition(6)
+    products = spark.createDataFrame([(10, "g"), (11, "g"), (12, None)], "product_id long, category_id string")
+    categories = spark.createDataFrame([("g", "name")], "category_id string, category_name string")
+    out = marts.daily_revenue(orders, items, products, categories)
+    got = sorted((r.shipping_city, r.order_count, r.total_units_sold, r.gross_revenue) for r in out.collect())
+    assert got == [("x", 3, 5000 + 2 * 3, (500000 + 2 * 400 + 7) / 100), ("y", 1, 1, 0.05)]
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = _plan(marts.daily_revenue(orders, items, products, categories), capsys).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    above = tree[:tree.index("SortMergeJoin")]
+    assert len(re.findall(r"Exchange \(", above)) == 1
+
+
 def test_merge_into_a_bucketed_table_shuffles_the_batch_only(spark, tmp_path, capsys):
     rows = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     scd.save_bucketed(rows, "bucketed_target", ["k"], 8, str(tmp_path / "bucketed_target"))
