@@ -1,8 +1,8 @@
 """Marts kept under signed changes equal the marts of the changed tables."""
 
-import re
 import datetime as dt
 import random
+import re
 
 import pytest
 
