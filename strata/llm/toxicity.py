@@ -28,11 +28,12 @@ fixed size, so the model grows with the vocabulary: broadcast are the words of
 others back off to the same value in both classes, whose difference is zero
 whatever it is, so leaving them out of the broadcast changes no score.
 
-Only labelled texts are shuffled: a bitmap of the labels' ids of fixed size
-goes before the join, which then decides exactly.  The regression is fitted
-on another fold than the counts that describe it (folds 0 and 1 describe at
-most about ``calibration_rows`` rows of fold 3); that fold is then counted
-too, and the final model has the counts of all training folds.
+Only labelled texts are shuffled, deflated: a bitmap of the labels' ids of
+fixed size goes before the join, which then decides exactly.  The regression is
+fitted on another fold than the counts that describe it (folds 0 and 1 describe
+at most about ``calibration_rows`` rows of fold 3, before these meet their
+labels, so that no text moves); that fold is then counted too, and the final
+model has the counts of all training folds.
 
 Defined results: NULL and empty texts get the share of toxic training rows
 as score; without toxic or without ordinary training texts every score is
@@ -52,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import flat, share, slices, written
+from .tables import SLICE_BYTES, flat, give_back, share, slices, written
 from .words import LOWER, boundaries, mix, word_hashes
 
 WINDOW = 32
@@ -113,9 +114,17 @@ KINDS = ["a0", "a1", "b0", "b1"]
 Pairs = tuple[np.ndarray, np.ndarray, np.ndarray]       # first words, last words, counts as in KINDS
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """``counts`` in the smallest type that holds them all."""
+    most = counts.max(initial=0)
+    return counts.astype(next((k for k in (np.uint8, np.uint16, np.uint32) if most <= np.iinfo(k).max), np.int64))
+
+
 def _summed(parts: list[Pairs]) -> Pairs:
-    """Each pair once, in order of its place, last and first word."""
+    """Each pair once, in order of its place, last and first word; empties
+    ``parts``, to hold them once."""
     head, word, counts = map(np.concatenate, zip(*parts, strict=True))
+    parts.clear()
     order = np.lexsort((head, word, _place_of(head, word)))
     head, word = head[order], word[order]
     new = np.ones(len(word), bool)
@@ -123,7 +132,8 @@ def _summed(parts: list[Pairs]) -> Pairs:
     begin = np.flatnonzero(new)
     if not len(begin):
         return head, word, counts
-    return head[begin], word[begin], np.add.reduceat(counts[order], begin, axis=0, dtype=np.int64)
+    return head[begin], word[begin], np.column_stack(
+        [_narrow(np.add.reduceat(column[order], begin, dtype=np.int64)) for column in counts.T])
 
 
 def _place_of(head: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -157,11 +167,25 @@ def _unpacked(place: int, data: bytes) -> Pairs:
     sizes = np.frombuffer(rest, np.int64, n_words)
     counts = np.frombuffer(rest, np.uint8 if small else np.int64, offset=8 * n_words).reshape(len(KINDS), n).T
     above = np.uint64((place & (1 << SPREAD) - 1) << 48)
-    return head.reshape(-1).view(np.uint64) | above, np.repeat(words, sizes), counts.astype(np.int64)
+    return head.reshape(-1).view(np.uint64) | above, np.repeat(words, sizes), counts
+
+
+def _inflated(deflated: pa.Array) -> Iterator[pa.Array]:
+    """The texts (NULL: empty) in parts of about ``SLICE_BYTES``."""
+    held: list[bytes] = []
+    size = 0
+    for t in deflated:
+        held.append(zlib.decompress(t.as_buffer()) if t.is_valid else b"")
+        size += len(held[-1])
+        if size >= SLICE_BYTES:
+            yield pa.array(held, pa.large_binary())
+            held, size = [], 0
+    if held:
+        yield pa.array(held, pa.large_binary())
 
 
 def _counted(labelled: DataFrame) -> DataFrame:
-    """Of rows (text, toxic, fold), two kinds of rows: of pairs with support
+    """Of rows (deflated, toxic, fold), two kinds of rows: of pairs with support
     (pair, counts as in ``KINDS``), and of words, once for each place that has
     pairs of it, (word, counts, before_a, before): different words before in
     folds 0 and 1, and in all."""
@@ -173,11 +197,11 @@ def _counted(labelled: DataFrame) -> DataFrame:
         for batch in batches:
             kind = batch.column(1).to_numpy(zero_copy_only=False) + 2 * (batch.column(2).to_numpy(zero_copy_only=False) == 3)
             row = 0
-            for part in slices(batch.column(0)):
+            for part in _inflated(batch.column(0)):
                 h, before, _, first = tokens(part)
                 mine = np.repeat(kind[row:row + len(part)], np.diff(first))
                 row += len(part)
-                held.append(_summed([(before, h, (mine[:, None] == np.arange(len(KINDS))).astype(np.int64))]))
+                held.append(_summed([(before, h, (mine[:, None] == np.arange(len(KINDS))).view(np.uint8))]))
                 size += len(held[-1][0])
                 if size > 2 * HELD:
                     held = [_summed(held)]
@@ -187,6 +211,8 @@ def _counted(labelled: DataFrame) -> DataFrame:
                         held, size = [], 0
         if held:
             yield from _packed(_summed(held))
+        held = []
+        give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Pairs] = []
@@ -201,6 +227,8 @@ def _counted(labelled: DataFrame) -> DataFrame:
                 size += len(held[-1][0])
         if held:
             yield from totals(held)
+        held = []
+        give_back()
 
     def totals(held: list[Pairs]) -> Iterator[pa.RecordBatch]:
         """The places in ``held``, which are whole."""
@@ -222,7 +250,7 @@ def _counted(labelled: DataFrame) -> DataFrame:
              *[pa.array(np.ascontiguousarray(numbers[:, i])) for i in range(numbers.shape[1])]],
             ["pair", "word", *KINDS, "before_a", "before"])
 
-    sent = labelled.select("text", "toxic", "fold").mapInArrow(count, "place int, data binary")
+    sent = labelled.select("deflated", "toxic", "fold").mapInArrow(count, "place int, data binary")
     numbers = ", ".join(f"{k} long" for k in [*KINDS, "before_a", "before"])
     return (sent.repartition("place").sortWithinPartitions("place")
             .mapInArrow(add, f"pair long, word long, {numbers}"))
@@ -351,10 +379,14 @@ class Model:
         return np.where(n > 0, p, self.base)
 
 
-def _with_labels(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
-    """(text, toxic, fold) of the labelled documents."""
-    known = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
-             .agg(F.max("toxic").cast("int").alias("toxic")))
+def _known(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic), each labelled id once."""
+    return (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
+            .agg(F.max("toxic").cast("int").alias("toxic")))
+
+
+def _maybe_labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``docs`` without most rows that have no label, by a bitmap of the ids."""
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MAP_BITS)).alias("place")
     words = (known.select(place).select((F.col("place") / 64).cast("int").alias("w"),
                                         F.expr("shiftleft(1L, cast(place % 64 as int))").alias("b"))
@@ -370,10 +402,40 @@ def _with_labels(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
             yield pa.array((sent.value.view(np.uint64)[at >> np.uint64(6)] >> (at & np.uint64(63))
                             & np.uint64(1)).astype(bool))
 
-    rows = docs.where("doc_id is not null").select("doc_id", F.col(text).alias("text"), place)
-    rows = rows.where(maybe("place")).select("doc_id", "text")
+    return docs.where("doc_id is not null").withColumn("place", place).where(maybe("place")).drop("place")
+
+
+def _with_labels(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
+    """(doc_id, deflated, toxic, fold) of the labelled documents: their texts
+    cross the join's shuffle deflated."""
+    @F.arrow_udf("binary")
+    def deflate(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array([zlib.compress(t.as_buffer()) if t.is_valid else None for t in batch], pa.binary())
+
+    known = _known(labels)
+    rows = _maybe_labelled(docs.select("doc_id", F.col(text).alias("text")), known)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    return rows.join(known, "doc_id").select("doc_id", "text", "toxic", fold.alias("fold"))
+    return (rows.select("doc_id", deflate("text").alias("deflated")).join(known, "doc_id")
+            .select("doc_id", "deflated", "toxic", fold.alias("fold")))
+
+
+def _described(docs: DataFrame, labels: DataFrame, text: str, model: Model) -> DataFrame:
+    """(x, toxic) of the labelled documents: the numbers in ``FEATURES`` and the
+    number of words, made before the join, so that no text is shuffled."""
+    sent = share(docs.sparkSession, model)
+
+    @F.arrow_udf("array<double>")
+    def describe(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            found = [np.column_stack(sent.value.features(part)) for part in slices(batch)]
+            x = np.concatenate(found or [np.zeros((0, len(FEATURES) + 1))])
+            at = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+            yield pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x.reshape(-1)))
+
+    known = _known(labels)
+    rows = _maybe_labelled(docs.select("doc_id", F.col(text).alias("text")), known)
+    return rows.select("doc_id", describe("text").alias("x")).join(known, "doc_id").select("x", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", calibration_rows: int = 20_000) -> Model:
@@ -389,23 +451,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", calibration_ro
     ids = labels.where("doc_id is not null and toxic is not null").where(fold == 3).select("doc_id").distinct()
     n = ids.count()
     some = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1, calibration_rows / max(n, 1)))
-    rest = _with_labels(docs.where((fold == 3) & some), labels, text)
-    sent = share(docs.sparkSession, model)
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            toxic, row = batch.column(1), 0
-            for part in slices(batch.column(0)):
-                x, n = sent.value.features(part)
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.ascontiguousarray(x[:, i])) for i in range(x.shape[1])],
-                     toxic.slice(row, len(part)), pa.array(n)], [*FEATURES, "toxic", "n"])
-                row += len(part)
-
-    got = rest.select("text", "toxic").mapInArrow(describe, ", ".join([f"{f} double" for f in FEATURES] + ["toxic int", "n long"])).toArrow()
-    got = got.to_pandas()
-    got = got[got.n > 0]
-    final.fit(got[FEATURES].to_numpy(), got.toxic.to_numpy(float))
+    got = _described(docs.where((fold == 3) & some), labels, text, model).toArrow()
+    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES) + 1)
+    some_words = x[:, -1] > 0
+    final.fit(x[some_words, :-1], got.column("toxic").to_numpy()[some_words].astype(float))
     return final
 
 

@@ -376,6 +376,49 @@ def test_toxicity_counts_every_word_and_pair(spark):
     assert early.word.sum() == sum(400 + 2 * (i % 2) for i in own if folds[i] < 2)
 
 
+def shuffled_types(df):
+    """Column types of each shuffle in the plan of ``df``."""
+    def below(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return below(node.initialPlan())
+        found = [node.schema().simpleString()] if name == "Exchange" else []
+        for i in range(node.children().size()):
+            found += below(node.children().apply(i))
+        return found
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def test_toxicity_shuffles_no_plain_texts(spark, labelled):
+    """A large join shuffles the texts to be counted deflated, and only the
+    numbers that describe the others; both give what the texts give."""
+    docs, labels = labelled
+    texts = [(5000, None), (5001, ""), (5002, "Ünïcode 漢字 🙂 vile"), (5003, "x" * 9000 + " rot"), (5002, "twice"), (None, "vile")]
+    docs = docs.union(spark.createDataFrame(texts, docs.schema))
+    labels = labels.union(spark.createDataFrame([(i, i % 2) for i in range(5000, 5004)], labels.schema))
+    marked = {r.doc_id: r.toxic for r in labels.dropna().collect()}
+    own = sorted((r.doc_id, r.text or "") for r in docs.collect() if r.doc_id in marked)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        model = toxicity.train(docs, labels)
+        counted, described = toxicity._with_labels(docs, labels, "text"), toxicity._described(docs, labels, "text", model)
+        for df in (counted, described):
+            types = shuffled_types(df)
+            assert len(types) >= 2 and not any("string" in t for t in types), types
+        rows, x = counted.collect(), described.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.doc_id, zlib.decompress(r.deflated).decode() if r.deflated else "") for r in rows) == own
+    assert all(r.toxic == marked[r.doc_id] for r in rows)
+    assert sum(len(r.deflated or b"") for r in rows) < sum(len(t.encode()) for _, t in own) / 2
+    features, n = model.features(pa.array([t for _, t in own]))
+    want = sorted((*f, k, marked[i]) for f, k, (i, _) in zip(features.tolist(), n.tolist(), own, strict=True))
+    assert np.allclose(sorted((*r.x, r.toxic) for r in x), want)
+    parts = [*toxicity._inflated(pa.array([zlib.compress(b"a" * 3_000_000)] * 3 + [None], pa.binary()))]
+    assert [len(p) for p in parts] == [2, 2] and parts[1].to_pylist() == [b"a" * 3_000_000, b""]
+
+
 # -- 5: fingerprints -----------------------------------------------------
 def test_fingerprints_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(simhash, "RANGE_ROWS", 20)
