@@ -401,6 +401,7 @@ def _maybe_labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
             at = p.to_numpy(zero_copy_only=False).astype(np.uint64)
             yield pa.array((sent.value.view(np.uint64)[at >> np.uint64(6)] >> (at & np.uint64(63))
                             & np.uint64(1)).astype(bool))
+        give_back()
 
     return docs.where("doc_id is not null").withColumn("place", place).where(maybe("place")).drop("place")
 
@@ -412,6 +413,7 @@ def _with_labels(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
     def deflate(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
             yield pa.array([zlib.compress(t.as_buffer()) if t.is_valid else None for t in batch], pa.binary())
+        give_back()
 
     known = _known(labels)
     rows = _maybe_labelled(docs.select("doc_id", F.col(text).alias("text")), known)
@@ -432,6 +434,7 @@ def _described(docs: DataFrame, labels: DataFrame, text: str, model: Model) -> D
             x = np.concatenate(found or [np.zeros((0, len(FEATURES) + 1))])
             at = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
             yield pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x.reshape(-1)))
+        give_back()
 
     known = _known(labels)
     rows = _maybe_labelled(docs.select("doc_id", F.col(text).alias("text")), known)
@@ -467,6 +470,7 @@ def judge(docs: DataFrame, model: Model, text: str = "text", threshold: float =
         for batch in batches:
             found = [sent.value.score(part) for part in slices(batch)]
             yield pa.array(np.concatenate(found or [np.zeros(0)]), pa.float64())
+        give_back()
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in MADE]
     return docs.select(*kept, score(F.col(text)).alias("score")).withColumn(
