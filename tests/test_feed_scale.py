@@ -1,0 +1,119 @@
+"""Registered feeds and signed daily revenue: rows move once, no batch is held in
+memory, and no key is lost between the branches for frequent and other keys."""
+
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators import scd
+from strata.operators.incremental import WEIGHT
+from strata.session import scratch_dir
+from strata.streaming import catalog
+from strata.streaming.tables import KeyedTable
+
+OPEN = dt.datetime(9999, 12, 31)
+EV = "pk string, a string, b string, op string, event_ts timestamp"
+HISTORY = "pk string, a string, b string, op string, valid_from timestamp, valid_to timestamp, is_version boolean"
+COLUMNS = [c.split()[0] for c in HISTORY.split(", ")]
+
+
+def T(n):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(hours=n)
+
+
+def _counted(df, columns):
+    return Counter(tuple(r[c] for c in columns) for r in df.collect())
+
+
+def _batches(seed):
+    rng, out = random.Random(seed), []
+    for _ in range(3):
+        rows = []
+        for _ in range(25):
+            op = rng.choice(["c", "u", "u", "d", None])
+            a = None if op == "d" else rng.choice(["1", "2", None])
+            rows.append((rng.choice(["k", "l", "m", "n"]), a, rng.choice(["x", "y"]), op, T(rng.randrange(20))))
+        out.append([*rows, (None, "1", "x", "c", T(1)), ("k", "1", "x", "u", None)])
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_merge_by_key_equals_merge_by_segments(spark, monkeypatch, seed):
+    """Also events without an operation, after which old rows may go; and the
+    marks of both tell what changed in the history."""
+    state = spark.createDataFrame([], HISTORY)
+    for rows in _batches(seed):
+        events, made = spark.createDataFrame(rows, EV), []
+        for least in (scd.HEAVY_ROWS, 0):       # with 0 every key is rebuilt over segments
+            monkeypatch.setattr(scd, "HEAVY_ROWS", least)
+            out = scd.scd2_merge(state, events, "pk", ["a"], ["b"], parts=3, keep_old=True).localCheckpoint()
+            live = out.where("_action <> 'delete'")
+            made.append(_counted(live, COLUMNS))
+            told = _counted(live.where("_action in ('insert', 'update')"), COLUMNS)
+            told.subtract(_counted(out.where("_action = 'delete'"), COLUMNS))
+            told.subtract(_counted(out.where("_was is not null").select("_was.*"), COLUMNS))
+            real = Counter(made[-1])
+            real.subtract(_counted(state, COLUMNS))
+            assert {k: n for k, n in told.items() if n} == {k: n for k, n in real.items() if n}
+            assert _counted(scd.scd2_merge(state, events, "pk", ["a"], ["b"]), COLUMNS) == made[-1]
+            monkeypatch.undo()
+        assert made[0] == made[1]
+        state = spark.createDataFrame(list(made[0].elements()), HISTORY)
+
+
+def test_merge_into_a_history_is_one_shuffle(spark, capsys):
+    events = spark.createDataFrame([("k", str(i), "x", "u", T(i)) for i in range(9)], EV)
+    scd.scd2_merge(spark.createDataFrame([("j", "1", "x", "c", T(0), OPEN, True)], HISTORY), events, "pk", ["a", "b"],
+                   parts=4, keep_old=True).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "hashpartitioning(pk" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def _orders(spark, rows):
+    return spark.createDataFrame([(o, 7, s, T(0), T(0), 1.0, n * 3_600_000, op) for o, s, n, op in rows],
+                                 "order_id long, customer_id long, order_status string, order_date timestamp,"
+                                 " updated_at timestamp, total_amount double, ts_ms long, op string")
+
+
+def test_feeds_hold_no_batch_in_memory(spark, monkeypatch):
+    """An SCD2 and an SCD1 feed without a cached batch, into buckets in
+    proportion to their rows, and their change logs."""
+    work = scratch_dir(spark, "feeds")
+    items = spark.createDataFrame([(f"i{i % 40}", f"o{i % 7}", "p", i, i, "c") for i in range(1, 101)],
+                                  "order_item_id string, order_id string, product_id string, quantity long, ts_ms long, op string")
+    orders = _orders(spark, [(o, s, n, "c") for o in range(30) for n, s in enumerate(["placed", "placed", "shipped"])])
+
+    def refuse(self, *args, **kwargs):
+        raise AssertionError("a batch is cached")
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(items), name, refuse)
+    monkeypatch.setattr(catalog, "WIDE_ROWS", 5)
+    kept = catalog._feed(spark, work, "orders", orders, changes=f"{work}/log/orders")
+    lines = catalog._feed(spark, work, "order_items", items, changes=f"{work}/log/order_items")
+    monkeypatch.undo()
+    assert (kept.buckets, lines.buckets) == (18, 20)
+    versions = scd.versions(kept.read())
+    assert Counter((int(r.order_id), r.order_status) for r in versions.collect()) == Counter(
+        (o, s) for o in range(30) for s in ("placed", "shipped"))
+    newest = {f"i{i % 40}": (i, f"o{i % 7}") for i in range(1, 101)}
+    assert {r.order_item_id: (r.quantity, r.order_id) for r in lines.read().collect()} == newest
+    for table in (kept, lines):
+        log = spark.read.parquet(table.changes)
+        columns = table.schema.fieldNames()
+        assert log.where(F.col(WEIGHT) != 1).isEmpty() and _counted(log, columns) == _counted(table.read(), columns)
+
+
+def test_staged_rows_of_a_finished_batch_are_dropped(spark):
+    schema = spark.createDataFrame([], "k string, v int").schema
+    t = KeyedTable(spark, scratch_dir(spark, "stage"), schema, ["k"], 4, changes=scratch_dir(spark, "stage-log"))
+    for n in range(2):
+        batch = spark.createDataFrame([("a", n), (f"b{n}", n)], schema)
+        for _ in range(2):                      # delivered again
+            t.merge_batch(lambda prev, b: prev.join(b, "k", "left_anti").unionByName(b), batch, "q", n)
+        assert spark.read.schema(schema).parquet(f"{t.path}__stage/q/{n:012d}/rows").isEmpty()
+    assert sorted(map(tuple, t.read().collect())) == [("a", 1), ("b0", 0), ("b1", 1)]
+    assert sorted(map(tuple, spark.read.parquet(t.changes).select("k", "v", WEIGHT).collect())) == [
+        ("a", 0, -1), ("a", 0, 1), ("a", 1, 1), ("b0", 0, 1), ("b1", 1, 1)]
